@@ -71,7 +71,8 @@ def spread(
     left = _flagged(left, left_key, hot)
     right = _flagged(right, right_key, hot)
     is_hot = F.col("is_hot")
-    left = left.withColumn("left_cell", _dealt(is_hot, left_cells))
+    # rows without a key match nothing, so any cell will do: they must not pile up in one
+    left = left.withColumn("left_cell", _dealt(is_hot | F.col(left_key).isNull(), left_cells))
     right = right.withColumn("right_cell", _repeated(is_hot, left_cells))
     match = F.col("left_cell") == F.col("right_cell")
     if right_cells > 1:

@@ -17,6 +17,8 @@ STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # a stream-stream join keeps one store per partition in place of four
+    "spark.sql.streaming.join.stateFormatVersion": "3",
     # the batch joins of foreachBatch and of the registered queries
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -9,6 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
+DEFAULT_SHUFFLE_PARTITIONS = "200"
+
+
+def state_partitions_for(spark: SparkSession) -> int:
+    """The session's shuffle partitions if someone chose them, else one per core.
+
+    State is split once, when a query first starts, and adaptive execution does not
+    regroup it: Spark's own default is far too many for one machine and far too few
+    for a large cluster. Under dynamic allocation set the number.
+    """
+    chosen = spark.conf.get("spark.sql.shuffle.partitions")
+    if chosen != DEFAULT_SHUFFLE_PARTITIONS:
+        return int(chosen)
+    return spark.sparkContext.defaultParallelism
+
+
 @dataclass
 class RunReport:
     """What a drained query did, from its own progress reports."""
@@ -49,7 +65,8 @@ def start_stream(
 
     With ``drain`` it takes all input there is and stops, else it runs on.
     ``each_batch`` and ``writer`` replace the table sink ``fmt``/``path``.
-    ``state_partitions`` counts at the first start only: the checkpoint keeps it.
+    ``state_partitions`` counts at the first start only: the checkpoint keeps it. The
+    default is :func:`state_partitions_for` the session.
     """
     out = df.writeStream.outputMode(mode).options(**(options or {}))
     if checkpoint:
@@ -67,8 +84,7 @@ def start_stream(
 
     spark = df.sparkSession
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    spark.conf.set("spark.sql.shuffle.partitions", state_partitions or state_partitions_for(spark))
     try:
         return out.start(path) if path else out.start()
     finally:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -46,26 +47,25 @@ def _newest_per_chunk(key: str):
     return combine
 
 
-def _side_max(chunk: pd.DataFrame, is_click: bool, best: int | None) -> int | None:
-    at = chunk.loc[chunk["is_click"] == is_click, "at"]
-    if at.empty:
+def _newer(best: int | None, times: np.ndarray) -> int | None:
+    if not len(times):
         return best
-    top = int(at.max())
-    return top if best is None or top > best else best
+    top = int(times.max())
+    return top if best is None else max(top, best)
 
 
 def _keep_newest(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     if state.hasTimedOut:
         state.remove()
         return
-    seen = {False: None, True: None}
+    shown = clicked = None
     for chunk in chunks:
-        for side in seen:
-            seen[side] = _side_max(chunk, side, seen[side])
-    shown, clicked = state.get if state.exists else (None, None)
+        is_click, at = chunk["is_click"].to_numpy(), chunk["at"].to_numpy()
+        shown, clicked = _newer(shown, at[~is_click]), _newer(clicked, at[is_click])
     # what this batch brought replaces what earlier ones left, even if it is older
-    shown = shown if seen[False] is None else seen[False]
-    clicked = clicked if seen[True] is None else seen[True]
+    old_shown, old_clicked = state.get if state.exists else (None, None)
+    shown = old_shown if shown is None else shown
+    clicked = old_clicked if clicked is None else clicked
     state.update((shown, clicked))
     state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + TIMEOUT_MS)
     if shown is not None and clicked is not None:

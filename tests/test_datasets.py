@@ -1,0 +1,48 @@
+import pytest
+
+from streamweir.plans.datasets import DatasetFlow
+from streamweir.sources.streams import read_stream
+
+
+def test_upstream_first_each_once_and_only_what_is_new(spark, folder):
+    flow = DatasetFlow(spark, f"{folder}/flow")
+    calls = []
+
+    @flow.dataset
+    def evens():
+        calls.append("evens")
+        return flow.read_stream("raw").where("id % 2 = 0")
+
+    @flow.dataset
+    def raw():
+        calls.append("raw")
+        return read_stream(spark, f"{folder}/in", "id LONG")
+
+    @flow.dataset
+    def twice():
+        calls.append("twice")
+        return flow.read_stream("evens").unionByName(flow.read_stream("evens"))
+
+    spark.range(10).write.parquet(f"{folder}/in")
+    assert flow.refresh("twice").count() == 10
+    assert sorted(calls) == ["evens", "raw", "twice"]
+    spark.range(10, 14).write.mode("append").parquet(f"{folder}/in")
+    assert flow.refresh("twice").count() == 14
+    assert flow.reports["raw"].input_rows == 4
+    assert flow.table("evens").count() == 7
+    assert spark.sql("SELECT count(*) FROM evens").first()[0] == 7
+
+
+def test_circles_are_refused(spark, folder):
+    flow = DatasetFlow(spark, folder)
+
+    @flow.dataset
+    def a():
+        return flow.read_stream("b")
+
+    @flow.dataset
+    def b():
+        return flow.read_stream("a")
+
+    with pytest.raises(ValueError, match="a -> b -> a"):
+        flow.refresh("a")

@@ -1,0 +1,93 @@
+from datetime import datetime
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from streamweir.functions.draws import draw_int, draw_word
+from streamweir.sources import generate
+from streamweir.sources.streams import rate, rate_per_batch
+from streamweir.streaming.run import drain_to_table, start_stream
+from streamweir.streaming.sinks import append_table
+from tests.helpers import bag
+
+
+def test_narrow_rows(spark):
+    made = generate.cdc_table(spark.range(5000), "Table1")
+    assert set(made.columns) == {"table", "op", "ts", "id", "name", "value", "amount"}
+    row = made.agg(
+        F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"),
+        F.min("amount").alias("a_lo"), F.max("amount").alias("a_hi"),
+        F.count_distinct("name").alias("names"), F.collect_set("op").alias("ops"),
+    ).first()
+    assert row.n == 5000 and row.names == 5000 and sorted(row.ops) == ["I", "U"]
+    assert 1 <= row.lo < 1_000_000 and 99_000_000 < row.hi <= 100_000_000
+    assert 1 <= row.a_lo < 50 and 9950 < row.a_hi <= 10_000
+    assert made.where("name <> concat('Test', substring(value, 6))").count() == 0
+
+
+def test_narrow_rows_without_amount(spark):
+    assert "amount" not in generate.cdc_rows(spark.range(1), amounts=False).columns
+
+
+def test_wide_rows(spark):
+    made = generate.cdc_table(spark.range(2000), "Table9")
+    for name, length in generate.WORD_LENGTHS.items():
+        assert made.where(~F.col(name).rlike(f"^[a-z]{{{length}}}$")).count() == 0
+        assert made.select(name).distinct().count() == 2000
+    assert made.where("table <> 'Table9'").count() == 0
+
+
+def test_draws_do_not_depend_on_the_partitioning(spark):
+    made = [
+        bag(generate.cdc_table(spark.range(0, 500, 1, parts), "Table2", ts=F.lit("2024-01-01").cast("timestamp")))
+        for parts in (1, 7)
+    ]
+    assert made[0] == made[1]
+
+
+def test_letters_and_numbers_are_even(spark):
+    letters = spark.range(4000).select(F.explode(F.split(draw_word(F.col("id"), 3, "w", 20), "")).alias("c"))
+    counts = [r["count"] for r in letters.where("c <> ''").groupBy("c").count().collect()]
+    assert len(counts) == 26 and min(counts) > 0.9 * 80000 / 26 and max(counts) < 1.1 * 80000 / 26
+    draws = spark.range(20000).groupBy(draw_int(F.col("id"), 3, "n", 0, 9).alias("d")).count().collect()
+    assert len(draws) == 10 and all(1800 < r["count"] < 2200 for r in draws)
+
+
+def test_times_stay_in_range(spark):
+    times = spark.range(3000).select(generate.random_time(F.col("id"), 1, 2018, 2020).alias("t"))
+    low, high = times.selectExpr("CAST(min(t) AS TIMESTAMP_NTZ)", "CAST(max(t) AS TIMESTAMP_NTZ)").first()
+    assert datetime(2018, 1, 1) <= low and high < datetime(2021, 1, 1)
+
+
+def test_partitioned_append(spark, folder):
+    for table in ("Table1", "Table3"):
+        made = generate.cdc_rows(spark.range(100), table=table)
+        append_table(made, f"{folder}/cdc", partitions=4, by=["table"])
+    stored = spark.read.parquet(f"{folder}/cdc")
+    assert stored.count() == 200
+    assert spark.read.parquet(f"{folder}/cdc/table=Table3").count() == 100
+    assert 1 < len(list(Path(f"{folder}/cdc/table=Table3").glob("*.parquet"))) <= 4
+
+
+def test_ads_from_the_paced_source(spark, folder):
+    ticks = rate_per_batch(spark, 5000, start_ms=100, advance_ms=1000, partitions=10)
+    shown = drain_to_table(generate.impressions(ticks), f"{folder}/shown")
+    clicked = drain_to_table(generate.clicks(ticks), f"{folder}/clicks")
+    assert shown.agg(F.min("adId"), F.max("adId"), F.count("*")).first() == (0, 4999, 5000)
+    low, high, n = clicked.agg(F.min("adId"), F.max("adId"), F.count("*")).first()
+    assert low > 0 and high <= 4899 and 400 < n < 580
+    # a second drain is the next batch, one step of the clock later
+    again = drain_to_table(generate.impressions(ticks), f"{folder}/shown")
+    assert again.count() == 10000 and again.select("impressionTime").distinct().count() == 2
+
+
+def test_wall_clock_rates(spark, folder):
+    for number, source in enumerate([rate(spark, 1000), rate(spark, 100, "10s", 10)]):
+        root = f"{folder}/{number}"
+        query = start_stream(source, path=f"{root}/data", checkpoint=f"{root}/cp", drain=False)
+        while not any(p["numInputRows"] for p in query.recentProgress):
+            query.awaitTermination(1)
+        query.stop()
+        rows = spark.read.parquet(f"{root}/data")
+        assert rows.columns == ["timestamp", "value"]
+        assert rows.count() == rows.select("value").distinct().count() > 0
