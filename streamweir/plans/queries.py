@@ -24,7 +24,7 @@ from streamweir.sources.streams import rate_per_batch, read_messages, read_strea
 from streamweir.sources.tables import read_table, select_from_path
 from streamweir.streaming.delivery import MAX_BYTES, MAX_RECORDS, FolderTransport, export_stream, pack_requests
 from streamweir.streaming.incremental import IncrementalLeftJoin
-from streamweir.streaming.run import drain, drain_to_table, run_stream
+from streamweir.streaming.run import drain, drain_to_table, run_stream, state_partitions_for
 from streamweir.streaming.sinks import (
     ChangeLogSink, ReplaceSink, append_table, ensure_table, read_change_log, read_replaced,
 )
@@ -60,6 +60,10 @@ def query(make: Query) -> Query:
     return make
 
 
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 # Sources
 
 
@@ -85,7 +89,7 @@ def rate_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event at the pace of the rate source: tick n is event n."""
     stored = inputs.events(spark, sf_dir).select("event_id", "user_id", "event_type")
     last = stored.agg(F.max("event_id")).first()[0]
-    ticks = rate_per_batch(spark, last + 1, start_ms=100, advance_ms=1000, partitions=10)
+    ticks = rate_per_batch(spark, last + 1, start_ms=100, advance_ms=1000, partitions=max(10, _cores(spark)))
     paced = ticks.join(stored, F.col("value") == F.col("event_id")).select(
         "event_id", "user_id", "event_type", F.col("timestamp").alias("replayed_at")
     )
@@ -102,7 +106,7 @@ def gen_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, "Table1", "o_orderkey", SEED, generate.random_time(F.col("o_orderkey"), SEED)
     )
     path = new_run_dir(spark, "gen_cdc")
-    append_table(made, path, partitions=10, by=["table"])
+    append_table(made, path, partitions=max(10, _cores(spark)), by=["table"])
     return read_table(spark, path)
 
 
@@ -113,7 +117,7 @@ def gen_cdc_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, "Table2", "o_orderkey", SEED, generate.random_time(F.col("o_orderkey"), SEED)
     )
     path = new_run_dir(spark, "gen_cdc_wide")
-    append_table(made, path, partitions=10)
+    append_table(made, path)
     return read_table(spark, path)
 
 
@@ -453,7 +457,7 @@ def _pairs_in_state(stream: DataFrame) -> DataFrame:
     union = tagged_union(
         inputs.impressions(stream), inputs.clicks(stream, "adId"), "adId", "impressionTime", "clickTime"
     )
-    return stateful_join(union, "adId")
+    return stateful_join(union, "adId", buckets=16 * state_partitions_for(stream.sparkSession))
 
 
 @query
@@ -522,7 +526,7 @@ def dataset_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sink_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = encode_messages(_cdc_stream(spark, sf_dir).repartition(16), "id")
+    messages = encode_messages(_cdc_stream(spark, sf_dir), "id")
     requests = drain_to_table(pack_requests(messages), new_run_dir(spark, "sink_batches"))
     too_many = F.col("n_records") > MAX_RECORDS
     too_large = (F.col("n_bytes") > MAX_BYTES) & (F.col("n_records") > 1)
@@ -542,7 +546,7 @@ def export_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     drain(*[
         export_stream(
             df, "adId", FolderTransport(f"{root}/{name}/messages"), f"{root}/{name}/checkpoint",
-            partitions=8, name=name,
+            partitions=_cores(spark), name=name,
         )
         for name, df in tables.items()
     ])

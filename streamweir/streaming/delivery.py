@@ -214,20 +214,24 @@ def export_stream(
     key: str,
     transport,
     checkpoint: str,
-    partitions: int = 16,
+    partitions: int | None = None,
     name: str | None = None,
     receipts: str | None = None,
     drain: bool = True,
     max_attempts: int = MAX_ATTEMPTS,
     base_ms: int = BASE_DELAY_MS,
 ) -> StreamingQuery:
-    """Encode, deal the rows evenly over ``partitions`` and deliver them, at least once.
+    """Encode and deliver, at least once.
+
+    With ``partitions`` the rows are first dealt evenly over that many tasks, for sources of
+    few or uneven files. Without, each split of the source is delivered where it is read, and
+    nothing is shuffled.
 
     Starts the query and returns; start one per table and drain them together. With a
     ``receipts`` path the delivery is vectorised and leaves a receipt per request there;
     without one it goes through the row-at-a-time writer.
     """
-    dealt = df.repartition(partitions)
+    dealt = df.repartition(partitions) if partitions else df
     common = {"checkpoint": checkpoint, "name": name, "drain": drain}
     if receipts is None:
         writer = BatchingWriter(transport, max_attempts, base_ms)

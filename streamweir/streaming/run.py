@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
+log = logging.getLogger("streamweir")
+
 DEFAULT_SHUFFLE_PARTITIONS = "200"
 
 
@@ -102,6 +105,7 @@ def drain(*queries: StreamingQuery, timeout: int | None = None) -> list[RunRepor
         report = RunReport(query.name or str(query.id))
         for progress in query.recentProgress:
             report.add(progress)
+        log.info("drained %s: %s rows", report.name, report.input_rows, extra={"report": report})
         reports.append(report)
     return reports
 

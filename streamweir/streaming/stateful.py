@@ -7,14 +7,18 @@ depends on the batching. State that sees no rows for a while goes without a trac
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 TIMEOUT_MS = 20_000
+BUCKETS = 256
+
+_NONE = np.iinfo(np.int64).min  # a side that is not known, smaller than any time
 
 
 def tagged_union(
@@ -39,63 +43,107 @@ def tagged_union(
     return left.unionByName(right)
 
 
-def _newest_per_chunk(key: str):
-    def combine(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk in chunks:
-            yield chunk.groupby([key, "is_click"], as_index=False)[["eventTime", "at"]].max()
-
-    return combine
-
-
-def _newer(best: int | None, times: np.ndarray) -> int | None:
-    if not len(times):
-        return best
-    top = int(times.max())
-    return top if best is None else max(top, best)
+def _newest(rows: pd.DataFrame) -> pd.DataFrame:
+    """Newest time of each side per key."""
+    return rows.groupby("key", sort=False)[["shown", "clicked"]].max()
 
 
-def _keep_newest(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    shown = clicked = None
+def _combine(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Within a chunk only the newest row per key and side can matter."""
     for chunk in chunks:
-        is_click, at = chunk["is_click"].to_numpy(), chunk["at"].to_numpy()
-        shown, clicked = _newer(shown, at[~is_click]), _newer(clicked, at[is_click])
-    # what this batch brought replaces what earlier ones left, even if it is older
-    old_shown, old_clicked = state.get if state.exists else (None, None)
-    shown = old_shown if shown is None else shown
-    clicked = old_clicked if clicked is None else clicked
-    state.update((shown, clicked))
-    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + TIMEOUT_MS)
-    if shown is not None and clicked is not None:
-        yield pd.DataFrame({"key": [key[0]], "shown": [shown], "clicked": [clicked]})
-
-
-def stateful_join(union: DataFrame, key: str, delay: str = "20 seconds") -> DataFrame:
+        yield chunk.groupby(["bucket", "key", "is_click"], as_index=False, sort=False)["eventTime"].max()
+
+
+def _sides(chunk: pd.DataFrame) -> pd.DataFrame:
+    at, is_click = chunk["at"].to_numpy(), chunk["is_click"].to_numpy()
+    return pd.DataFrame({
+        "key": chunk["key"].to_numpy(),
+        "shown": np.where(is_click, _NONE, at),
+        "clicked": np.where(is_click, at, _NONE),
+    })
+
+
+def _packed(kept: pd.DataFrame) -> bytes:
+    batch = pa.RecordBatch.from_pandas(kept.reset_index(), preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(state: GroupState) -> pd.DataFrame | None:
+    if not state.exists:
+        return None
+    return pa.ipc.open_stream(state.get[0]).read_pandas().set_index("key")
+
+
+def _keep_newest(timeout_ms: int) -> Callable:
+    def step(_bucket, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        watermark = state.getCurrentWatermarkMs()
+        old = _unpacked(state)
+        seen = None
+        if not state.hasTimedOut:
+            for chunk in chunks:
+                rows = _sides(chunk)
+                seen = _newest(rows if seen is None else pd.concat([seen.reset_index(), rows]))
+        if seen is not None:
+            if old is not None:
+                # a side that this batch brought replaces what is known, even by an older time
+                known = old[["shown", "clicked"]].reindex(seen.index, fill_value=_NONE)
+                seen = seen.where(seen != _NONE, known)
+            seen["expires"] = watermark + timeout_ms
+
+        kept = [] if seen is None else [seen]
+        if old is not None:
+            idle = old if seen is None else old[~old.index.isin(seen.index)]
+            kept.append(idle[idle["expires"] >= watermark])
+        left = pd.concat(kept) if kept else pd.DataFrame()
+        if left.empty:
+            state.remove()
+        else:
+            state.update((_packed(left),))
+            # the first key to go wakes the bucket; Spark wants a time above the watermark
+            state.setTimeoutTimestamp(max(int(left["expires"].min()), watermark + 1))
+
+        if seen is not None:
+            both = seen[(seen["shown"] != _NONE) & (seen["clicked"] != _NONE)]
+            if len(both):
+                yield both.reset_index()[["key", "shown", "clicked"]]
+
+    return step
+
+
+def stateful_join(
+    union: DataFrame, key: str, delay: str = "20 seconds", timeout_ms: int = TIMEOUT_MS,
+    buckets: int = BUCKETS,
+) -> DataFrame:
     """(key, impressionTime, clickTime) from a :func:`tagged_union`.
 
+    A call into Python costs milliseconds, too much for each key. Keys are hashed into
+    ``buckets``; a call handles one bucket, with the state of its keys as one small Arrow
+    table. Aim at about a thousand live keys per bucket, and keep the number for as long
+    as the checkpoint lives.
+
     Only the newest row per key and side of a micro-batch matters. Each task reduces its
     Arrow chunks to those before the shuffle, so a hot key sends two rows per chunk.
     Rows without a key or time belong to no state and are left out.
     """
     kind = union.schema[key].dataType.simpleString()
     sides = union.where(F.col(key).isNotNull() & F.col("eventTime").isNotNull()).select(
-        key,
+        F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket"),
+        F.col(key).alias("key"),
         F.col("click").isNotNull().alias("is_click"),
         "eventTime",
-        F.unix_micros("eventTime").alias("at"),
-    )
-    newest = sides.mapInPandas(
-        _newest_per_chunk(key), f"{key} {kind}, is_click BOOLEAN, eventTime TIMESTAMP, at LONG"
     )
+    newest = sides.mapInPandas(_combine, f"bucket INT, key {kind}, is_click BOOLEAN, eventTime TIMESTAMP")
     pairs = (
-        newest.withWatermark("eventTime", delay)
-        .groupBy(key)
+        newest.withColumn("at", F.unix_micros("eventTime"))
+        .withWatermark("eventTime", delay)
+        .groupBy("bucket")
         .applyInPandasWithState(
-            _keep_newest,
+            _keep_newest(timeout_ms),
             f"key {kind}, shown LONG, clicked LONG",
-            "shown LONG, clicked LONG",
+            "newest BINARY",
             "append",
             GroupStateTimeout.EventTimeTimeout,
         )

@@ -1,7 +1,11 @@
+import random
+from collections import Counter
+from datetime import datetime
+
 from streamweir.sources.streams import read_stream
 from streamweir.streaming.run import run_stream
 from streamweir.streaming.stateful import stateful_join, tagged_union
-from tests.helpers import at, bag, instants, land_ordered
+from tests.helpers import START, at, bag, instants, land_ordered
 
 SHOWN = "adId INT, impressionTime TIMESTAMP"
 CLICKED = "adId INT, clickTime TIMESTAMP"
@@ -78,3 +82,42 @@ def test_rows_behind_the_watermark_are_dropped(spark, folder):
         ([], [(1, 900)]),
     ])
     assert got == {} and report.late_rows >= 1
+
+
+def simulated(batches):
+    """Key by key, in plain Python. Times are seconds since START; the watermark begins in 1970."""
+    state, watermark, out = {}, -(START - datetime(1970, 1, 1)).total_seconds(), []
+    for shown, clicked in [*batches, ([], [])]:
+        rows = [(k, s, 0) for k, s in shown] + [(k, s, 1) for k, s in clicked]
+        touched = set()
+        for key in {k for k, _, _ in rows}:
+            newest = [
+                max((s for k, s, side in rows if (k, side) == (key, want) and s > watermark), default=None)
+                for want in (0, 1)
+            ]
+            if newest == [None, None]:
+                continue
+            touched.add(key)
+            old = state[key][0] if key in state else [None, None]
+            both = [o if n is None else n for n, o in zip(newest, old)]
+            state[key] = (both, watermark + 20)
+            if None not in both:
+                out.append((key, at(both[0]), at(both[1])))
+        for key in [k for k, (_, until) in state.items() if k not in touched and until < watermark]:
+            del state[key]
+        watermark = max([watermark, *[s - 20 for _, s, _ in rows]])
+    return Counter(out)
+
+
+def test_random_batches_against_a_simulation(spark, folder):
+    rng = random.Random(11)
+    batches, clock = [], 0
+    for _ in range(9):
+        clock += rng.choice([1, 5, 15, 30, 60])
+
+        def some():
+            return [(rng.randrange(6), clock - rng.choice([0, 0, 1, 3, 40])) for _ in range(rng.randrange(4))]
+
+        batches.append((some() + [(99, clock)], some()))
+    got, _ = run(spark, folder, batches)
+    assert got == simulated(batches) and got.total() > 8
