@@ -9,7 +9,7 @@ from streamweir.sources.tables import read_table, table_schema
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_instant(read_table(spark, f"{sf_dir}/events.parquet"))
+    return _with_instant(raw_events(spark, sf_dir))
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,16 +53,29 @@ def cdc(df: DataFrame) -> DataFrame:
     )
 
 
-SLICES = 4
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/events.parquet")
 
 
-def sliced(df: DataFrame) -> DataFrame:
-    """Rows with the number of the quarter of the whole time range they are in."""
-    at = F.unix_micros("ts")
+def landed_event_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """Events from a landing folder, as :func:`event_stream` gives them."""
+    return _with_instant(read_stream(spark, path, like.schema))
+
+
+def time_slices(df: DataFrame, n: int) -> list[DataFrame]:
+    """The rows in n parts of equal time span, oldest first.
+
+    Each part is a plain range filter on ``ts``, which reaches the scan.
+    """
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
     first, last = df.agg(F.min(at), F.max(at)).first()
-    return df.withColumn(
-        "slice", F.call_function("div", (at - F.lit(first)) * SLICES, F.lit(last - first + 1))
-    )
+    span = last - first + 1
+    edges = [first + -(-k * span // n) for k in range(n + 1)]
+    kind = df.schema["ts"].dataType.typeName()
+    bounds = [F.timestamp_micros(F.lit(edge)).cast(kind) for edge in edges]
+    return [
+        df.where((F.col("ts") >= low) & (F.col("ts") < high)) for low, high in zip(bounds, bounds[1:])
+    ]
 
 
 def without_zone(df: DataFrame) -> DataFrame:

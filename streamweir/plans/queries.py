@@ -20,7 +20,7 @@ from streamweir.schemas import (
 )
 from streamweir.session import new_run_dir, tune
 from streamweir.sources import generate
-from streamweir.sources.streams import rate_per_batch, read_messages, read_stream
+from streamweir.sources.streams import rate_per_batch, read_messages
 from streamweir.sources.tables import read_table, select_from_path
 from streamweir.streaming.delivery import MAX_BYTES, MAX_RECORDS, FolderTransport, export_stream, pack_requests
 from streamweir.streaming.incremental import IncrementalLeftJoin
@@ -64,6 +64,38 @@ def _cores(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _feed(
+    spark: SparkSession, sf_dir: str, parts: int, order: list[int], landing: str,
+    step: Callable[[DataFrame], object],
+) -> None:
+    """Land the events one slice of time after the other; ``step`` drains the stream in between."""
+    source = inputs.raw_events(spark, sf_dir)
+    slices = inputs.time_slices(source, parts)
+    for number in order:
+        append_table(slices[number], landing)
+        step(inputs.landed_event_stream(spark, landing, source))
+
+
+def _drained(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """The table that a watermarked query over all events has written.
+
+    All events are one micro-batch unless ``spark.streamweir.backlogSlices`` asks for more:
+    a large backlog then arrives in time order, so that the state is that of one slice. The
+    result is the same.
+    """
+    root = new_run_dir(spark, name)
+    slices = int(spark.conf.get("spark.streamweir.backlogSlices", "1"))
+    if slices == 1:
+        return drain_to_table(build(inputs.event_stream(spark, sf_dir)), root)
+    _feed(
+        spark, sf_dir, slices, list(range(slices)), f"{root}/landing",
+        lambda stream: drain_to_table(build(stream), root),
+    )
+    return read_table(spark, f"{root}/data")
+
+
 # Sources
 
 
@@ -99,20 +131,26 @@ def rate_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Generators: one generated row per stored row
 
 
+def _row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dealt out before the rows are made, while they are only a number each."""
+    rows = read_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey")
+    return rows.repartition(max(10, _cores(spark)))
+
+
 @query
 def gen_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey")
+    rows = _row_numbers(spark, sf_dir)
     made = generate.cdc_table(
         rows, "Table1", "o_orderkey", SEED, generate.random_time(F.col("o_orderkey"), SEED)
     )
     path = new_run_dir(spark, "gen_cdc")
-    append_table(made, path, partitions=max(10, _cores(spark)), by=["table"])
+    append_table(made, path, by=["table"])
     return read_table(spark, path)
 
 
 @query
 def gen_cdc_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey")
+    rows = _row_numbers(spark, sf_dir)
     made = generate.cdc_table(
         rows, "Table2", "o_orderkey", SEED, generate.random_time(F.col("o_orderkey"), SEED)
     )
@@ -237,7 +275,7 @@ def agg_keyed_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def agg_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drain_to_table(windowed(_cdc_stream(spark, sf_dir)), new_run_dir(spark, "agg_tumbling"))
+    return _drained(spark, sf_dir, "agg_tumbling", lambda stream: windowed(inputs.cdc(stream)))
 
 
 @query
@@ -261,29 +299,17 @@ def agg_sliding_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def agg_sliding_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sums = windowed(_cdc_stream(spark, sf_dir), SLIDE)
-    return drain_to_table(sums, new_run_dir(spark, "agg_sliding_append"))
-
-
-def _feed(source: DataFrame, order: list[int], landing: str, step: Callable[[], object]) -> None:
-    """Land one slice after the other and let the query drain in between."""
-    slices = inputs.sliced(source)
-    for number in order:
-        append_table(slices.where(F.col("slice") == number).drop("slice"), landing)
-        step()
+    return _drained(spark, sf_dir, "agg_sliding_append", lambda stream: windowed(inputs.cdc(stream), SLIDE))
 
 
 @query
 def late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second quarter of the events comes after the third: the watermark has passed it."""
     root = new_run_dir(spark, "late_drop")
-    source = inputs.cdc(inputs.events(spark, sf_dir))
-
-    def step() -> None:
-        sums = windowed(read_stream(spark, f"{root}/landing", source.schema))
-        run_stream(sums, path=f"{root}/data", checkpoint=f"{root}/checkpoint")
-
-    _feed(source, [0, 2, 1, 3], f"{root}/landing", step)
+    _feed(
+        spark, sf_dir, 4, [0, 2, 1, 3], f"{root}/landing",
+        lambda stream: drain_to_table(windowed(inputs.cdc(stream)), root),
+    )
     return read_table(spark, f"{root}/data")
 
 
@@ -298,14 +324,15 @@ def _hot_ads(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
 def _streamed_interval_join(
     spark: SparkSession, sf_dir: str, name: str, how: str, horizon: timedelta
 ) -> DataFrame:
-    root = new_run_dir(spark, name)
-    stream = inputs.event_stream(spark, sf_dir)
-    joined = joins.interval_join(
-        inputs.impressions(stream), inputs.clicks(stream), "adId", "clickAdId",
-        "impressionTime", "clickTime", horizon, how, IMPRESSION_DELAY, CLICK_DELAY,
-        hot=_hot_ads(spark, sf_dir, root),
-    )
-    return drain_to_table(joined, root).select("adId", "impressionTime", "clickTime")
+    hot = _hot_ads(spark, sf_dir, new_run_dir(spark, name))
+
+    def build(stream: DataFrame) -> DataFrame:
+        return joins.interval_join(
+            inputs.impressions(stream), inputs.clicks(stream), "adId", "clickAdId",
+            "impressionTime", "clickTime", horizon, how, IMPRESSION_DELAY, CLICK_DELAY, hot=hot,
+        )
+
+    return _drained(spark, sf_dir, name, build).select("adId", "impressionTime", "clickTime")
 
 
 @query
@@ -404,11 +431,10 @@ def _incremental(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         inputs.clicks(source).schema, ["adId"], ["clickAdId"],
     )
 
-    def step() -> None:
-        stream = read_stream(spark, f"{root}/landing", source.schema)
+    def step(stream: DataFrame) -> None:
         drain(kept.start(inputs.impressions(stream), inputs.clicks(stream, above=MIN_CLICK_VALUE)))
 
-    _feed(source, [2, 0, 3, 1], f"{root}/landing", step)
+    _feed(spark, sf_dir, 4, [2, 0, 3, 1], f"{root}/landing", step)
     return kept.result().select("adId", "impressionTime", "clickTime")
 
 
@@ -470,13 +496,10 @@ def stateful_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stateful_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four drains: each moves the watermark past all state, so no pair spans two of them."""
     root = new_run_dir(spark, "stateful_timeout")
-    source = inputs.events(spark, sf_dir)
-
-    def step() -> None:
-        stream = read_stream(spark, f"{root}/landing", source.schema)
-        run_stream(_pairs_in_state(stream), path=f"{root}/data", checkpoint=f"{root}/checkpoint")
-
-    _feed(source, [0, 1, 2, 3], f"{root}/landing", step)
+    _feed(
+        spark, sf_dir, 4, [0, 1, 2, 3], f"{root}/landing",
+        lambda stream: drain_to_table(_pairs_in_state(stream), root),
+    )
     return read_table(spark, f"{root}/data")
 
 
@@ -545,7 +568,8 @@ def export_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {"impressions": inputs.impressions(stream), "clicks": inputs.clicks(stream, "adId")}
     drain(*[
         export_stream(
-            df, "adId", FolderTransport(f"{root}/{name}/messages"), f"{root}/{name}/checkpoint",
+            df, "adId", FolderTransport(f"{root}/{name}/messages", dedupe_epoch=True),
+            f"{root}/{name}/checkpoint",
             partitions=_cores(spark), name=name,
         )
         for name, df in tables.items()

@@ -244,6 +244,13 @@ def export_stream(
     return start_stream(encode_messages(dealt, key), each_batch=send, **common)
 
 
+def _arrow_uri(uri: str) -> str:
+    """Hadoop's spelling of a location in Arrow's."""
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        return uri.removeprefix("file:")
+    return uri.replace("s3a://", "s3://", 1)
+
+
 class FolderTransport:
     """Requests as Parquet row groups, one file per task, in a shared folder.
 
@@ -261,7 +268,7 @@ class FolderTransport:
         self.dedupe_epoch = dedupe_epoch
 
     def open(self, partition_id: int, epoch_id: int) -> None:
-        self.fs, self.folder = pyarrow.fs.FileSystem.from_uri(self.uri)
+        self.fs, self.folder = pyarrow.fs.FileSystem.from_uri(_arrow_uri(self.uri))
         self.fs.create_dir(self.folder)
         attempt = uuid.uuid4().hex
         stem = f"{epoch_id}-{partition_id}" + ("" if self.dedupe_epoch else f"-{attempt}")
@@ -285,4 +292,6 @@ class FolderTransport:
             return
         self.file.close()
         if ok:
+            if self.fs.get_file_info(self.final).type != pyarrow.fs.FileType.NotFound:
+                self.fs.delete_file(self.final)
             self.fs.move(self.draft, self.final)

@@ -40,8 +40,7 @@ def test_buckets_keep_the_sign(spark):
 
 
 def ordered_cdc(spark, folder):
-    source = inputs.sliced(inputs.events(spark, SF))
-    land_ordered([source.where(F.col("slice") == k).drop("slice") for k in range(4)], f"{folder}/landing")
+    land_ordered(inputs.time_slices(inputs.events(spark, SF), 4), f"{folder}/landing")
     return inputs.cdc(read_stream(spark, f"{folder}/landing", max_files=1))
 
 

@@ -73,9 +73,10 @@ def test_half_written_batch_is_not_read(spark, folder):
 
 def test_each_pair_is_written_once(spark, folder):
     join = new_join(spark, folder)
-    source = inputs.sliced(inputs.events(spark, SF))
+    source = inputs.events(spark, SF)
+    slices = inputs.time_slices(source, 4)
     for k in (2, 0, 3, 1):
-        source.where(F.col("slice") == k).drop("slice").write.mode("append").parquet(f"{folder}-in")
+        slices[k].write.mode("append").parquet(f"{folder}-in")
         stream = read_stream(spark, f"{folder}-in")
         drain(join.start(inputs.impressions(stream), inputs.clicks(stream), name="kept"))
     truth = inputs.impressions(source).join(inputs.clicks(source), F.col("adId") == F.col("clickAdId"), "left")

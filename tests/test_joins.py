@@ -112,8 +112,7 @@ SF = "/root/testdata/sf0.001"
 
 def quarters(spark, folder):
     """The events in time order, four files, one per micro-batch."""
-    source = inputs.sliced(inputs.events(spark, SF))
-    land_ordered([source.where(F.col("slice") == k).drop("slice") for k in range(4)], f"{folder}/landing")
+    land_ordered(inputs.time_slices(inputs.events(spark, SF), 4), f"{folder}/landing")
     return read_stream(spark, f"{folder}/landing", max_files=1)
 
 
@@ -134,9 +133,8 @@ def test_four_batches_give_what_one_gives(spark, folder, how, rows):
 
 
 def test_streams_restart_from_the_checkpoint(spark, folder):
-    source = inputs.sliced(inputs.events(spark, SF))
-    for k in range(4):
-        source.where(F.col("slice") == k).drop("slice").write.mode("append").parquet(f"{folder}/landing")
+    for part in inputs.time_slices(inputs.events(spark, SF), 4):
+        part.write.mode("append").parquet(f"{folder}/landing")
         stream = read_stream(spark, f"{folder}/landing")
         pairs = joins.interval_join(
             inputs.impressions(stream), inputs.clicks(stream), "adId", "clickAdId", "impressionTime",

@@ -39,3 +39,12 @@ def test_tables_stored_as_folders_of_files(spark, folder):
     spark.read.parquet(f"{SF}/events.parquet").repartition(3).write.parquet(f"{folder}/events.parquet")
     assert queries()["stream_scan"](spark, folder).count() == 1000
     assert queries()["join_interval_left"](spark, folder).count() == 187
+
+
+@pytest.mark.parametrize("name", ["agg_tumbling", "agg_sliding_append", "join_interval_inner", "join_interval_left"])
+def test_a_backlog_in_slices_gives_the_same(spark, con, name):
+    spark.conf.set("spark.streamweir.backlogSlices", "3")
+    try:
+        assert differences(queries()[name](spark, SF), oracle_sql()[name], con) == []
+    finally:
+        spark.conf.unset("spark.streamweir.backlogSlices")
