@@ -12,6 +12,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamweir.functions.codec import decode_messages, encode_messages, undecodable
+from streamweir.functions.timing import time_bucket
 from streamweir.operators import aggregate, bags, joins, skew
 from streamweir.plans import inputs
 from streamweir.plans.datasets import DatasetFlow
@@ -316,15 +317,19 @@ def late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Joins
 
 
-def _hot_ads(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+def _hot_ads(
+    spark: SparkSession, sf_dir: str, root: str, horizon: timedelta | None = None
+) -> DataFrame:
+    """Hot ads among the stored events; with a horizon, those that are hot inside one of its buckets."""
     stored = inputs.events(spark, sf_dir).where("event_type IN ('view', 'click')")
-    return skew.pinned_hot_keys(stored, "user_id", f"{root}/hot_keys")
+    within = time_bucket(F.col("ts"), horizon) if horizon else None
+    return skew.pinned_hot_keys(stored, "user_id", f"{root}/hot_keys", within=within)
 
 
 def _streamed_interval_join(
     spark: SparkSession, sf_dir: str, name: str, how: str, horizon: timedelta
 ) -> DataFrame:
-    hot = _hot_ads(spark, sf_dir, new_run_dir(spark, name))
+    hot = _hot_ads(spark, sf_dir, new_run_dir(spark, name), horizon)
 
     def build(stream: DataFrame) -> DataFrame:
         return joins.interval_join(
@@ -373,7 +378,7 @@ def join_stream_static(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.impressions(inputs.event_stream(spark, sf_dir)),
         inputs.clicks(inputs.events(spark, sf_dir)),
         "adId", "clickAdId", "impressionTime", "clickTime", HORIZON, left_delay=IMPRESSION_DELAY,
-        hot=_hot_ads(spark, sf_dir, root),
+        hot=_hot_ads(spark, sf_dir, root, HORIZON),
     )
     return drain_to_table(joined, root).select("adId", "impressionTime", "clickTime")
 
@@ -538,7 +543,7 @@ def dataset_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             flow.read_stream("impressions_bronze").withColumnRenamed("adId", "impressionAdId"),
             flow.read_stream("clicks_bronze").withColumnRenamed("adId", "clickAdId"),
             "impressionAdId", "clickAdId", "impressionTime", "clickTime", HORIZON, "left",
-            IMPRESSION_DELAY, CLICK_DELAY, hot=_hot_ads(spark, sf_dir, root),
+            IMPRESSION_DELAY, CLICK_DELAY, hot=_hot_ads(spark, sf_dir, root, HORIZON),
         )
 
     return flow.refresh("impressions_with_clicks").drop("processing_time", "clicks_processing_time")

@@ -68,6 +68,18 @@ def test_hot_keys_are_few_and_hot(spark):
     assert skew.hot_keys(spark.range(900).selectExpr("id % 9 AS k"), "k", parts=10).count() == 9
 
 
+def test_a_key_spread_over_time_is_not_hot_within_a_bucket(spark):
+    rows = spark.range(900).selectExpr("IF(id < 300, 0, IF(id < 600, 1, id)) AS k", "IF(id < 300, id, 7) AS b")
+    assert bag(skew.hot_keys(rows, "k", parts=10)) == {(0,): 1, (1,): 1}
+    assert bag(skew.hot_keys(rows, "k", parts=10, within=F.col("b"))) == {(1,): 1}
+
+
+def test_hot_keys_of_any_type_and_of_nothing(spark):
+    rows = spark.range(100).selectExpr("IF(id < 40, NULL, IF(id < 80, 'a', CAST(id AS STRING))) AS k")
+    assert bag(skew.hot_keys(rows, "k", parts=4)) == {("a",): 1}
+    assert skew.hot_keys(rows.where("false"), "k").count() == 0
+
+
 def test_a_hot_key_is_dealt_out(spark):
     """A third of the rows on one key, all of them copies: no cell holds more than its part."""
     left = spark.range(30000).selectExpr(
