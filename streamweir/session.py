@@ -49,3 +49,18 @@ def shared_root(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run: nothing is reused, nothing needs clearing."""
     return f"{shared_root(spark)}/streamweir/{name}-{uuid.uuid4().hex}"
+
+
+def local_session(cpus: int | str = 8) -> SparkSession:
+    """One JVM with so many cores, for tests and the bench."""
+    spark = (
+        SparkSession.builder.master(f"local[{cpus}]")
+        .appName("streamweir")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.log.level", "ERROR")
+        .getOrCreate()
+    )
+    return tune(spark)

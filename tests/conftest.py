@@ -1,40 +1,24 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import streamweir
-from streamweir.session import tune
+from streamweir.session import local_session, shared_root
 
 cloudpickle.register_pickle_by_value(streamweir)
 
 
-def make_session(cpus: str = "8") -> SparkSession:
-    builder = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("streamweir")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.log.level", "ERROR")
-    )
-    spark = builder.getOrCreate()
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="streamweir-"))
-    return tune(spark)
-
-
 @pytest.fixture(scope="session")
 def spark():
-    return make_session()
+    session = local_session()
+    shared_root(session)
+    return session
 
 
 @pytest.fixture
