@@ -181,7 +181,7 @@ SELECT 'lineitem' AS table_name, count(*) AS n_rows FROM lineitem
 UNION ALL SELECT 'events', count(*) FROM events
 UNION ALL SELECT 'orders', count(*) FROM orders""",
     "stream_scan": "SELECT * FROM events",
-    "rate_replay": """
+    "rate_micro_batch": """
 SELECT event_id, user_id, event_type, TIMESTAMP '1970-01-01 00:00:00.1' AS replayed_at FROM events""",
     "gen_cdc": GEN_CDC,
     "gen_cdc_wide": GEN_CDC_WIDE,
@@ -241,7 +241,7 @@ SELECT *, 'click' AS surplus_of FROM (SELECT * FROM clicks EXCEPT ALL SELECT * F
     "union_streams": f"""
 SELECT ad AS "adId", ts AS "eventTime", 'impression' AS kind FROM ({VIEWS})
 UNION ALL SELECT ad, ts, 'click' FROM ({CLICKS})""",
-    "stateful_pairs": _pairs_per("user_id", "SELECT * FROM events"),
+    "stateful_join": _pairs_per("user_id", "SELECT * FROM events"),
     "stateful_timeout": _pairs_per("user_id, slice", SLICED),
     "dataset_left_join": DATASET_LEFT,
     "sink_batches": f"""

@@ -23,13 +23,13 @@ from streamweir.session import new_run_dir, tune
 from streamweir.sources import generate
 from streamweir.sources.streams import rate_per_batch, read_messages
 from streamweir.sources.tables import read_table, select_from_path
+from streamweir.streaming import stateful
 from streamweir.streaming.delivery import MAX_BYTES, MAX_RECORDS, FolderTransport, export_stream, pack_requests
 from streamweir.streaming.incremental import IncrementalLeftJoin
 from streamweir.streaming.run import drain, drain_to_table, run_stream, state_partitions_for
 from streamweir.streaming.sinks import (
     ChangeLogSink, ReplaceSink, append_table, ensure_table, read_change_log, read_replaced,
 )
-from streamweir.streaming.stateful import stateful_join, tagged_union
 from streamweir.streaming.static_join import RefreshedStaticJoin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,7 +118,7 @@ def stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def rate_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rate_micro_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event at the pace of the rate source: tick n is event n."""
     stored = inputs.events(spark, sf_dir).select("event_id", "user_id", "event_type")
     last = stored.agg(F.max("event_id")).first()[0]
@@ -126,7 +126,7 @@ def rate_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     paced = ticks.join(stored, F.col("value") == F.col("event_id")).select(
         "event_id", "user_id", "event_type", F.col("timestamp").alias("replayed_at")
     )
-    return drain_to_table(paced, new_run_dir(spark, "rate_replay"))
+    return drain_to_table(paced, new_run_dir(spark, "rate_micro_batch"))
 
 
 # Generators: one generated row per stored row
@@ -485,16 +485,16 @@ def union_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs_in_state(stream: DataFrame) -> DataFrame:
-    union = tagged_union(
+    union = stateful.tagged_union(
         inputs.impressions(stream), inputs.clicks(stream, "adId"), "adId", "impressionTime", "clickTime"
     )
-    return stateful_join(union, "adId", buckets=16 * state_partitions_for(stream.sparkSession))
+    return stateful.stateful_join(union, "adId", buckets=16 * state_partitions_for(stream.sparkSession))
 
 
 @query
-def stateful_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stateful_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _pairs_in_state(inputs.event_stream(spark, sf_dir))
-    return drain_to_table(pairs, new_run_dir(spark, "stateful_pairs"))
+    return drain_to_table(pairs, new_run_dir(spark, "stateful_join"))
 
 
 @query

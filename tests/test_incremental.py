@@ -3,9 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from streamweir.operators.bags import bag_difference, reconcile
+from streamweir.operators.bags import bag_difference, bag_union, reconcile
 from streamweir.plans import inputs
 from streamweir.sources.streams import read_stream
+from streamweir.streaming import incremental
 from streamweir.streaming.incremental import IncrementalLeftJoin
 from streamweir.streaming.run import drain
 from tests.helpers import at, bag, instants
@@ -84,6 +85,41 @@ def test_each_pair_is_written_once(spark, folder):
     assert spark.read.parquet(f"{folder}/out").where("kind = 'matched'").count() == 2687
 
 
+def test_crash_before_the_commit(spark, folder, monkeypatch):
+    """The query dies after the output of its second batch is written; a restart replays that batch."""
+    join = new_join(spark, folder)
+    source = inputs.events(spark, SF)
+    real, failures = incremental.commit, [1]
+
+    def dying(session, path, batch_id, **columns):
+        if batch_id in failures:
+            failures.remove(batch_id)
+            raise RuntimeError("executor lost")
+        real(session, path, batch_id, **columns)
+
+    monkeypatch.setattr(incremental, "commit", dying)
+    landed = []
+    for part in inputs.time_slices(source, 3):
+        part.write.mode("append").parquet(f"{folder}-in")
+        landed.append(part)
+        stream = read_stream(spark, f"{folder}-in")
+
+        def start():
+            return join.start(inputs.impressions(stream), inputs.clicks(stream, above=150))
+
+        if len(landed) == 2:
+            before = bag(join.result())
+            with pytest.raises(Exception, match="executor lost"):
+                drain(start())
+            assert bag(join.result()) == before
+        drain(start())
+        seen = bag_union(*landed)
+        truth = inputs.impressions(seen).join(
+            inputs.clicks(seen, above=150), F.col("adId") == F.col("clickAdId"), "left"
+        )
+        assert bag(join.result()) == bag(truth)
+
+
 def test_names_must_differ(spark, folder):
     schema = instants(spark, [], LEFT).schema
     with pytest.raises(ValueError, match="rename"):

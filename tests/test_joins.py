@@ -144,6 +144,21 @@ def test_four_batches_give_what_one_gives(spark, folder, how, rows):
     assert report.state_rows < 30
 
 
+def test_unbounded_join_over_four_batches(spark, folder):
+    stream = quarters(spark, folder)
+    hot = skew.hot_keys(inputs.events(spark, SF), "user_id")
+    assert hot.count() == 15  # all users: every pair goes through the grid
+    pairs = joins.equi_join(
+        inputs.impressions(stream), inputs.clicks(stream), "adId", "clickAdId", hot=hot, cells=3
+    )
+    report = run_stream(pairs, path=f"{folder}/data", checkpoint=f"{folder}/cp")
+    source = inputs.events(spark, SF)
+    truth = joins.equi_join(inputs.impressions(source), inputs.clicks(source), "adId", "clickAdId")
+    assert bag(spark.read.parquet(f"{folder}/data")) == bag(truth)
+    sides = source.where("event_type IN ('view', 'click')").count()
+    assert report.state_rows == 3 * sides  # nothing ever leaves, each row is there once per cell of its side
+
+
 def test_streams_restart_from_the_checkpoint(spark, folder):
     for part in inputs.time_slices(inputs.events(spark, SF), 4):
         part.write.mode("append").parquet(f"{folder}/landing")
