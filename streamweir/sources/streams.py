@@ -15,7 +15,7 @@ def read_stream(
     schema: StructType | str | None = None,
     fmt: str = "parquet",
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     **options: str,
 ) -> DataFrame:
     """A growing folder as a stream, oldest file first.

@@ -1,0 +1,50 @@
+import pytest
+
+from streamweir.sources.streams import read_stream
+from streamweir.sources.tables import read_table, select_from_path, table_schema
+from streamweir.streaming.run import drain_to_table, run_stream
+
+
+def files(spark, folder, n, fmt="parquet"):
+    spark.range(0, 100 * n, 1, n).selectExpr("id", "CAST(id AS STRING) AS text").write.format(fmt).save(folder)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+def test_any_format_in_and_out(spark, folder, fmt):
+    files(spark, f"{folder}/in", 2, fmt)
+    stream = read_stream(spark, f"{folder}/in", fmt=fmt)
+    assert stream.schema == table_schema(spark, f"{folder}/in", fmt)
+    stored = drain_to_table(stream, f"{folder}/run", fmt=fmt)
+    assert stored.count() == read_table(spark, f"{folder}/in", fmt).count() == 200
+    assert select_from_path(spark, f"{folder}/in", "max(id) AS top", fmt).first().top == 199
+
+
+def batches(stream, root):
+    return len(run_stream(stream, path=f"{root}/data", checkpoint=f"{root}/cp").batches)
+
+
+def test_batches_are_bounded_by_argument_or_session(spark, folder):
+    files(spark, f"{folder}/in", 4)
+    assert batches(read_stream(spark, f"{folder}/in", max_files=16), f"{folder}/a") == 1
+    assert batches(read_stream(spark, f"{folder}/in", max_files=2), f"{folder}/b") == 2
+    assert batches(read_stream(spark, f"{folder}/in", max_bytes=1), f"{folder}/c") == 4
+    spark.conf.set("spark.streamweir.maxFilesPerTrigger", "1")
+    try:
+        assert batches(read_stream(spark, f"{folder}/in"), f"{folder}/d") == 4
+    finally:
+        spark.conf.unset("spark.streamweir.maxFilesPerTrigger")
+
+
+def test_schema_is_fixed_when_the_query_starts(spark, folder):
+    files(spark, f"{folder}/in", 1)
+    stream = read_stream(spark, f"{folder}/in")
+    spark.range(5).selectExpr("id", "'x' AS text", "1 AS more").write.mode("append").parquet(f"{folder}/in")
+    stored = drain_to_table(stream, f"{folder}/run")
+    assert stored.columns == ["id", "text"] and stored.count() == 105
+
+
+def test_filters_and_columns_reach_the_scan(spark, folder):
+    files(spark, f"{folder}/in", 1)
+    kept = read_table(spark, f"{folder}/in").where("id > 50").select("id")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(id,50)" in plan and "ReadSchema: struct<id:bigint>" in plan
