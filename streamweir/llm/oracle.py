@@ -1,3 +1,42 @@
 """What the registered queries must equal, as SQL over the same tables."""
 
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+MIXING = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '') || '|'), 1, 15))::BIGINT AS place
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS HUGEINT) AS source_size,
+    (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM sized GROUP BY source
+), ranked AS (
+  SELECT *, coalesce(sum(3 * source_size) OVER b, 0) AS full_before, coalesce(sum(weight) OVER b, 0) AS weight_before,
+    sum(source_size) OVER () AS total, sum(weight) OVER () AS weights
+  FROM sources
+  WINDOW b AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), marked AS (
+  SELECT *, 3 * source_size * (weights - weight_before) <= (total - full_before) * weight AS is_full FROM ranked
+), wanted AS (
+  SELECT source, source_size, CASE WHEN is_full THEN CAST(3 * source_size AS DOUBLE) ELSE
+    CAST(weight AS DOUBLE) * CAST(total - coalesce(sum(CASE WHEN is_full THEN 3 * source_size END) OVER (), 0) AS DOUBLE)
+      / CAST(sum(CASE WHEN NOT is_full THEN weight END) OVER () AS DOUBLE) END AS target
+  FROM marked
+), rounds AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / CAST(source_size AS DOUBLE)) ELSE 0 END AS rounds FROM wanted
+), budgets AS (
+  SELECT *, target - rounds * CAST(source_size AS DOUBLE) AS rest FROM rounds
+), places AS (
+  SELECT source, place, size, sum(size) OVER (PARTITION BY source ORDER BY place) AS after
+  FROM (SELECT source, place, sum(size) AS size FROM sized GROUP BY ALL)
+)
+SELECT d.doc_id, CAST(d.size AS BIGINT) AS size, CAST(b.source_size AS BIGINT) AS source_size, b.target,
+  CAST(d.size * (b.rounds + CASE WHEN 2 * (p.after - p.size) + p.size < 2 * b.rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM sized d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
+JOIN places p ON d.source IS NOT DISTINCT FROM p.source AND d.place = p.place
+"""
+
+SQL: dict[str, str] = {
+    "op7_mixing": MIXING,
+}

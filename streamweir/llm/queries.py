@@ -2,20 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streamweir.llm import simhash
+from streamweir.llm import mixing, quality, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    rows = docs.select("doc_id", size.alias("size"), F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"), F.xxhash64("text").alias("key"))
+    placed = sharding.sharded(rows, F.col("size"), key=F.col("key"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mix = F.col("mix")
+    return mixing.mixed(docs, keep_text=False).select("doc_id", *[mix[c].alias(c) for c in ("size", "source_size", "target", "taken")])
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    m = F.col("measures")
+    return rows.select(
+        "doc_id", *[m[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")],
+        F.col("verdict.kept").alias("kept"), F.round("verdict.probability", 6).alias("probability"),
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.simhash_components(docs)
 
 
 QUERIES = {
+    "op4_sharding": op4_sharding,
+    "op7_mixing": op7_mixing,
+    "op9_quality_rules": op9_quality_rules,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

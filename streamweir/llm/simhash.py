@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType
 
 from streamweir.llm import components
-from streamweir.llm.tables import Workspace
+from streamweir.llm.tables import Workspace, packed, quoted, unpacked
 from streamweir.llm.words import LOWER, pieces
 
 BLOCK = 4096
@@ -78,9 +78,9 @@ def meeting_links(fingerprints: DataFrame, id: str, key: str, bits: int, half: i
     return met.where(F.bit_count(F.col("key").bitwiseXOR(F.col("other"))) <= 2 * half).select("a", "b").distinct()
 
 
-def components_of_fingerprints(fingerprints: DataFrame, work: Workspace, id: str = "doc_id") -> DataFrame:
+def components_of_fingerprints(fingerprints: DataFrame, work: Workspace) -> DataFrame:
     """``fp, component_id`` for each fingerprint: the smallest id of all that links of at most two bits reach."""
-    distinct = work.keep(fingerprints.groupBy("fp").agg(F.min(id).alias("least")))
+    distinct = work.keep(fingerprints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     links = meeting_links(distinct.select("fp"), "fp", "fp", 64, 1)
     roots = components.roots(links, work)
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
@@ -89,17 +89,18 @@ def components_of_fingerprints(fingerprints: DataFrame, work: Workspace, id: str
 
 
 def simhash_components(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """The given columns plus ``fingerprint`` (16 hex digits) and ``component_id``.
+    """The columns but the text, plus ``fingerprint`` (16 hex digits) and ``component_id``.
 
     The fingerprint is over 3-word shingles (A-Z lower-cased, repeats included). Fingerprints at two
     or fewer differing bits are linked; the component is the smallest id reachable. Null and blank
     texts have fingerprint zero and are linked like any other; shorter texts are one shingle. Rows
     with a null id take part but name no component unless it has no other row. Equal rows stay as
-    many as they were. Columns other than text and id are carried along, whatever their names, if
-    they are not named fp, fingerprint or component_id. An empty table gives no rows.
+    many as they were. Other columns are carried along; those named like a result give way to it.
+    An empty table gives no rows.
     """
     work = Workspace(docs.sparkSession, "simhash")
-    fps = work.keep(docs.withColumn("fp", fingerprint_of_three(text)).drop(text))
-    found = components_of_fingerprints(fps, work, id)
-    named = fps.join(found, "fp")
-    return named.select(*[c for c in docs.columns if c != text], hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+    kept = [c for c in docs.columns if c != text]
+    fps = work.keep(packed(docs, kept, fp=fingerprint_of_three(quoted(text)), doc_id=quoted(id)))
+    named = fps.join(components_of_fingerprints(fps, work), "fp")
+    results = [hex_digits(F.col("fp")).alias("fingerprint"), F.col("component_id")]
+    return unpacked(named, kept, *results, names=["fingerprint", "component_id"])
