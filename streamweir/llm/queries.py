@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streamweir.llm import mixing, quality, sharding, simhash
+from streamweir.llm import decontaminate, mixing, quality, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mix = F.col("mix")
@@ -43,6 +48,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_sharding": op4_sharding,
+    "op5_decontamination": op5_decontamination,
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
