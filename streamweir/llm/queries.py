@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamweir.llm import decontaminate, mixing, quality, sharding, simhash
@@ -47,6 +48,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op4_sharding": op4_sharding,
     "op5_decontamination": op5_decontamination,
     "op7_mixing": op7_mixing,

@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType
 
 from streamweir.llm import components
 from streamweir.llm.tables import Workspace, packed, quoted, unpacked
-from streamweir.llm.words import LOWER, pieces
+from streamweir.llm.words import LOWER, WordHashes, mixed, pieces, shingles
 
 BLOCK = 4096
 
@@ -88,6 +88,101 @@ def components_of_fingerprints(fingerprints: DataFrame, work: Workspace) -> Data
     return rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
 
 
+BANDS, BAND_BITS = 10, 32
+SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89, 0x452821E638D01377], np.uint64)
+
+
+def banded(words: np.ndarray, k: int = 2) -> list[int]:
+    """A SimHash of 320 bits over the distinct k-word shingles, in ten parts of 32 bits."""
+    distinct, out = np.unique(shingles(words, k)), []
+    for seed in SEEDS:
+        total = np.zeros(64, np.int64)
+        for at in range(0, len(distinct), BLOCK):
+            _add_bits(total, mixed(distinct[at : at + BLOCK] ^ seed))
+        out += np.packbits(2 * total > len(distinct), bitorder="little").view("<u4").tolist()
+    return out
+
+
+def _texts_as_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    memory = WordHashes()
+    for batch in batches:
+        words = [memory.of(t, LOWER) for t in batch["text"]]
+        yield pd.DataFrame({
+            "row_key": batch["row_key"], "doc_id": batch["doc_id"].astype("Int64"),
+            "node": np.array([xxhash.xxh64_intdigest(w.tobytes()) for w in words], np.uint64).view(np.int64),
+            "bands": [banded(w) for w in words],
+        })
+
+
+def _texts_as_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    memory = WordHashes()
+    for batch in batches:
+        sets = [np.unique(shingles(memory.of(t, LOWER), 5)).view(np.int64) for t in batch["text"]]
+        yield pd.DataFrame({"node": batch["node"], "shingles": sets})
+
+
+def _candidates(nodes: DataFrame, work: Workspace) -> DataFrame:
+    """Pairs ``a, b`` that come within two bits of one another in some band, and are no chance hit in the rest.
+
+    Nodes with the same bits in a band are linked to the least of them, and only that one is sent to
+    the band's variants. A random pair differs in half of the 320 bits; pairs beyond a quarter are let go.
+    """
+    spread = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    least = work.keep(spread.groupBy("band", "key").agg(F.min("node").alias("rep")))
+    stars = spread.join(least, ["band", "key"]).where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
+    balls = meeting_links(least, "rep", "key", BAND_BITS, 1, "band")
+    pairs = stars.union(balls).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    bands = nodes.select("node", "bands")
+    both = pairs.join(bands.toDF("a", "x"), "a").join(bands.toDF("b", "y"), "b")
+    apart = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, d: n + d)
+    return work.keep(both.where(apart <= BANDS * BAND_BITS // 4).select("a", "b"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets of shingles are similar enough."""
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+
+
+def near_copy_free(docs: DataFrame, text: str = "text", id: str = "doc_id", similarity: float = 0.8) -> DataFrame:
+    """The rows without near copies: of each group the one with the smallest id stays, as it was.
+
+    Texts with the same words (A-Z lower-cased) are copies. Others are near copies if their sets of 5-word
+    shingles have a Jaccard similarity of at least ``similarity``. Candidates come from a
+    SimHash of 320 bits in ten bands: a ball of one bit around every band meets others within two bits, which
+    finds a pair at 0.8 with a probability of over 0.99. Every candidate is verified unless its
+    two texts are already in one group. Texts without words are copies of one another; texts of fewer
+    words than five are one shingle. Null ids come last; of equal rows one stays. Other columns
+    are untouched. An empty table gives no rows.
+    """
+    work = Workspace(docs.sparkSession, "near-copies")
+    key = F.xxhash64(quoted(id).isNull(), quoted(id), quoted(text))
+    rows = docs.select(key.alias("row_key"), quoted(id).cast("long").alias("doc_id"), quoted(text).alias("text"))
+    found = work.keep(rows.mapInPandas(_texts_as_nodes, "row_key LONG, doc_id LONG, node LONG, bands ARRAY<LONG>"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first")
+    # equal texts have equal bands, so the smallest is theirs
+    nodes = work.keep(found.groupBy("node").agg(first, F.min("bands").alias("bands")))
+
+    pairs = _candidates(nodes, work)
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    # one row of each text in question, by its key
+    asked = nodes.join(paired, "node").select("node", F.col("first.row_key").alias("row_key"))
+    texts = rows.select("row_key", "text").join(asked, "row_key").dropDuplicates(["row_key"]).select("node", "text")
+    sets = work.keep(texts.mapInPandas(_texts_as_sets, "node LONG, shingles ARRAY<LONG>"))
+    some = work.keep(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, similarity))
+    roots = components.roots(some, work)
+    open = pairs.join(roots.toDF("a", "of_a"), "a", "left").join(roots.toDF("b", "of_b"), "b", "left")
+    open = work.keep(open.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
+    roots = components.roots(some.union(_verified(open, sets, similarity)), work)
+
+    rooted = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
+    stay = rooted.agg(F.min("first").alias("first")).select(F.col("first.row_key").alias("row_key"))
+    kept = packed(docs, own_key=key).join(stay, F.col("own_key") == F.col("row_key"))
+    turn = F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))
+    return unpacked(kept.withColumn("turn", turn).where("turn = 1"), docs.columns)
+
+
 def simhash_components(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """The columns but the text, plus ``fingerprint`` (16 hex digits) and ``component_id``.
 
