@@ -37,6 +37,26 @@ FROM sized d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
 JOIN places p ON d.source IS NOT DISTINCT FROM p.source AND d.place = p.place
 """
 
+# the template's own strings, as the formatted length counts them
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT *, lag(role) OVER w IS NOT DISTINCT FROM role AS follows,
+    length(role) + length(regexp_replace(role, '[^\\\x{2402}<\[]', '', 'g')) AS role_chars,
+    length(text) + length(regexp_replace(text, '[^\\\x{2402}<\[]', '', 'g')) AS text_chars
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(text_chars + CASE WHEN follows THEN length('\u2402part:') ELSE role_chars + length('\u2402role:') + length('\u2402text:') + length('\u2402end:') END) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+""".replace("\\u2402", "\u2402")
+
 SQL: dict[str, str] = {
+    "op1_chat_formatting": CHAT,
     "op7_mixing": MIXING,
 }
