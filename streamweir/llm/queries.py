@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streamweir.llm import chat, decontaminate, mixing, quality, sharding, simhash
+from streamweir.llm import chat, decontaminate, licenses, mixing, quality, sharding, simhash
 from streamweir.llm.tables import Workspace
 
 
@@ -32,6 +32,11 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.licensed(docs, keep_text=False).select("doc_id", "license.*")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
@@ -70,6 +75,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_chat_formatting": op1_chat_formatting,
+    "op3_license_scan": op3_license_scan,
     "op4_sharding": op4_sharding,
     "op5_decontamination": op5_decontamination,
     "op7_mixing": op7_mixing,
