@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from streamweir.llm import chat, decontaminate, licenses, mixing, quality, sharding, simhash
+from streamweir.llm import chat, decontaminate, licenses, mixing, quality, sharding, simhash, tokens
 from streamweir.llm.tables import Workspace
 
 
@@ -32,6 +32,21 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    corpus = tokens.written(docs, lambda: tokens.WordEncoder(path, "<u2"), "<u2", end_id=2)
+    copy = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id")) - 1
+    keys = docs.select("doc_id", copy.alias("copy")).select("doc_id", tokens.key_hash(F.col("doc_id"), F.col("copy")).alias("key_hash"))
+    rows = corpus.read(corpus.located(keys))
+    return rows.select(
+        "doc_id", (F.col("base") + F.col("at")).alias("start"), F.col("n").alias("n_tokens"),
+        tokens.crc_of_ids("<u2")("ids").alias("ids_crc32"),
+    )
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.licensed(docs, keep_text=False).select("doc_id", "license.*")
@@ -75,6 +90,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_token_output": op2_token_output,
     "op3_license_scan": op3_license_scan,
     "op4_sharding": op4_sharding,
     "op5_decontamination": op5_decontamination,
