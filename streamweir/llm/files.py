@@ -27,7 +27,7 @@ class Folder:
     def create(self, name: str):
         system, path = self._at(name)
         system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        return system.open_output_stream(path)
+        return system.open_output_stream(path, compression=None)
 
     def open(self, name: str):
         """For reading at any place."""

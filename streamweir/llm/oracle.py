@@ -56,7 +56,20 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """.replace("\\u2402", "\u2402")
 
+ARCHIVE = """
+WITH sized AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), first AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM first
+"""
+
 SQL: dict[str, str] = {
     "op1_chat_formatting": CHAT,
     "op7_mixing": MIXING,
+    "op8_warc": ARCHIVE,
 }

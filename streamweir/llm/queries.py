@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from streamweir.llm import chat, decontaminate, licenses, mixing, quality, sharding, simhash, tokens
+from streamweir.llm import chat, decontaminate, licenses, mixing, quality, sharding, simhash, tokens, warc
 from streamweir.llm.tables import Workspace
 
 
@@ -73,6 +73,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs, keep_text=False).select("doc_id", *[mix[c].alias(c) for c in ("size", "source_size", "target", "taken")])
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "warc")
+    captures = warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"), work)
+    index = work.keep(warc.merged(captures))
+    records = warc.read_back(index, work, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     m = F.col("measures")
@@ -95,6 +103,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_decontamination": op5_decontamination,
     "op7_mixing": op7_mixing,
+    "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
