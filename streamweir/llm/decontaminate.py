@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from streamweir.llm.simhash import _add_bits
 from streamweir.llm.tables import Workspace, packed, quoted, unpacked
-from streamweir.llm.words import ALNUM, WordHashes, shingles
+from streamweir.llm.words import ALNUM, WordHashes, grouped, shingles
 
 FILTER_BITS = 23
 RADIUS = 15
@@ -83,31 +83,41 @@ def windows_of(docs: DataFrame, items: DataFrame, k: int, similarity: float) ->
     lengths = sorted(r["n_words"] for r in items.select("n_words").distinct().toLocalIterator())
     needs = [(n, max(1, n - k + 1), least_common(max(1, n - k + 1), similarity)) for n in lengths]
 
+    fewest, brief = min((need for *_, need in needs), default=0), bool(lengths) and lengths[0] < k
+
+    def windows(words: np.ndarray, table: np.ndarray) -> Iterator[tuple]:
+        full = shingles(words, k) if len(words) >= k else np.empty(0, np.uint64)
+        hit = np.concatenate(([0], np.cumsum(table[full >> np.uint64(64 - FILTER_BITS)])))
+        for n_words, n, need in needs:
+            if n_words > len(words):
+                return
+            if n_words < k:  # an item shorter than a shingle is one shingle
+                own = shingles(words, n_words)
+                starts = np.flatnonzero(table[own >> np.uint64(64 - FILTER_BITS)])
+            elif hit[-1] < need:
+                continue
+            else:
+                own, starts = full, np.flatnonzero(hit[n:] - hit[:-n] >= need)
+            for at in starts:
+                yield int(at), n_words, _simhash(own[at : at + n]), numbered(own[at : at + n]).view(np.int64)
+
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory, table = WordHashes(), np.unpackbits(known).view(bool)
+        names = [c.split()[0] for c in WINDOWS.split(", ")]
         for batch in batches:
             found = []
-            for key, doc, text in zip(batch["row_key"], batch["doc_id"], batch["text"]):
-                words = memory.of(text, ALNUM)
-                full = shingles(words, k) if len(words) >= k else np.empty(0, np.uint64)
-                hit = np.concatenate(([0], np.cumsum(table[full >> np.uint64(64 - FILTER_BITS)])))
-                for n_words, n, need in needs:
-                    if n_words > len(words):
-                        break
-                    if n_words < k:  # an item shorter than a shingle is one shingle
-                        short = shingles(words, n_words)
-                        starts = np.flatnonzero(table[short >> np.uint64(64 - FILTER_BITS)])
-                    elif hit[-1] < need:
-                        continue
-                    else:
-                        short, starts = full, np.flatnonzero(hit[n:] - hit[:-n] >= need)
-                    for at in starts:
-                        own = short[at : at + n]
-                        found.append((key, doc, at, n_words, _simhash(own), numbered(own).view(np.int64)))
-                    if len(found) > 10_000:
-                        yield pd.DataFrame(found, columns=["row_key", "doc_id", "start", "n_words", "fp", "shingles"]).astype({"doc_id": "Int64"})
-                        found = []
-            yield pd.DataFrame(found, columns=["row_key", "doc_id", "start", "n_words", "fp", "shingles"]).astype({"doc_id": "Int64"})
+            keys, docs, texts = (batch[c].tolist() for c in ("row_key", "doc_id", "text"))
+            for rows in grouped(texts):
+                words = [memory.of(texts[i], ALNUM) for i in rows]
+                # known shingles of all the texts at once; those across two texts only add windows to look at
+                ends = np.cumsum([len(w) for w in words])
+                hits = np.concatenate(([0], np.cumsum(table[shingles(np.concatenate(words), k) >> np.uint64(64 - FILTER_BITS)])))
+                upto = hits[np.minimum(ends, len(hits) - 1)]
+                for i, own, n in zip(rows, words, np.diff(upto, prepend=0)):
+                    if needs and (brief or n >= fewest):
+                        found += [(keys[i], docs[i], *w) for w in windows(own, table)]
+            for at in range(0, len(found), 10_000):
+                yield pd.DataFrame(found[at : at + 10_000], columns=names).astype({"doc_id": "Int64"})
 
     return docs.mapInPandas(search, WINDOWS)
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from streamweir.llm.files import Folder
 from streamweir.llm.tables import Workspace, quoted
-from streamweir.llm.words import mixed
+from streamweir.llm.words import grouped, mixed
 
 FORMAT = {2: "<u2", 4: "<u4"}
 GAMMA = 1.6
@@ -71,18 +71,6 @@ class WordEncoder:
         return [b"".join(map(look, words)) for words in cut]
 
 
-def _grouped(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text)
-        if size >= most:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 # --- minimal perfect hash ---------------------------------------------------------------
 
 
@@ -251,8 +239,9 @@ def written(
                 name = folder.new_name("ids/shard", ".bin")
                 out = folder.create(name)
             sizes, done = [], 0
-            for group in _grouped(list(batch["text"])):
-                for ids in encode.encode(group):
+            texts = batch["text"].tolist()
+            for rows in grouped(texts):
+                for ids in encode.encode([texts[i] for i in rows]):
                     out.write(ids)
                     out.write(end)
                     sizes.append(len(ids) // len(end) + 1)

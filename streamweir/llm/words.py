@@ -57,6 +57,9 @@ class WordHashes(dict):
         return value
 
     def of(self, text: str | None, table: bytes) -> np.ndarray:
+        if text and len(text) <= PIECE // 4:
+            words = text.encode("utf-8", "surrogatepass").translate(table).split()
+            return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
         parts = [np.fromiter(map(self.__getitem__, words), np.uint64, len(words)) for words in pieces(text, table)]
         return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
@@ -64,10 +67,11 @@ class WordHashes(dict):
 def mixed(x: np.ndarray) -> np.ndarray:
     """Every input bit reaches every output bit (the finaliser of a 64-bit hash)."""
     x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    x ^= x >> np.uint64(33)
+    return x
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -75,10 +79,23 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     if len(words) == 0:
         return words
     k = min(k, len(words))
-    out = np.zeros(len(words) - k + 1, np.uint64)
-    for j in range(k):
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + words[j : j + len(out)])
-    return out
+    out = words[: len(words) - k + 1].copy()
+    for j in range(1, k):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += words[j : j + len(out)]
+    return mixed(out)
+
+
+def grouped(texts: list[str | None]) -> Iterator[range]:
+    """Numbers of consecutive texts that come to about a megabyte together."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text or "")
+        if size >= PIECE:
+            yield range(start, i + 1)
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield range(start, len(texts))
 
 
 def split_words(text: Column) -> Column:
