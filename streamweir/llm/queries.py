@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from streamweir.llm import chat, decontaminate, licenses, mixing, quality, sharding, simhash, tokens, warc
+from streamweir.llm import chat, decontaminate, licenses, lm, mixing, quality, sharding, simhash, tokens, warc
 from streamweir.llm.tables import Workspace
 
 
@@ -67,6 +67,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).drop("row_key")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lm.scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    per_word = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))
+    return rows.select(
+        "doc_id", "n_words", "backed_off", F.round("log_score", 4).alias("log_score"), F.round(F.exp(-per_word), 4).alias("perplexity"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mix = F.col("mix")
@@ -102,6 +110,7 @@ QUERIES = {
     "op3_license_scan": op3_license_scan,
     "op4_sharding": op4_sharding,
     "op5_decontamination": op5_decontamination,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_mixing": op7_mixing,
     "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,

@@ -86,12 +86,12 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     return mixed(out)
 
 
-def grouped(texts: list[str | None]) -> Iterator[range]:
-    """Numbers of consecutive texts that come to about a megabyte together."""
+def grouped(texts: list[str | None], most: int = PIECE) -> Iterator[range]:
+    """Numbers of consecutive texts that come to about a megabyte together (or so many characters)."""
     start, size = 0, 0
     for i, text in enumerate(texts):
         size += len(text or "")
-        if size >= PIECE:
+        if size >= most:
             yield range(start, i + 1)
             start, size = i + 1, 0
     if start < len(texts):
