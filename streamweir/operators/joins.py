@@ -30,6 +30,8 @@ def equi_join(
     how: str = "inner",
     hot: DataFrame | None = None,
     cells: int = CELLS,
+    left_id: str | None = None,
+    right_id: str | None = None,
 ) -> DataFrame:
     """Inner or left join on the key.
 
@@ -43,7 +45,7 @@ def equi_join(
     on = F.col(left_key) == F.col(right_key)
     if hot is not None:
         right_cells = cells if how == "inner" else 1
-        left, right, same_cell = spread(left, right, left_key, right_key, hot, cells, right_cells)
+        left, right, same_cell = spread(left, right, left_key, right_key, hot, cells, right_cells, left_id, right_id)
         on = on & same_cell
     return left.join(right, on, how).select(*columns)
 
@@ -55,9 +57,10 @@ def join_count(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     """
     a = left.groupBy(F.col(left_key).alias("a_key")).agg(F.count("*").alias("n_left"))
     b = right.groupBy(F.col(right_key).alias("b_key")).agg(F.count("*").alias("n_right"))
-    pairs = F.sum(F.col("n_left") * F.col("n_right"))
+    # a product of two counts may be beyond LONG where the sum of a real join would not be asked for
+    pairs = F.sum(F.col("n_left").cast("decimal(19,0)") * F.col("n_right").cast("decimal(19,0)"))
     return a.join(b, F.col("a_key") == F.col("b_key")).agg(
-        F.coalesce(pairs, F.lit(0)).alias("n_rows")
+        F.coalesce(pairs, F.lit(0)).cast("long").alias("n_rows")
     )
 
 
@@ -74,6 +77,8 @@ def interval_join(
     right_delay: str | None = None,
     hot: DataFrame | None = None,
     cells: int = CELLS,
+    left_id: str | None = None,
+    right_id: str | None = None,
 ) -> DataFrame:
     """Pairs of equal key with right_time in left_time .. left_time + horizon.
 
@@ -106,7 +111,9 @@ def interval_join(
         & (F.col(right_time) <= F.col(left_time) + F.expr(interval_sql(horizon)))
     )
     if hot is not None:
-        left, right, same_cell = spread(left, right, left_key, right_key, hot, cells)
+        # an inner join may split both sides of a hot key; a left join must keep each left row single
+        right_cells = cells if how == "inner" else 1
+        left, right, same_cell = spread(left, right, left_key, right_key, hot, cells, right_cells, left_id, right_id)
         on = on & same_cell
     return left.join(right, on, how).select(*columns)
 

@@ -7,7 +7,7 @@ finds each pair exactly once. All other keys stay in cell 0.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 PARTS = 128
 _SEED = 17
@@ -21,35 +21,26 @@ _LANES = 256
 def hot_keys(df: DataFrame, key: str, parts: int = PARTS, within: Column | None = None) -> DataFrame:
     """Keys that hold more than 1/parts of the rows.
 
-    With ``within``, only those that do so inside one value of that column, such as a time
-    bucket: a key that is spread over many of them needs no splitting.
+    With ``within``, those that do so inside one value of that column, such as a time
+    bucket: a micro-batch has one or two buckets, so that share is what a task would get. A key
+    that bursts in a single bucket is listed as well. Keys with less than 1/parts**2 of all rows in
+    the bucket are no load anywhere and are left out.
 
-    There are at most ``parts`` of them, whatever the data: that is the size bound on which
-    broadcasting the result rests. The keys are found in one pass by mergeable sketches, so
-    no table of all keys is shuffled. Which keys are listed affects the load only; joins are
-    right with any list.
+    There are at most ``parts`` of them, or ``parts ** 2`` with ``within``, whatever the data. The
+    keys are found in one pass by mergeable sketches, so no table of all keys is shuffled. Which
+    keys are listed affects the load only; joins are right with any list.
     """
+    inside = F.lit(True) if within is None else within
     counted = (
-        df.groupBy(F.pmod(F.spark_partition_id(), F.lit(_LANES)).alias("lane"))
+        df.groupBy(inside.alias("inside"), F.pmod(F.spark_partition_id(), F.lit(_LANES)).alias("lane"))
         .agg(F.expr(f"approx_top_k_accumulate({key}, {_TRACKED})").alias("sketch"), F.count("*").alias("n"))
-        .groupBy(F.lit(True))  # no rows in, no row out: an empty combination cannot be evaluated
+        .groupBy("inside")  # no rows in, no row out: an empty combination cannot be evaluated
         .agg(F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"), F.sum("n").alias("total"))
     )
-    top = (
-        counted.select(F.expr(f"inline(approx_top_k_estimate(sketch, {parts}))"), "total")
-        .where((F.col("count") * parts > F.col("total")) & F.col("item").isNotNull())
-        .select(F.col("item").alias("hot_key"), "total")
-    )
-    if within is None:
-        return top.select("hot_key")
-    return (
-        df.join(F.broadcast(top), F.col(key) == F.col("hot_key"))
-        .groupBy("hot_key", within.alias("within"))
-        .agg(F.count("*").alias("n_rows"), F.max("total").alias("total"))
-        .where(F.col("n_rows") * parts > F.col("total"))
-        .select("hot_key")
-        .distinct()
-    )
+    counted = counted.withColumn("all_rows", F.sum("total").over(Window.partitionBy()))
+    top = counted.select(F.expr(f"inline(approx_top_k_estimate(sketch, {parts}))"), "total", "all_rows")
+    hot = (F.col("count") * parts > F.col("total")) & (F.col("count") * parts * parts > F.col("all_rows"))
+    return top.where(hot & F.col("item").isNotNull()).select(F.col("item").alias("hot_key")).distinct()
 
 
 def pinned_hot_keys(
@@ -65,14 +56,20 @@ def pinned_hot_keys(
 
 
 def _flagged(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    marks = F.broadcast(hot.select("hot_key", F.lit(True).alias("is_hot")))
+    # a key listed twice must not double its rows; adaptive execution broadcasts the list if it is small
+    marks = hot.where("hot_key IS NOT NULL").select("hot_key").distinct().withColumn("is_hot", F.lit(True))
     return df.join(marks, F.col(key) == F.col("hot_key"), "left").drop("hot_key")
 
 
-def _dealt(is_hot: Column, cells: int) -> Column:
-    # by a seeded draw and not by a hash of the row: exact copies must be dealt out as well
-    draw = F.floor(F.rand(_SEED) * cells).cast("int")
-    return F.when(is_hot, draw).otherwise(F.lit(0))
+def _dealt(is_hot: Column, cells: int, row_id: str | None) -> Column:
+    """A cell for each row: by a hash of its id, which a repeated task finds again. Without an id by a seeded
+    draw, so that exact copies are dealt out as well; that is repeatable as long as the rows of a task come
+    in the same order, as they do from files."""
+    if row_id is not None:
+        deal = F.pmod(F.xxhash64(row_id, F.lit(_SEED)), F.lit(cells)).cast("int")
+    else:
+        deal = F.floor(F.rand(_SEED) * cells).cast("int")
+    return F.when(is_hot, deal).otherwise(F.lit(0))
 
 
 def _repeated(is_hot: Column, cells: int) -> Column:
@@ -88,23 +85,26 @@ def spread(
     hot: DataFrame,
     left_cells: int,
     right_cells: int = 1,
+    left_id: str | None = None,
+    right_id: str | None = None,
 ) -> tuple[DataFrame, DataFrame, Column]:
     """Both sides with their cells, and the condition that the cells are equal.
 
     A left row lives in one of ``left_cells``; right rows are repeated over them.
     With ``right_cells`` above 1 right rows are dealt out too and left rows repeated,
     so hot keys form a grid. That is for inner joins only: a left join needs each
-    left row exactly once.
+    left row exactly once. ``left_id`` and ``right_id`` name columns that tell the rows apart: needed
+    after a shuffle, where a repeated task gets its rows in another order.
     """
     left = _flagged(left, left_key, hot)
     right = _flagged(right, right_key, hot)
     is_hot = F.col("is_hot")
     # rows without a key match nothing, so any cell will do: they must not pile up in one
-    left = left.withColumn("left_cell", _dealt(is_hot | F.col(left_key).isNull(), left_cells))
+    left = left.withColumn("left_cell", _dealt(is_hot | F.col(left_key).isNull(), left_cells, left_id))
     right = right.withColumn("right_cell", _repeated(is_hot, left_cells))
     match = F.col("left_cell") == F.col("right_cell")
     if right_cells > 1:
         left = left.withColumn("left_row", _repeated(is_hot, right_cells))
-        right = right.withColumn("right_row", _dealt(is_hot, right_cells))
+        right = right.withColumn("right_row", _dealt(is_hot, right_cells, right_id))
         match = match & (F.col("left_row") == F.col("right_row"))
     return left.drop("is_hot"), right.drop("is_hot"), match

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from streamweir.sources import generate
 from streamweir.sources.streams import read_stream
 from streamweir.sources.tables import read_table, table_schema
 
@@ -31,12 +32,22 @@ def impressions(df: DataFrame) -> DataFrame:
     return df.where("event_type = 'view'").selectExpr("user_id AS adId", "ts AS impressionTime")
 
 
-def clicks(df: DataFrame, key: str = "clickAdId", above: float | None = None) -> DataFrame:
-    """Clicks, or those of a value above the bound: then some impressions have none."""
-    chosen = df.where("event_type = 'click'")
-    if above is not None:
-        chosen = chosen.where(F.col("value") > above)
-    return chosen.selectExpr(f"user_id AS {key}", "ts AS clickTime")
+def clicks(df: DataFrame, key: str = "clickAdId") -> DataFrame:
+    return df.where("event_type = 'click'").selectExpr(f"user_id AS {key}", "ts AS clickTime")
+
+
+def _ticks(df: DataFrame) -> DataFrame:
+    return df.selectExpr("ts AS timestamp", "event_id AS value")
+
+
+def shown_ads(df: DataFrame) -> DataFrame:
+    """An impression per event: ads are shown once, so a key has one row."""
+    return generate.impressions(_ticks(df))
+
+
+def clicked_ads(df: DataFrame, seed: int) -> DataFrame:
+    """Clicks on a tenth of the ads, some of them shown before the table begins."""
+    return generate.clicks(_ticks(df), seed).withColumnRenamed("adId", "clickAdId")
 
 
 def cdc(df: DataFrame) -> DataFrame:
@@ -63,19 +74,21 @@ def landed_event_stream(spark: SparkSession, path: str, like: DataFrame) -> Data
 
 
 def time_slices(df: DataFrame, n: int) -> list[DataFrame]:
-    """The rows in n parts of equal time span, oldest first.
+    """The rows in n parts of equal time span, oldest first; rows without a time are in the first.
 
     Each part is a plain range filter on ``ts``, which reaches the scan.
     """
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     first, last = df.agg(F.min(at), F.max(at)).first()
+    if first is None:
+        return [df] + [df.where("false")] * (n - 1)
     span = last - first + 1
     edges = [first + -(-k * span // n) for k in range(n + 1)]
     kind = df.schema["ts"].dataType.typeName()
     bounds = [F.timestamp_micros(F.lit(edge)).cast(kind) for edge in edges]
-    return [
-        df.where((F.col("ts") >= low) & (F.col("ts") < high)) for low, high in zip(bounds, bounds[1:])
-    ]
+    inside = [(F.col("ts") >= low) & (F.col("ts") < high) for low, high in zip(bounds, bounds[1:])]
+    inside[0] = inside[0] | F.col("ts").isNull()
+    return [df.where(part) for part in inside]
 
 
 def without_zone(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from streamweir.functions.draws import BASE26_DIGITS, LETTERS
 from streamweir.plans.queries import (
     AGG_DELAY, CLICK_DELAY, GROUPS, HORIZON, IMPRESSION_DELAY, LIVE_AGG_DELAY, LIVE_GROUPS,
-    LIVE_HORIZON, LIVE_WINDOW, MIN_CLICK_VALUE, SEED, SLIDE, WINDOW,
+    LIVE_APPEND_DELAY, LIVE_HORIZON, LIVE_SLIDE, LIVE_WINDOW, REPLAY_BATCHES, SEED, SLIDE, WINDOW,
 )
 from streamweir.sources.generate import CLICK_LAG, CLICK_PERCENT, MAX_AMOUNT, MAX_ID, WORD_LENGTHS
 
@@ -73,12 +73,6 @@ def _left_columns(sql: str) -> str:
     return f'SELECT i_ad AS "adId", i_ts AS "impressionTime", c_ts AS "clickTime" FROM ({sql})'
 
 
-BATCH_LEFT = f"""
-SELECT i.ad AS "adId", i.ts AS "impressionTime", c.ts AS "clickTime"
-FROM ({VIEWS}) i
-LEFT JOIN (SELECT user_id AS ad, ts FROM events WHERE event_type = 'click' AND value > {MIN_CLICK_VALUE}) c
-  ON i.ad = c.ad"""
-
 JOINED = f"""
 SELECT i.ad AS "adId", i.ts AS "impressionTime", c.ts AS "clickTime"
 FROM ({VIEWS}) i JOIN ({CLICKS}) c ON i.ad = c.ad"""
@@ -147,6 +141,11 @@ UNION ALL
 SELECT event_id - {CLICK_LAG}, ts, 'click' FROM events
 WHERE {_int('event_id', 'click', 0, 99)} < {CLICK_PERCENT} AND event_id - {CLICK_LAG} > 0"""
 
+AD_PAIRS = f"""
+SELECT i.event_id AS "adId", i.ts AS "impressionTime", c.at AS "clickTime"
+FROM events i {{}} JOIN (SELECT * FROM ({GEN_ADS}) WHERE kind = 'click') c ON i.event_id = c."adId" """
+AD_INNER, AD_LEFT = AD_PAIRS.format(""), AD_PAIRS.format("LEFT")
+
 # Payload text
 
 
@@ -158,8 +157,8 @@ CDC_PAYLOAD = f"""
 '{{"amount":' || amount || ',"id":' || id || ',"name":"' || name || '","op":"' || op
 || '","table":"' || "table" || '","ts":"' || {_json_time('ts')} || '","value":' || to_json(value) || '}}'"""
 
-INT_VIEWS = f"SELECT CAST(ad AS INTEGER) AS ad, {_ms('ts')} AS ts, ts + interval '1 second' AS arrival FROM ({VIEWS})"
-INT_CLICKS = f"SELECT CAST(ad AS INTEGER) AS ad, {_ms('ts')} AS ts, ts + interval '1 second' AS arrival FROM ({CLICKS})"
+INT_VIEWS = f"SELECT ad, {_ms('ts')} AS ts, ts + interval '1 second' AS arrival FROM ({VIEWS})"
+INT_CLICKS = f"SELECT ad, {_ms('ts')} AS ts, ts + interval '1 second' AS arrival FROM ({CLICKS})"
 
 DATASET_LEFT = f"""
 SELECT i_ad AS "impressionAdId", i_ts AS "impressionTime", i_arrival AS arrival_time,
@@ -182,7 +181,9 @@ UNION ALL SELECT 'events', count(*) FROM events
 UNION ALL SELECT 'orders', count(*) FROM orders""",
     "stream_scan": "SELECT * FROM events",
     "rate_micro_batch": """
-SELECT event_id, user_id, event_type, TIMESTAMP '1970-01-01 00:00:00.1' AS replayed_at FROM events""",
+SELECT event_id, user_id, event_type,
+       TIMESTAMP '1970-01-01 00:00:00.1' + to_seconds((row_number() OVER (ORDER BY event_id) - 1)
+         // (((SELECT count(*) FROM events) + {batches} - 1) // {batches})) AS replayed_at FROM events""".format(batches=REPLAY_BATCHES),
     "gen_cdc": GEN_CDC,
     "gen_cdc_wide": GEN_CDC_WIDE,
     "gen_ads": GEN_ADS,
@@ -201,7 +202,7 @@ GROUP BY origin""",
     "bronze_land": f"""
 SELECT 'impression' AS kind, ad AS "adId", ts AS at, arrival AS arrival_time FROM ({INT_VIEWS})
 UNION ALL SELECT 'click', ad, ts, arrival FROM ({INT_CLICKS})""",
-    "bronze_latency": f"SELECT count(*) AS n_rows, count(*) AS n_in_order FROM ({VIEWS})",
+    "bronze_latency": "SELECT count(*) AS n_rows, count(*) AS n_in_order FROM events WHERE event_type IN ('view', 'click')",
     "agg_global_complete": f"SELECT CAST(sum(amount) AS BIGINT) AS sum FROM ({CDC})",
     "agg_keyed_complete": f"SELECT id, CAST(sum(amount) AS BIGINT) AS sum FROM ({CDC}) GROUP BY id",
     "agg_tumbling": _windows(WINDOW, AGG_DELAY, GROUPS, _bucket(WINDOW), CDC, True),
@@ -210,6 +211,10 @@ UNION ALL SELECT 'click', ad, ts, arrival FROM ({INT_CLICKS})""",
         WINDOW, AGG_DELAY, GROUPS, f"{_bucket(SLIDE)} - k * interval '{SLIDE}'", CDC, False),
     "agg_sliding_append": _windows(
         WINDOW, AGG_DELAY, GROUPS, f"{_bucket(SLIDE)} - k * interval '{SLIDE}'", CDC, True),
+    "agg_sliding_update_live": _windows(
+        LIVE_WINDOW, LIVE_AGG_DELAY, LIVE_GROUPS, f"{_bucket(LIVE_SLIDE)} - k * interval '{LIVE_SLIDE}'", CDC, False),
+    "agg_sliding_append_live": _windows(
+        LIVE_WINDOW, LIVE_APPEND_DELAY, LIVE_GROUPS, f"{_bucket(LIVE_SLIDE)} - k * interval '{LIVE_SLIDE}'", CDC, True),
     "late_drop": _windows(
         WINDOW, AGG_DELAY, GROUPS, _bucket(WINDOW),
         f"""SELECT c.* FROM ({CDC}) c JOIN ({SLICED}) e ON c.name = 'Test' || e.event_id
@@ -220,18 +225,18 @@ UNION ALL SELECT 'click', ad, ts, arrival FROM ({INT_CLICKS})""",
     "join_interval_left": _left_columns(_interval_left(HORIZON)),
     "join_interval_inner_live": _interval_inner(LIVE_HORIZON),
     "join_interval_left_live": _left_columns(_interval_left(LIVE_HORIZON)),
-    "join_stream_unbounded": JOINED,
+    "join_stream_unbounded": AD_INNER,
     "join_stream_static": _interval_inner(HORIZON),
     "join_static_refreshed": _interval_inner(HORIZON),
-    "join_batch_inner": JOINED,
+    "join_batch_inner": AD_INNER,
     "join_batch_count": f"SELECT count(*) AS n_rows FROM ({JOINED})",
-    "join_batch_left": BATCH_LEFT,
-    "matched_only": f'SELECT * FROM ({BATCH_LEFT}) WHERE "clickTime" IS NOT NULL',
-    "incremental_left": BATCH_LEFT,
+    "join_batch_left": AD_LEFT,
+    "matched_only": f'SELECT * FROM ({AD_LEFT}) WHERE "clickTime" IS NOT NULL',
+    "incremental_left": AD_LEFT,
     "reconcile": f"""
 SELECT count(*) AS n_truth, count(*) AS n_result, CAST(0 AS BIGINT) AS n_missing,
        CAST(0 AS BIGINT) AS n_surplus
-FROM ({BATCH_LEFT})""",
+FROM ({AD_LEFT})""",
     "bag_difference": """
 WITH views AS (SELECT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'view'),
      clicks AS (SELECT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'click')

@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from streamweir.functions.codec import decode_messages, encode_messages, undecodable
 from streamweir.functions.timing import time_bucket
@@ -17,7 +18,7 @@ from streamweir.operators import aggregate, bags, joins, skew
 from streamweir.plans import inputs
 from streamweir.plans.datasets import DatasetFlow
 from streamweir.schemas import (
-    BRONZE_CLICK, BRONZE_IMPRESSION, CDC, CLICK, IMPRESSION,
+    BRONZE_CLICK, BRONZE_IMPRESSION, CDC, CLICK_LONG, IMPRESSION_LONG,
 )
 from streamweir.session import new_run_dir, tune
 from streamweir.sources import generate
@@ -43,7 +44,6 @@ GROUPS = 4
 HORIZON = timedelta(hours=6)
 IMPRESSION_DELAY = "10 seconds"
 CLICK_DELAY = "20 seconds"
-MIN_CLICK_VALUE = 150
 SEED = 7
 
 # The parameters of a live stream.
@@ -51,6 +51,9 @@ LIVE_WINDOW = "10 seconds"
 LIVE_AGG_DELAY = "20 seconds"
 LIVE_GROUPS = 2000
 LIVE_HORIZON = timedelta(minutes=1)
+LIVE_SLIDE = "5 seconds"
+LIVE_APPEND_DELAY = "20 minutes"
+REPLAY_BATCHES = 10
 
 
 def query(make: Query) -> Query:
@@ -72,6 +75,7 @@ def _feed(
     """Land the events one slice of time after the other; ``step`` drains the stream in between."""
     source = inputs.raw_events(spark, sf_dir)
     slices = inputs.time_slices(source, parts)
+    ensure_table(spark, landing, source.schema)
     for number in order:
         append_table(slices[number], landing)
         step(inputs.landed_event_stream(spark, landing, source))
@@ -117,16 +121,42 @@ def stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain_to_table(inputs.raw_event_stream(spark, sf_dir), new_run_dir(spark, "stream_scan"))
 
 
+def _numbered(df: DataFrame, key: str, root: str) -> DataFrame:
+    """``number`` from 0 without gaps in the order of the key: rows before in earlier ranges, and place in the own one.
+
+    Ranges are cut by sampling and written, so that their numbers are counted over what is then read.
+    """
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(_cores(spark), F.col(key).asc_nulls_last())
+    append_table(ranged.withColumn("part", F.spark_partition_id()), f"{root}/ranges")
+    rows = read_table(spark, f"{root}/ranges")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per range
+    starts = rows.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.col(key).asc_nulls_last())) - 1
+    return rows.withColumn("place", place).join(starts, "part").withColumn("number", F.col("start") + F.col("place")).drop("part", "place", "start")
+
+
 @query
 def rate_micro_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event at the pace of the rate source: tick n is event n."""
-    stored = inputs.events(spark, sf_dir).select("event_id", "user_id", "event_type")
-    last = stored.agg(F.max("event_id")).first()[0]
-    ticks = rate_per_batch(spark, last + 1, start_ms=100, advance_ms=1000, partitions=max(10, _cores(spark)))
-    paced = ticks.join(stored, F.col("value") == F.col("event_id")).select(
-        "event_id", "user_id", "event_type", F.col("timestamp").alias("replayed_at")
-    )
-    return drain_to_table(paced, new_run_dir(spark, "rate_micro_batch"))
+    """Every event at the pace of the rate source: tick n is the event that n others come before.
+
+    The source makes a tenth of the ticks per batch, one second after the batch before; a run takes what
+    there is, so one checkpoint is drained until all events have had their tick.
+    """
+    root = new_run_dir(spark, "rate_micro_batch")
+    stored = _numbered(inputs.events(spark, sf_dir).select("event_id", "user_id", "event_type"), "event_id", root)
+    ensure_table(spark, f"{root}/stored", stored.schema)
+    append_table(stored, f"{root}/stored")
+    stored = read_table(spark, f"{root}/stored")
+    per_batch = -(-stored.count() // REPLAY_BATCHES)
+    ensure_table(spark, f"{root}/data", "event_id LONG, user_id LONG, event_type STRING, replayed_at TIMESTAMP")
+    for _ in range(REPLAY_BATCHES if per_batch else 0):
+        ticks = rate_per_batch(spark, per_batch, start_ms=100, advance_ms=1000, partitions=max(10, _cores(spark)))
+        paced = ticks.join(stored, F.col("value") == F.col("number")).select(
+            "event_id", "user_id", "event_type", F.col("timestamp").alias("replayed_at")
+        )
+        drain_to_table(paced, root)
+    return read_table(spark, f"{root}/data")
 
 
 # Generators: one generated row per stored row
@@ -223,9 +253,13 @@ def bronze_land(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bronze_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown, _ = _bronze_tables(spark, sf_dir, "bronze_latency")
+    shown, clicked = _bronze_tables(spark, sf_dir, "bronze_latency")
+    landed = bags.bag_union(
+        shown.select("arrival_time", "processing_time"),
+        clicked.selectExpr("click_arrival_time AS arrival_time", "click_processing_time AS processing_time"),
+    )
     in_order = F.col("arrival_time") <= F.col("processing_time")
-    return shown.agg(F.count("*").alias("n_rows"), F.count_if(in_order).alias("n_in_order"))
+    return landed.agg(F.count("*").alias("n_rows"), F.count_if(in_order).alias("n_in_order"))
 
 
 def _bronze_tables(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
@@ -233,9 +267,9 @@ def _bronze_tables(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFra
     root = new_run_dir(spark, name)
     landed_shown = _land(spark, inputs.impressions(source), "adId", "impressionTime", "messages_shown")
     landed_clicks = _land(spark, inputs.clicks(source, "adId"), "adId", "clickTime", "messages_clicks")
-    shown = decode_messages(read_messages(spark, landed_shown), IMPRESSION)
+    shown = decode_messages(read_messages(spark, landed_shown), IMPRESSION_LONG)
     clicked = (
-        decode_messages(read_messages(spark, landed_clicks), CLICK)
+        decode_messages(read_messages(spark, landed_clicks), CLICK_LONG)
         .withColumnRenamed("arrival_time", "click_arrival_time")
         .withColumnRenamed("processing_time", "click_processing_time")
     )
@@ -290,6 +324,26 @@ def agg_tumbling_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain_to_table(aggregate.flat_window(sums), new_run_dir(spark, "agg_tumbling_live"))
 
 
+def _live_sums(spark: SparkSession, sf_dir: str, delay: str) -> DataFrame:
+    group = aggregate.bucketed("id", LIVE_GROUPS)
+    return aggregate.flat_window(
+        aggregate.windowed_sum(_cdc_stream(spark, sf_dir), "ts", delay, LIVE_WINDOW, group, "amount", LIVE_SLIDE)
+    )
+
+
+@query
+def agg_sliding_update_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_run_dir(spark, "agg_sliding_update_live")
+    sums = _live_sums(spark, sf_dir, LIVE_AGG_DELAY)
+    run_stream(sums, mode="update", checkpoint=f"{root}/checkpoint", each_batch=ChangeLogSink(root))
+    return read_change_log(spark, root, ["window_start", "window_end", "group"])
+
+
+@query
+def agg_sliding_append_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drain_to_table(_live_sums(spark, sf_dir, LIVE_APPEND_DELAY), new_run_dir(spark, "agg_sliding_append_live"))
+
+
 @query
 def agg_sliding_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_run_dir(spark, "agg_sliding_update")
@@ -364,10 +418,7 @@ def join_interval_left_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_stream_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_run_dir(spark, "join_stream_unbounded")
     stream = inputs.event_stream(spark, sf_dir)
-    joined = joins.equi_join(
-        inputs.impressions(stream), inputs.clicks(stream), "adId", "clickAdId",
-        hot=_hot_ads(spark, sf_dir, root),
-    )
+    joined = joins.equi_join(inputs.shown_ads(stream), inputs.clicked_ads(stream, SEED), "adId", "clickAdId")
     return drain_to_table(joined, root).select("adId", "impressionTime", "clickTime")
 
 
@@ -388,33 +439,37 @@ def join_static_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The click table is filled after the query was planned, and is seen all the same."""
     root = new_run_dir(spark, "join_static_refreshed")
     step = RefreshedStaticJoin(
-        f"{root}/clicks", f"{root}/data", ["clickAdId", "clickTime"],
+        f"{root}/clicks", f"{root}/out", ["clickAdId", "clickTime"],
         "adId", "clickAdId", "impressionTime", "clickTime", HORIZON,
     )
     shown = inputs.impressions(inputs.event_stream(spark, sf_dir))
     append_table(inputs.clicks(inputs.events(spark, sf_dir)), f"{root}/clicks")
     run_stream(shown, checkpoint=f"{root}/checkpoint", each_batch=step)
-    return read_table(spark, f"{root}/data").select("adId", "impressionTime", "clickTime")
+    schema = StructType([*shown.schema.fields, *inputs.clicks(inputs.events(spark, sf_dir)).schema.fields])
+    return step.result(spark, schema).select("adId", "impressionTime", "clickTime")
+
+
+def _ads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every event shows an ad of its own, and a tenth of the ads are clicked later: pairs grow with the rows."""
+    source = inputs.events(spark, sf_dir)
+    return inputs.shown_ads(source), inputs.clicked_ads(source, SEED)
 
 
 @query
 def join_batch_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = inputs.events(spark, sf_dir)
-    joined = joins.equi_join(inputs.impressions(source), inputs.clicks(source), "adId", "clickAdId")
+    joined = joins.equi_join(*_ads(spark, sf_dir), "adId", "clickAdId")
     return joined.select("adId", "impressionTime", "clickTime")
 
 
 @query
 def join_batch_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views times clicks per user: the product is counted and never made."""
     source = inputs.events(spark, sf_dir)
     return joins.join_count(inputs.impressions(source), inputs.clicks(source), "adId", "clickAdId")
 
 
 def _batch_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = inputs.events(spark, sf_dir)
-    joined = joins.equi_join(
-        inputs.impressions(source), inputs.clicks(source, above=MIN_CLICK_VALUE), "adId", "clickAdId", "left"
-    )
+    joined = joins.equi_join(*_ads(spark, sf_dir), "adId", "clickAdId", "left")
     return joined.select("adId", "impressionTime", "clickTime")
 
 
@@ -430,14 +485,11 @@ def matched_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _incremental(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     root = new_run_dir(spark, name)
-    source = inputs.events(spark, sf_dir)
-    kept = IncrementalLeftJoin(
-        spark, f"{root}/join", inputs.impressions(source).schema,
-        inputs.clicks(source).schema, ["adId"], ["clickAdId"],
-    )
+    shown, clicked = _ads(spark, sf_dir)
+    kept = IncrementalLeftJoin(spark, f"{root}/join", shown.schema, clicked.schema, ["adId"], ["clickAdId"])
 
     def step(stream: DataFrame) -> None:
-        drain(kept.start(inputs.impressions(stream), inputs.clicks(stream, above=MIN_CLICK_VALUE)))
+        drain(kept.start(inputs.shown_ads(stream), inputs.clicked_ads(stream, SEED)))
 
     _feed(spark, sf_dir, 4, [2, 0, 3, 1], f"{root}/landing", step)
     return kept.result().select("adId", "impressionTime", "clickTime")
@@ -529,12 +581,12 @@ def dataset_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     @flow.dataset
     def impressions_bronze() -> DataFrame:
-        return decode_messages(flow.read_stream("impressions_raw"), IMPRESSION)
+        return decode_messages(flow.read_stream("impressions_raw"), IMPRESSION_LONG)
 
     @flow.dataset
     def clicks_bronze() -> DataFrame:
         return decode_messages(
-            flow.read_stream("clicks_raw"), CLICK, "clicks_arrival_time", "clicks_processing_time"
+            flow.read_stream("clicks_raw"), CLICK_LONG, "clicks_arrival_time", "clicks_processing_time"
         )
 
     @flow.dataset

@@ -31,8 +31,8 @@ CLICK_LONG = "adId LONG, clickTime TIMESTAMP"
 # Landing tables. The click side carries its own names so that a later join has
 # no duplicate columns.
 BRONZE_IMPRESSION = (
-    "adId INT, impressionTime TIMESTAMP, arrival_time TIMESTAMP, processing_time TIMESTAMP"
+    "adId LONG, impressionTime TIMESTAMP, arrival_time TIMESTAMP, processing_time TIMESTAMP"
 )
 BRONZE_CLICK = (
-    "adId INT, clickTime TIMESTAMP, click_arrival_time TIMESTAMP, click_processing_time TIMESTAMP"
+    "adId LONG, clickTime TIMESTAMP, click_arrival_time TIMESTAMP, click_processing_time TIMESTAMP"
 )

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import logging
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
-
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 log = logging.getLogger("streamweir")
 
-DEFAULT_SHUFFLE_PARTITIONS = "200"
+PARTITIONS = "spark.sql.shuffle.partitions"
+_starting = threading.Lock()
 
 
 def state_partitions_for(spark: SparkSession) -> int:
@@ -22,10 +24,8 @@ def state_partitions_for(spark: SparkSession) -> int:
     regroup it: Spark's own default is far too many for one machine and far too few
     for a large cluster. Under dynamic allocation set the number.
     """
-    chosen = spark.conf.get("spark.sql.shuffle.partitions")
-    if chosen != DEFAULT_SHUFFLE_PARTITIONS:
-        return int(chosen)
-    return spark.sparkContext.defaultParallelism
+    chosen = spark.conf.getAll.get(PARTITIONS)
+    return int(chosen) if chosen is not None else spark.sparkContext.defaultParallelism
 
 
 @dataclass
@@ -51,6 +51,54 @@ class RunReport:
         self.watermark = (progress.get("eventTime") or {}).get("watermark", self.watermark)
 
 
+class _Reports(StreamingQueryListener):
+    """Adds up every progress of the queries that were started here; Spark itself keeps the last 100."""
+
+    def __init__(self):
+        self.reports: dict[str, RunReport] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def expect(self, run_id: str) -> None:
+        self.reports.setdefault(run_id, RunReport(run_id))
+        self.ended.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self.expect(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        report = self.reports.get(str(event.progress.runId))
+        if report is not None:
+            report.add(json.loads(event.progress.json))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        ended = self.ended.get(str(event.runId))
+        if ended is not None:
+            ended.set()
+
+    def take(self, run_id: str) -> RunReport | None:
+        """The report of an ended query; its last progress comes shortly after its end."""
+        ended = self.ended.get(run_id)
+        if ended is None or not ended.wait(60):
+            return None
+        self.ended.pop(run_id)
+        return self.reports.pop(run_id)
+
+
+_listeners: dict[int, tuple[SparkSession, _Reports]] = {}
+
+
+def _reports_of(spark: SparkSession) -> _Reports:
+    """The session's listener, added once."""
+    known = _listeners.get(id(spark))
+    if known is None or known[0] is not spark:
+        known = _listeners[id(spark)] = (spark, _Reports())
+        spark.streams.addListener(known[1])
+    return known[1]
+
+
 def start_stream(
     df: DataFrame,
     checkpoint: str | None = None,
@@ -86,12 +134,17 @@ def start_stream(
         out = out.format(fmt)
 
     spark = df.sparkSession
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", state_partitions or state_partitions_for(spark))
-    try:
-        return out.start(path) if path else out.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    _reports_of(spark)
+    with _starting:  # the setting is the session's: one start at a time
+        before = spark.conf.getAll.get(PARTITIONS)
+        spark.conf.set(PARTITIONS, state_partitions or state_partitions_for(spark))
+        try:
+            return out.start(path) if path else out.start()
+        finally:
+            if before is None:
+                spark.conf.unset(PARTITIONS)
+            else:
+                spark.conf.set(PARTITIONS, before)
 
 
 def drain(*queries: StreamingQuery, timeout: int | None = None) -> list[RunReport]:
@@ -102,9 +155,11 @@ def drain(*queries: StreamingQuery, timeout: int | None = None) -> list[RunRepor
         if finished is False:
             query.stop()
             raise TimeoutError(f"{query.name or query.id} did not finish in {timeout} s")
-        report = RunReport(query.name or str(query.id))
-        for progress in query.recentProgress:
-            report.add(progress)
+        # a finished query no longer knows its session; the listener that saw it start does
+        report = next((r for _, known in list(_listeners.values()) if (r := known.take(str(query.runId)))), None)
+        if report is None:
+            raise ValueError(f"{query.name or query.id} was not started by start_stream")
+        report.name = query.name or str(query.id)
         log.info("drained %s: %s rows", report.name, report.input_rows, extra={"report": report})
         reports.append(report)
     return reports

@@ -105,7 +105,7 @@ def test_crash_before_the_commit(spark, folder, monkeypatch):
         stream = read_stream(spark, f"{folder}-in")
 
         def start():
-            return join.start(inputs.impressions(stream), inputs.clicks(stream, above=150))
+            return join.start(inputs.impressions(stream), inputs.clicks(stream.where("value > 150")))
 
         if len(landed) == 2:
             before = bag(join.result())
@@ -115,7 +115,7 @@ def test_crash_before_the_commit(spark, folder, monkeypatch):
         drain(start())
         seen = bag_union(*landed)
         truth = inputs.impressions(seen).join(
-            inputs.clicks(seen, above=150), F.col("adId") == F.col("clickAdId"), "left"
+            inputs.clicks(seen.where("value > 150")), F.col("adId") == F.col("clickAdId"), "left"
         )
         assert bag(join.result()) == bag(truth)
 
