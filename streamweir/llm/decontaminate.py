@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from streamweir.llm.simhash import _add_bits
 from streamweir.llm.tables import Workspace, packed, quoted, unpacked
-from streamweir.llm.words import ALNUM, WordHashes, grouped, shingles
+from streamweir.llm.words import ALNUM, WordHashes, grouped, mixed, shingles
 
 FILTER_BITS = 23
 RADIUS = 15
@@ -45,8 +45,15 @@ def numbered(hashes: np.ndarray) -> np.ndarray:
     return values + copy * np.uint64(0x9E3779B97F4A7C15)
 
 
+def slots(hashes: np.ndarray, n_words: int = 0) -> np.ndarray:
+    """Places of the shingles in a filter, other ones for items of each length."""
+    if n_words:
+        hashes = mixed(hashes ^ np.uint64(n_words * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
+    return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
 def items_of(benchmark: DataFrame, k: int, text: str, id: str) -> DataFrame:
-    """``item_id, n_words, fp, bag, shingles`` of every item with a word."""
+    """``item_id, n_words, fp, bag, slots, own_slots`` of every item with a word."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory = WordHashes()
@@ -56,66 +63,59 @@ def items_of(benchmark: DataFrame, k: int, text: str, id: str) -> DataFrame:
                 words = memory.of(t, ALNUM)
                 if len(words):
                     s = shingles(words, k)
-                    out.append((item, len(words), _simhash(s), numbered(s).view(np.int64), s.view(np.int64)))
-            yield pd.DataFrame(out, columns=["item_id", "n_words", "fp", "bag", "shingles"])
+                    out.append((item, len(words), _simhash(s), numbered(s).view(np.int64), slots(s), slots(s, len(words))))
+            yield pd.DataFrame(out, columns=["item_id", "n_words", "fp", "bag", "slots", "own_slots"]).astype({"item_id": "Int64"})
 
     rows = benchmark.select(quoted(id).cast("long").alias("item_id"), quoted(text).alias("text"))
-    return rows.mapInPandas(encode, "item_id LONG, n_words INT, fp LONG, bag ARRAY<LONG>, shingles ARRAY<LONG>")
+    return rows.mapInPandas(encode, "item_id LONG, n_words INT, fp LONG, bag ARRAY<LONG>, slots ARRAY<LONG>, own_slots ARRAY<LONG>")
 
 
-def known_shingles(items: DataFrame) -> np.ndarray:
+def known_slots(items: DataFrame, column: str) -> np.ndarray:
     """A bit for each of 2 ** 23 slots that some item's shingle has: a megabyte, whatever the benchmark."""
-    slots = items.select(F.explode("shingles").alias("h")).select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("slot"))
-    words = slots.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
+    taken = items.select(F.explode(column).alias("slot"))
+    words = taken.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
     known = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     for row in words.toLocalIterator():
         known[row["at"]] = row["bits"]
-    return np.unpackbits(known.view(np.uint8), bitorder="little").view(bool)
+    return known.view(np.uint8)
 
 
 def windows_of(docs: DataFrame, items: DataFrame, k: int, similarity: float) -> DataFrame:
     """Windows as long as some item, at every word, that can be similar enough to an item of that length.
 
-    A window must have enough shingles that any item has. Counting them with running sums skips the
+    A window must have enough shingles that items of its length have. Counting them with running sums skips the
     windows that cannot be similar to anything, which are nearly all, before they get a fingerprint.
     """
-    known = np.packbits(known_shingles(items))
+    known, own_known = known_slots(items, "slots"), known_slots(items, "own_slots")
     lengths = sorted(r["n_words"] for r in items.select("n_words").distinct().toLocalIterator())
     needs = [(n, max(1, n - k + 1), least_common(max(1, n - k + 1), similarity)) for n in lengths]
-
     fewest, brief = min((need for *_, need in needs), default=0), bool(lengths) and lengths[0] < k
 
-    def windows(words: np.ndarray, table: np.ndarray) -> Iterator[tuple]:
-        full = shingles(words, k) if len(words) >= k else np.empty(0, np.uint64)
-        hit = np.concatenate(([0], np.cumsum(table[full >> np.uint64(64 - FILTER_BITS)])))
+    def windows(words: np.ndarray, own_table: np.ndarray) -> Iterator[tuple]:
+        full = shingles(words, k)
         for n_words, n, need in needs:
             if n_words > len(words):
                 return
-            if n_words < k:  # an item shorter than a shingle is one shingle
-                own = shingles(words, n_words)
-                starts = np.flatnonzero(table[own >> np.uint64(64 - FILTER_BITS)])
-            elif hit[-1] < need:
-                continue
-            else:
-                own, starts = full, np.flatnonzero(hit[n:] - hit[:-n] >= need)
-            for at in starts:
+            # an item shorter than a shingle is one shingle
+            own = full if n_words >= k else shingles(words, n_words)
+            hit = np.concatenate(([0], np.cumsum(own_table[slots(own, n_words)])))
+            for at in np.flatnonzero(hit[n:] - hit[:-n] >= need):
                 yield int(at), n_words, _simhash(own[at : at + n]), numbered(own[at : at + n]).view(np.int64)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memory, table = WordHashes(), np.unpackbits(known).view(bool)
-        names = [c.split()[0] for c in WINDOWS.split(", ")]
+        memory, names = WordHashes(), [c.split()[0] for c in WINDOWS.split(", ")]
+        table, own_table = (np.unpackbits(x, bitorder="little").view(bool) for x in (known, own_known))
         for batch in batches:
             found = []
             keys, docs, texts = (batch[c].tolist() for c in ("row_key", "doc_id", "text"))
             for rows in grouped(texts):
-                words = [memory.of(texts[i], ALNUM) for i in rows]
-                # known shingles of all the texts at once; those across two texts only add windows to look at
-                ends = np.cumsum([len(w) for w in words])
-                hits = np.concatenate(([0], np.cumsum(table[shingles(np.concatenate(words), k) >> np.uint64(64 - FILTER_BITS)])))
-                upto = hits[np.minimum(ends, len(hits) - 1)]
-                for i, own, n in zip(rows, words, np.diff(upto, prepend=0)):
-                    if needs and (brief or n >= fewest):
-                        found += [(keys[i], docs[i], *w) for w in windows(own, table)]
+                # known shingles of many texts at once; those across two texts only add texts to look at
+                words, ends = memory.of_all([texts[i] for i in rows], ALNUM)
+                hits = np.concatenate(([0], np.cumsum(table[slots(shingles(words, k))])))
+                hits = np.diff(hits[np.minimum(ends, len(hits) - 1)], prepend=0)
+                for i, start, end, n in zip(rows, np.r_[0, ends[:-1]], ends, hits):
+                    if needs and end > start and (brief or n >= fewest):
+                        found += [(keys[i], docs[i], *w) for w in windows(words[start:end], own_table)]
             for at in range(0, len(found), 10_000):
                 yield pd.DataFrame(found[at : at + 10_000], columns=names).astype({"doc_id": "Int64"})
 

@@ -9,59 +9,82 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, functions as F
 
 WHITE = b" \t\n\x0b\x0c\r"
 PIECE = 1 << 20
 
-# bytes to bytes: A-Z to a-z, everything in ASCII that is no letter or digit to a space
-ALNUM = bytes(
-    c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
-)
-# bytes to bytes: A-Z to a-z
-LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+# bytes to bytes: A-Z to a-z, white space to spaces
+LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if c in WHITE else c for c in range(256))
+# the same, and everything else in ASCII that is no letter or digit to a space
+ALNUM = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in LOWER)
 
-# one entry per word that a Python worker has seen; started anew when full
-MEMORY = 1 << 19
 
+def encoded(text: str | None, table: bytes) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass").translate(table)
 
-def pieces(text: str | None, table: bytes) -> Iterator[list[bytes]]:
-    """The words of the text in order, as lists of a megabyte of text or less (one longer word stays whole)."""
-    data = (text or "").encode("utf-8", "surrogatepass").translate(table)
-    if len(data) <= PIECE:
-        yield data.split()
-        return
+
+def cuts(data: bytes) -> Iterator[tuple[int, int]]:
+    """Ends of parts of a megabyte or less that no word crosses (one longer word stays whole)."""
     start = 0
     while start < len(data):
         end = min(len(data), start + PIECE)
         if end < len(data):
-            cut = max(data.rfind(w, start, end) for w in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
-            if cut <= start:  # no white space in a megabyte: up to the next one
-                found = [x for x in (data.find(w, end) for w in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) if x >= 0]
-                cut = min(found, default=len(data))
-            end = cut
-        yield data[start:end].split()
-        start = end + 1 if end < len(data) else end
+            at = data.rfind(b" ", start, end)
+            end = at if at > start else data.find(b" ", end)
+            end = len(data) if end < 0 else end
+        yield start, end
+        start = end
 
 
-class WordHashes(dict):
-    """Word to its 64-bit hash; remembers a bounded number of words."""
+def pieces(text: str | None, table: bytes) -> Iterator[list[bytes]]:
+    """The words of the text in order, as lists of a megabyte of text or less."""
+    data = encoded(text, table)
+    for start, end in cuts(data):
+        yield data[start:end].split()
+
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMORY:
-            self.clear()
-        value = xxhash.xxh64_intdigest(word)
-        if len(word) <= 40:
-            self[word] = value
-        return value
+class WordHashes:
+    """64-bit hashes of words: values of a polynomial over their bytes, from running sums over the text."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self):
+        self.powers = self.inverses = np.empty(0, np.uint64)
+
+    def _reach(self, n: int) -> None:
+        if n > len(self.powers):
+            n = max(n, PIECE + 1)
+            ones = np.ones(n, np.uint64)
+            ones[1:] = self.BASE
+            self.powers = np.cumprod(ones)
+            ones[1:] = pow(self.BASE, -1, 1 << 64)
+            self.inverses = np.cumprod(ones)
+
+    def _of_part(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words of some bytes, and where they start."""
+        self._reach(len(data))
+        letter = np.zeros(len(data) + 2, bool)
+        np.not_equal(data, 32, out=letter[1:-1])
+        edges = np.flatnonzero(letter[1:] != letter[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[: len(data)], out=sums[1:])
+        return mixed((sums[ends] - sums[starts]) * self.inverses[starts]), starts
+
+    def of_all(self, texts: list[str | None], table: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all words of all texts, and up to which of them each text goes."""
+        data = [encoded(t, table) for t in texts]
+        ends = np.cumsum([len(d) + 1 for d in data])
+        joined = b" ".join(data)
+        found = [(h, s + start) for start, end in cuts(joined) for h, s in [self._of_part(np.frombuffer(joined, np.uint8, end - start, start))]]
+        if not found:
+            return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+        hashes, starts = (np.concatenate(x) for x in zip(*found))
+        return hashes, np.searchsorted(starts, ends)
 
     def of(self, text: str | None, table: bytes) -> np.ndarray:
-        if text and len(text) <= PIECE // 4:
-            words = text.encode("utf-8", "surrogatepass").translate(table).split()
-            return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-        parts = [np.fromiter(map(self.__getitem__, words), np.uint64, len(words)) for words in pieces(text, table)]
-        return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, np.uint64)
+        return self.of_all([text], table)[0]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
