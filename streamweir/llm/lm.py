@@ -40,20 +40,37 @@ class _Codes(dict):
 
 
 def _packed_codes(codes: np.ndarray) -> bytes:
-    """Codes below 2 ** 24 as two bytes each and then one byte each, which is mostly zero."""
-    low, high = (codes & 0xFFFF).astype("<u2").tobytes(), (codes >> 16).astype(np.uint8).tobytes()
-    return low + zlib.compress(high, 1)
+    """Codes below 2 ** 32 byte by byte, the higher bytes packed: frequent words have zeros there."""
+    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4)
+    high = zlib.compress(np.ascontiguousarray(planes[:, 1:].T).tobytes(), 1)
+    return planes[:, 0].tobytes() + high
 
 
 def _unpacked_codes(data: bytes, n: int) -> np.ndarray:
-    high = np.frombuffer(zlib.decompress(data[2 * n :]), np.uint8)
-    return np.frombuffer(data, "<u2", n).astype(np.int64) | high.astype(np.int64) << 16
+    planes = np.empty((n, 4), np.uint8)
+    planes[:, 0] = np.frombuffer(data, np.uint8, n)
+    planes[:, 1:] = np.frombuffer(zlib.decompress(data[n:]), np.uint8).reshape(3, n).T
+    return planes.view("<u4").ravel().astype(np.int64)
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """One byte each, packed; larger ones once more behind."""
+    small, large = np.minimum(counts, 255).astype(np.uint8), counts[counts >= 255]
+    return zlib.compress(small.tobytes(), 1) + large.astype("<i8").tobytes()
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    unpacking = zlib.decompressobj()
+    counts = np.frombuffer(unpacking.decompress(data), np.uint8).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(unpacking.unused_data, "<i8")
+    return counts
 
 
 class Block:
     """Word hashes of some documents one after another; n-grams stay within a document."""
 
     def __init__(self, vocabulary: np.ndarray, codes: np.ndarray, lengths: np.ndarray):
+        self.codes = codes
         self.words = vocabulary[codes]
         self.lengths = lengths
         self.document = np.repeat(np.arange(len(lengths)), lengths)
@@ -61,23 +78,21 @@ class Block:
 
     @staticmethod
     def store(out, texts: list[str | None]) -> tuple[np.ndarray, tuple[int, int]]:
-        """Writes the block; returns the documents' lengths, and the sizes of vocabulary and codes."""
+        """Writes words and codes; returns the documents' lengths, and the sizes of both."""
         known, parts, lengths = _Codes(), [], []
         for text in texts:
             n = 0
             for words in pieces(text, LOWER):
-                parts.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+                parts.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
                 n += len(words)
             lengths.append(n)
-        codes = np.concatenate(parts) if parts else np.empty(0, np.int32)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
-        if len(known) < 1 << 24:
-            # frequent words get small codes, which take less room
-            order = np.argsort(-np.bincount(codes, minlength=len(known)), kind="stable")
-            rank = np.empty(len(known), np.int64)
-            rank[order] = np.arange(len(known))
-            hashes, codes = hashes[order], rank[codes]
-        data = [hashes.astype("<u8").tobytes(), _packed_codes(codes) if len(known) < 1 << 24 else codes.astype("<i4").tobytes()]
+        codes = np.concatenate(parts) if parts else np.empty(0, np.int64)
+        # frequent words get small codes, which take less room
+        order = np.argsort(-np.bincount(codes, minlength=len(known)), kind="stable")
+        rank = np.empty(len(known), np.int64)
+        rank[order] = np.arange(len(known))
+        words = list(known)
+        data = zlib.compress(b" ".join(words[i] for i in order), 1), _packed_codes(rank[codes])
         for part in data:
             out.write(part)
         return np.array(lengths, np.int64), (len(data[0]), len(data[1]))
@@ -86,11 +101,10 @@ class Block:
     def load(cls, folder: Folder, row) -> Block:
         with folder.open(row.file) as f:
             f.seek(row.at)
-            vocabulary = np.frombuffer(f.read(row.vocabulary_bytes), "<u8")
+            words = zlib.decompress(f.read(row.vocabulary_bytes)).split()
             data = f.read(row.codes_bytes)
         lengths = np.asarray(row.lengths, np.int64)
-        n = int(lengths.sum())
-        return cls(vocabulary, _unpacked_codes(data, n) if len(vocabulary) < 1 << 24 else np.frombuffer(data, "<i4"), lengths)
+        return cls(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)), _unpacked_codes(data, int(lengths.sum())), lengths)
 
     def grams(self, n: int) -> np.ndarray:
         """At each place the hash of the n-gram that ends there; nothing sensible where the document has fewer words."""
@@ -115,19 +129,21 @@ def _wanted(block: Block, n: int, below: np.ndarray | None) -> np.ndarray:
 
 def _write_counts(folder: Folder, counts: np.ndarray) -> str:
     name = folder.new_name("counts/block", ".bin")
-    small = np.minimum(counts, 255).astype(np.uint8)
-    large = counts[counts >= 255].astype("<i8")
     with folder.create(name) as out:
-        out.write(np.array([len(counts)], "<i8").tobytes() + zlib.compress(small.tobytes(), 1) + large.tobytes())
+        out.write(pack_counts(counts))
     return name
 
 
 def _read_counts(folder: Folder, name: str) -> np.ndarray:
     with folder.open(name) as f:
-        data = f.read()
-    unpack = zlib.decompressobj()
-    counts = np.frombuffer(unpack.decompress(data[8:]), np.uint8).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(unpack.unused_data, "<i8")
+        return unpack_counts(f.read())
+
+
+def _all_counts(folder: Folder, block: Block, names: list[str]) -> list[np.ndarray]:
+    """Per order and place how often other documents have the n-gram. Those of words are stored per word."""
+    counts = [_read_counts(folder, name) for name in names]
+    if counts:
+        counts[0] = counts[0][block.codes] - block.own(block.grams(1), np.arange(len(block.words)))
     return counts
 
 
@@ -150,15 +166,6 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate((np.frombuffer(data, "<u8", 1, 1), wide.view("<u8").ravel())), dtype=np.uint64)
 
 
-def _small(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.astype("<u4" if len(counts) == 0 or counts.max() < 1 << 32 else "<u8").tobytes(), 1)
-
-
-def _large(data: bytes, n: int) -> np.ndarray:
-    raw = zlib.decompress(data)
-    return np.frombuffer(raw, "<u4" if len(raw) == 4 * n else "<u8").astype(np.int64)
-
-
 def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
@@ -166,11 +173,11 @@ def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
 def _answered(group: pd.DataFrame) -> pd.DataFrame:
     """All that blocks asked of one part of the table: the totals of their n-grams, in their order."""
     asked = [unpack(h) for h in group["hashes"]]
-    counts = np.concatenate([_large(c, len(h)) for c, h in zip(group["counts"], asked)])
+    counts = np.concatenate([unpack_counts(c) for c in group["counts"]])
     _, inverse = np.unique(np.concatenate(asked), return_inverse=True)
     totals = np.bincount(inverse, weights=counts).astype(np.int64)[inverse]
     ends = np.cumsum([len(h) for h in asked])
-    return pd.DataFrame({"block": group["block"], "part": group["part"], "n": [len(h) for h in asked], "totals": [_small(t) for t in np.split(totals, ends[:-1])]})
+    return pd.DataFrame({"block": group["block"], "part": group["part"], "totals": [pack_counts(t) for t in np.split(totals, ends[:-1])]})
 
 
 # --- scoring ----------------------------------------------------------------------------
@@ -235,46 +242,55 @@ def scored(
 
     for n in range(1, order + 1):
 
-        def asked(block: Block, row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            at = _wanted(block, n, _read_counts(folder, row.counts[-1]) if n > 1 else None)
-            grams = block.grams(n)
+        def asked(block: Block, below: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            at, grams = _wanted(block, n, below), block.grams(n)
             return grams, at, grams[at]
 
         def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for row in batch.itertuples(index=False):
-                    hashes, counts = np.unique(asked(Block.load(folder, row), row)[2], return_counts=True)
+                    block = Block.load(folder, row)
+                    hashes, counts = np.unique(asked(block, (_all_counts(folder, block, row.counts) or [None])[-1])[2], return_counts=True)
                     cuts = np.flatnonzero(np.diff(_part_of(hashes, parts))) + 1
                     pieces = list(zip(np.split(hashes, cuts), np.split(counts, cuts))) if len(hashes) else []
                     yield pd.DataFrame({
                         "block": row.block, "part": [int(_part_of(h[:1], parts)[0]) for h, _ in pieces],
-                        "hashes": [pack(h) for h, _ in pieces], "counts": [_small(c) for _, c in pieces],
+                        "hashes": [pack(h) for h, _ in pieces], "counts": [pack_counts(c) for _, c in pieces],
                     })
 
-        def learn(group: pd.DataFrame) -> pd.DataFrame:
+        def learned(group: pd.DataFrame) -> tuple[tuple, Block, list[np.ndarray], np.ndarray]:
+            """The block of the group, what it knew, and the answers in the order of the hashes."""
             row = next(group[group["file"].notna()].itertuples(index=False))
+            answers = group[group["part"].notna()].sort_values("part")["totals"]
             block = Block.load(folder, row)
-            grams, at, own = asked(block, row)
-            _, inverse = np.unique(own, return_inverse=True)
-            answers = group[group["part"].notna()].sort_values("part")
-            totals = np.concatenate([np.empty(0, np.int64), *(_large(t, int(m)) for t, m in zip(answers["totals"], answers["n"]))])
+            return row, block, _all_counts(folder, block, row.counts), np.concatenate([np.empty(0, np.int64), *map(unpack_counts, answers)])
+
+        def spread(block: Block, known: list[np.ndarray], totals: np.ndarray) -> np.ndarray:
+            grams, at, own = asked(block, known[-1] if known else None)
             counts = np.zeros(len(block.words), np.int64)
-            counts[at] = totals[inverse] - block.own(grams, at)
+            counts[at] = totals[np.unique(own, return_inverse=True)[1]] - block.own(grams, at)
+            return counts
+
+        def learn(group: pd.DataFrame) -> pd.DataFrame:
+            row, block, before, totals = learned(group)
+            if n == 1:
+                counts = np.zeros(int(block.codes.max(initial=-1)) + 1, np.int64)
+                counts[block.codes] = totals[np.unique(block.grams(1), return_inverse=True)[1]]
+            else:
+                counts = spread(block, before, totals)
             given = group[group["file"].notna()][columns]
             return given.assign(counts=[[*row.counts, _write_counts(folder, counts)]])
 
-        spread = known.repartition(n_blocks, "block")
-        requests = spread.mapInPandas(ask, "block LONG, part INT, hashes BINARY, counts BINARY")
-        answers = requests.groupBy("part").applyInPandas(_answered, "block LONG, part INT, n LONG, totals BINARY")
-        both = known.unionByName(answers, allowMissingColumns=True).repartition(n_blocks, "block")
-        known = work.keep(both.groupBy("block").applyInPandas(learn, known.schema))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                block = Block.load(folder, row)
-                sums, backed = block_scores(block, [_read_counts(folder, name) for name in row.counts], total, alpha)
-                ids = pd.array([None if pd.isna(x) else int(x) for x in row.ids], dtype="Int64")
-                yield pd.DataFrame({"doc_id": ids, "n_words": block.lengths, "log_score": sums, "backed_off": backed})
-
-    return known.repartition(n_blocks, "block").mapInPandas(score, SCORES)
+        def score(group: pd.DataFrame) -> pd.DataFrame:
+            row, block, before, totals = learned(group)
+            sums, backed = block_scores(block, [*before, spread(block, before, totals)], total, alpha)
+            ids = pd.array([None if pd.isna(x) else int(x) for x in row.ids], dtype="Int64")
+            return pd.DataFrame({"doc_id": ids, "n_words": block.lengths, "log_score": sums, "backed_off": backed})
+
+        requests = known.repartition(n_blocks, "block").mapInPandas(ask, "block LONG, part INT, hashes BINARY, counts BINARY")
+        answers = requests.groupBy("part").applyInPandas(_answered, "block LONG, part INT, totals BINARY")
+        both = known.unionByName(answers, allowMissingColumns=True).repartition(n_blocks, "block").groupBy("block")
+        if n == order:
+            return both.applyInPandas(score, SCORES)
+        known = work.keep(both.applyInPandas(learn, known.schema))
+    raise ValueError("the order is one or more")
