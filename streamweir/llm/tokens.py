@@ -8,12 +8,15 @@ keys that were never stored. Both are spread over files by ranges of the key and
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from streamweir.llm.files import Folder
@@ -25,50 +28,78 @@ GAMMA = 1.6
 ENTRY = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("at", "<u8"), ("n", "<u8")])
 
 
+class _Codes(dict):
+    """Word to its number in order of first appearance."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class WordEncoder:
-    """Ids of whole texts, from those of their words between spaces, of which it remembers many.
+    """Ids of whole texts, from those of their words between spaces, which it remembers.
 
-    Right for tokenizers whose tokens never cross white space and which drop it. A word is what stands between
-    spaces and line ends; a full stop or comma after a letter or digit is a word of its own, as
-    such tokenizers cut there anyway. The library encodes every word that is not remembered.
+    Right for tokenizers whose tokens never cross white space and which drop it. Words are what stands between
+    spaces and line ends. The library encodes new words, most of them as one text: if tokens tell
+    by their spelling that a piece ends with them, the ids of words made of one piece (letters only), or
+    of two (letters and a mark), are told apart by counting; if the count is wrong, and for all other words, each
+    is encoded on its own. The memory starts anew when it is full.
     """
 
-    MEMORY, LONGEST = 1 << 19, 64
+    WORDS, CHARACTERS = 200_000, 4 << 20
+    MARKS = ".,;:!?"
 
     def __init__(self, path: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind, self.known = Tokenizer.from_file(path), kind, {}
-
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        words = list(words)
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(words, found)}
-
-    @staticmethod
-    def words(text: str) -> list[str]:
-        out = []
-        for word in text.replace("\n", " ").split(" "):
-            if len(word) > 1 and word[-1] in ".," and word[-2].isalnum():
-                out += [word[:-1], word[-1]]
-            elif word:
-                out.append(word)
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """A megabyte of text or one text is worked on at a time."""
-        if len(self.known) > self.MEMORY:
-            self.known.clear()
-        cut = [self.words(t) for t in texts]
-        new = {w for words in cut for w in words if w not in self.known}
-        more = self._learn(new) if new else {}
-        self.known.update({w: b for w, b in more.items() if len(w) <= self.LONGEST})
-        if any(len(w) > self.LONGEST for w in more):
-            look = lambda w: self.known.get(w) or more.get(w, b"")
-        else:
-            look = self.known.__getitem__
-        return [b"".join(map(look, words)) for words in cut]
+        self.tokenizer, self.kind = Tokenizer.from_file(path), kind
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for token, id in self.tokenizer.get_vocab().items():
+            self.ends[id] = bool(suffix) and token.endswith(suffix)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes, self.characters = _Codes(), 0
+        self.flat, self.starts, self.sizes = np.empty(0, self.kind), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        pieces = np.array([1 if w.isalpha() else 2 if w[-1:] in self.MARKS and w[:-1].isalpha() else 0 for w in words])
+        starts, sizes, flat, n = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [self.flat], len(self.flat)
+        told, plain = np.zeros(len(words), bool), np.flatnonzero(pieces)
+        if len(plain) and self.ends.any():
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words[i] for i in plain)], add_special_tokens=False)[0].ids, self.kind)
+            at, upto = np.flatnonzero(self.ends[ids]) + 1, np.cumsum(pieces[plain])
+            if len(at) == upto[-1]:
+                ends = at[upto - 1]
+                sizes[plain] = np.diff(ends, prepend=0)
+                starts[plain], told[plain] = n + ends - sizes[plain], True
+                flat.append(ids)
+                n += len(ids)
+        rest = np.flatnonzero(~told)
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
+            starts[i], sizes[i] = n, len(e.ids)
+            flat.append(np.array(e.ids, self.kind))
+            n += len(e.ids)
+        self.flat = np.concatenate(flat)
+        self.starts, self.sizes = np.concatenate((self.starts, starts)), np.concatenate((self.sizes, sizes))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.codes) > self.WORDS or self.characters > self.CHARACTERS:
+            self._forget()
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        known = len(self.codes)
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
+        if len(self.codes) > known:
+            new = list(islice(self.codes, known, None))
+            self.characters += sum(map(len, new))
+            self._learn(new)
+        sizes = self.sizes[codes]
+        before = np.cumsum(sizes) - sizes
+        ids = self.flat[np.repeat(self.starts[codes] - before, sizes) + np.arange(sizes.sum())]
+        words = np.cumsum([len(c) for c in cut])[:-1]
+        return np.split(ids, np.append(before, len(ids))[words])
 
 
 # --- minimal perfect hash ---------------------------------------------------------------
@@ -231,27 +262,31 @@ def written(
     ranged = rows.repartitionByRange(n_shards, F.col("doc_id").asc_nulls_first(), F.col("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, name, out, at = encoder(), None, None, 0
         end = np.array([end_id], kind).tobytes()
         for batch in batches:
             if out is None:
                 name = folder.new_name("ids/shard", ".bin")
                 out = folder.create(name)
-            sizes, done = [], 0
-            texts = batch["text"].tolist()
-            for rows in grouped(texts):
-                for ids in encode.encode([texts[i] for i in rows]):
-                    out.write(ids)
-                    out.write(end)
-                    sizes.append(len(ids) // len(end) + 1)
-            n = np.array(sizes, np.int64)
-            yield pd.DataFrame({"file": name, "doc_id": batch["doc_id"], "at": at + np.cumsum(n) - n, "n": n})
-            at += int(n.sum())
+            for start in range(0, batch.num_rows, 256):  # texts leave Arrow a few at a time
+                some = batch.slice(start, 256)
+                texts, sizes = some.column("text").to_pylist(), []
+                for rows in grouped(texts):
+                    for ids in encode.encode([texts[i] for i in rows]):
+                        out.write(ids.tobytes())
+                        out.write(end)
+                        sizes.append(len(ids) + 1)
+                n = np.array(sizes, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(n)), some.column("doc_id"), pa.array(at + np.cumsum(n) - n), pa.array(n)],
+                    ["file", "doc_id", "at", "n"],
+                )
+                at += int(n.sum())
         if out is not None:
             out.close()
 
-    placed = work.keep(ranged.mapInPandas(write, f"file STRING, doc_id {id_type}, at LONG, n LONG"))
+    placed = work.keep(ranged.mapInArrow(write, f"file STRING, doc_id {id_type}, at LONG, n LONG"))
     files = placed.groupBy("file").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "at")).alias("first"), F.sum("n").alias("n_ids"))
     order = Window.orderBy("first.some", "first.doc_id", F.col("first.at").desc())
     manifest = work.keep(files.select(
