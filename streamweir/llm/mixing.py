@@ -93,15 +93,18 @@ def mixed(
     """
     work = Workspace(docs.sparkSession, "mixing")
     columns = [c for c in docs.columns if keep_text or c != text]
-    placed = work.keep(packed(
+    placed = packed(
         docs, columns, source=quoted(source).cast("string"), size=F.size(split_words(quoted(text))).cast("long"),
         place=place(quoted(id), quoted(text)),
-    ))
+    )
+    # numbers are kept for the passes over them; texts are not copied but placed again at the end
+    numbers = work.keep(placed.select("source", "size", "place") if keep_text else placed)
+    placed = placed if keep_text else numbers
     ordered = Window.orderBy(F.col("source").asc_nulls_last())
     turn = F.element_at(F.lit(list(weights)), ((F.row_number().over(ordered) - 1) % len(weights) + 1).cast("int"))
-    sizes = placed.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("weight", turn.cast("long"))
+    sizes = numbers.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("weight", turn.cast("long"))
     wanted = work.keep(targets(sizes, most))
-    found = thresholds(placed.select("source", "size", "place"), wanted, work).withColumnRenamed("source", "s")
+    found = thresholds(numbers.select("source", "size", "place"), wanted, work).withColumnRenamed("source", "s")
     taken = F.col("rounds") + F.when(F.col("place") <= F.col("limit"), 1).otherwise(0)
     mix = F.struct(
         "size", "source_size", "target", taken.alias("rounds"), (F.col("size") * taken).alias("taken"),

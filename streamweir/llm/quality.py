@@ -18,6 +18,7 @@ from streamweir.llm.tables import Workspace, packed, quoted, unpacked
 from streamweir.llm.words import WHITE, split_words
 
 SYMBOLS = "#*$%&|<>"
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -76,14 +77,16 @@ def measured(docs: DataFrame, text: str = "text", columns: list[str] | None = No
         word_chars=_length_without(t, WHITE.decode()).cast("long"),
         n_symbols=(F.length(t) - _length_without(t, SYMBOLS)).cast("long"),
         n_digits=(F.length(t) - _length_without(t, "0123456789")).cast("long"),
+        n_marks=(F.length(t) - _length_without(t, MARKS)).cast("long"),
     )
     w, x = F.col("words"), F.col("lines")
     failed = (w["n_words"] < 50) | (100 * w["n_repeat_words"] > 50 * w["n_words"])
-    return parts.select("row", F.struct(
+    # a generator: what is asked of the measures further up cannot be moved below it and computed again for each question
+    return parts.select("row", F.explode(F.array(F.struct(
         w["n_words"].alias("n_words"), "word_chars", "n_symbols", x["n_dup_lines"].alias("n_dup_lines"),
         w["n_repeat_words"].alias("n_repeat_words"), w["n_distinct_words"].alias("n_distinct_words"),
-        x["n_lines"].alias("n_lines"), "n_digits", failed.alias("base_failed"),
-    ).alias("measures"))
+        x["n_lines"].alias("n_lines"), "n_digits", "n_marks", failed.alias("base_failed"),
+    ))).alias("measures"))
 
 
 @dataclass(frozen=True)
@@ -100,6 +103,7 @@ RULES = [
     Rule("repeated words", "100 * n_repeat_words > 50 * n_words", "100 * n_repeat_words <= 20 * n_words"),
     Rule("word length", "word_chars < 2 * n_words OR word_chars > 15 * n_words", "word_chars BETWEEN 3 * n_words AND 12 * n_words"),
     Rule("symbols", "10 * n_symbols > n_words", "50 * n_symbols <= n_words"),
+    Rule("letters", "5 * n_marks > word_chars", "8 * n_marks <= word_chars"),
     Rule("repeated lines", "10 * n_dup_lines > 3 * n_lines", "n_dup_lines = 0 AND n_lines > 1"),
     Rule("digits", "5 * n_digits > word_chars", "20 * n_digits <= word_chars"),
     Rule("vocabulary", "10 * n_distinct_words < n_words", "10 * n_distinct_words >= 3 * n_words"),
@@ -120,15 +124,16 @@ def vote_code(rules: list[Rule], measures: str = "measures") -> Column:
 
 @dataclass
 class VoteModel:
-    """Share of good documents and each rule's accuracy when it votes."""
+    """Share of good documents, and how often each rule is right when it votes: on good and on bad ones."""
 
     prior: float
-    accuracies: list[float]
+    on_good: list[float]
+    on_bad: list[float]
 
     def posterior(self, votes: list[int]) -> float:
         odds = log(self.prior / (1 - self.prior))
-        for vote, a in zip(votes, self.accuracies):
-            odds += vote * log(a / (1 - a))
+        for vote, g, b in zip(votes, self.on_good, self.on_bad):
+            odds += log(g / (1 - b)) if vote > 0 else log((1 - g) / b) if vote < 0 else 0.0
         return 1 / (1 + exp(-odds)) if odds > -700 else 0.0
 
 
@@ -140,21 +145,24 @@ def votes_of(code: int, n: int) -> list[int]:
 def fit(counts: dict[int, int], n_rules: int, rounds: int = 100) -> VoteModel:
     """Expectation-maximisation over the counts of the vote patterns (3 ** n_rules at most).
 
-    Accuracies stay within 0.55 and 0.99 and the prior within 0.5 and 0.95: a rule is better
-    than a coin, and documents are presumed good. Without counts this is the start.
+    Most documents pass most rules, bad ones too, so a rule is often right on good documents and may seldom be
+    on bad ones: a bad vote says much and a good one little. The estimates are held where a vote never speaks for
+    its opposite, and the prior between 0.5 and 0.95: documents are presumed good. Without counts this is the start.
     """
-    model = VoteModel(0.8, [0.8] * n_rules)
+    model = VoteModel(0.8, [0.95] * n_rules, [0.4] * n_rules)
     patterns = [(votes_of(code, n_rules), n) for code, n in sorted(counts.items())]
     total = sum(n for _, n in patterns)
     for _ in range(rounds if total else 0):
-        good = [(votes, n, model.posterior(votes)) for votes, n in patterns]
-        prior = (sum(n * q for _, n, q in good) + 8) / (total + 10)
-        accuracies = []
+        weighed = [(votes, n, model.posterior(votes)) for votes, n in patterns]
+        prior = (sum(n * q for _, n, q in weighed) + 8) / (total + 10)
+        on_good, on_bad = [], []
         for r in range(n_rules):
-            right = sum(n * (q if votes[r] > 0 else 1 - q) for votes, n, q in good if votes[r])
-            cast = sum(n for votes, n, _ in good if votes[r])
-            accuracies.append(min(0.99, max(0.55, (right + 8) / (cast + 10))))
-        model = VoteModel(min(0.95, max(0.5, prior)), accuracies)
+            cast = [(votes[r], n * q, n * (1 - q)) for votes, n, q in weighed if votes[r]]
+            g = (sum(q for v, q, _ in cast if v > 0) + 9.5) / (sum(q for _, q, _ in cast) + 10)
+            b = (sum(p for v, _, p in cast if v < 0) + 4) / (sum(p for *_, p in cast) + 10)
+            on_good.append(min(0.995, max(0.55, g)))
+            on_bad.append(min(0.99, max(1.02 - on_good[-1], b)))
+        model = VoteModel(min(0.95, max(0.5, prior)), on_good, on_bad)
     return model
 
 
@@ -164,14 +172,17 @@ def judged(docs: DataFrame, text: str = "text", keep_text: bool = True, rules: l
     A document with fewer than 50 words, or with more than half of its words in repeated
     windows, is not kept; any other is kept if its probability of being good is a half or
     more. A document that no rule calls bad always is. Null, empty and blank texts have no
-    words and are not kept. Equal rows get equal verdicts. Counts of patterns cover all rows; only
-    they reach the driver, 3 ** rules numbers at most. Columns named like a result give way to it.
+    words and are not kept. Equal rows get equal verdicts. Counts of patterns cover all rows that the
+    first two conditions leave open; only they reach the driver, 3 ** rules numbers at most. Columns named like a result give way to it.
     An empty table gives an empty result.
     """
     work = Workspace(docs.sparkSession, "quality")
     columns = [c for c in docs.columns if keep_text or c != text]
-    rows = work.keep(measured(docs, text, columns).withColumn("code", vote_code(rules)))
-    counts = {r["code"]: r["count"] for r in rows.groupBy("code").count().collect()}
+    rows = measured(docs, text, columns).withColumn("code", vote_code(rules))
+    if not keep_text:
+        rows = work.keep(rows)  # a few numbers a row; texts are not copied but measured a second time
+    # those that fail the base are decided; the rules are weighed on the others
+    counts = {r["code"]: r["count"] for r in rows.where("NOT measures.base_failed").groupBy("code").count().collect()}
     model = fit(counts, len(rules))
     chances = F.lit([model.posterior(votes_of(code, len(rules))) for code in range(3 ** len(rules))])
     chance = F.element_at(chances, F.col("code") + 1)

@@ -113,8 +113,8 @@ def sharded(
     work = Workspace(docs.sparkSession, "sharding")
     key = F.xxhash64(quoted(text)) if key is None else key
     tie = F.coalesce(quoted(id).cast("long"), F.xxhash64(quoted(id).cast("string"))) if tie is None else tie
-    rows = work.keep(packed(docs, key=key, tie=tie, size=size))
-    keys = rows.select("key", "tie", "size")
+    rows = packed(docs, key=key, tie=tie, size=size)
+    keys = work.keep(rows.select("key", "tie", "size"))
     plan = planned(keys, n_shards, ranges, sample, whole)
     total, before, shard_of, slots, in_shard = sum(plan.sizes.values()), 0, [], [], {}
     for r in range(len(plan.cuts) + 1):

@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType
 
 from streamweir.llm import components
 from streamweir.llm.tables import Workspace, packed, quoted, unpacked
-from streamweir.llm.words import LOWER, WordHashes, mixed, pieces, shingles
+from streamweir.llm.words import LOWER, WordHashes, grouped, mixed, pieces, shingles
 
 BLOCK = 4096
 
@@ -62,26 +62,24 @@ def masks(bits: int, half: int) -> list[int]:
     return [x - (1 << 64) if x >> 63 else x for x in found]
 
 
-def meeting_links(fingerprints: DataFrame, id: str, key: str, bits: int, half: int, band: str | None = None) -> DataFrame:
+def meeting_links(fingerprints: DataFrame, id: str, key: str, bits: int, half: int) -> DataFrame:
     """Links ``a, b`` between the ids whose keys have a common variant, along the ids of each variant.
 
-    Rows should be distinct by (band, key), so that a variant meets at most as many rows as its ball
-    has points; whatever meets is within ``2 * half`` bits, so linking neighbours keeps all of a
-    variant's rows connected, without making all their pairs. A key that many ids have is a longer
-    chain, never a product.
+    Only the lower ``bits`` bits vary: what stands above them keeps apart what must not meet. Keys should be
+    distinct, so that a variant meets at most as many rows as its ball has points; whatever meets is within
+    ``2 * half`` bits, so linking neighbours keeps all of a variant's rows connected, without making all
+    their pairs. A key that many ids have is a longer chain, never a product.
     """
-    flip = F.explode(F.lit(masks(bits, half)))
-    variants = fingerprints.select(F.col(id).alias("b"), *([F.col(band).alias("band")] if band else []), F.col(key).alias("key"), flip.alias("mask"))
-    variants = variants.select("b", "key", *(["band"] if band else []), F.col("key").bitwiseXOR(F.col("mask")).alias("variant"))
-    one = Window.partitionBy(*(["band"] if band else []), "variant").orderBy("b")
-    met = variants.select("b", "key", F.lag("b").over(one).alias("a"), F.lag("key").over(one).alias("other"))
-    return met.where(F.bit_count(F.col("key").bitwiseXOR(F.col("other"))) <= 2 * half).select("a", "b").distinct()
+    variants = fingerprints.select(F.col(id).alias("b"), F.col(key).alias("key"), F.explode(F.lit(masks(bits, half))).alias("mask"))
+    variants = variants.select("b", F.col("key").bitwiseXOR(F.col("mask")).alias("variant"))
+    met = variants.select("b", F.lag("b").over(Window.partitionBy("variant").orderBy("b")).alias("a"))
+    return met.where("a <> b").select("a", "b").distinct()
 
 
 def components_of_fingerprints(fingerprints: DataFrame, work: Workspace) -> DataFrame:
     """``fp, component_id`` for each fingerprint: the smallest id of all that links of at most two bits reach."""
     distinct = work.keep(fingerprints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    links = meeting_links(distinct.select("fp"), "fp", "fp", 64, 1)
+    links = meeting_links(distinct, "fp", "fp", 64, 1).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
     roots = components.roots(links, work)
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -89,6 +87,7 @@ def components_of_fingerprints(fingerprints: DataFrame, work: Workspace) -> Data
 
 
 BANDS, BAND_BITS = 10, 32
+FILTER_BITS = 23
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89, 0x452821E638D01377], np.uint64)
 
 
@@ -103,22 +102,43 @@ def banded(words: np.ndarray, k: int = 2) -> list[int]:
     return out
 
 
+def _words_of(texts: list[str | None], memory: WordHashes) -> Iterator[np.ndarray]:
+    for rows in grouped(texts):
+        words, ends = memory.of_all([texts[i] for i in rows], LOWER)
+        yield from np.split(words, ends[:-1])
+
+
 def _texts_as_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     memory = WordHashes()
     for batch in batches:
-        words = [memory.of(t, LOWER) for t in batch["text"]]
+        nodes, bands = [], []
+        for words in _words_of(batch["text"].tolist(), memory):
+            nodes.append(xxhash.xxh64_intdigest(words.tobytes()))
+            bands.append(banded(words))
         yield pd.DataFrame({
             "row_key": batch["row_key"], "doc_id": batch["doc_id"].astype("Int64"),
-            "node": np.array([xxhash.xxh64_intdigest(w.tobytes()) for w in words], np.uint64).view(np.int64),
-            "bands": [banded(w) for w in words],
+            "node": np.array(nodes, np.uint64).view(np.int64), "bands": bands,
         })
 
 
-def _texts_as_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    memory = WordHashes()
-    for batch in batches:
-        sets = [np.unique(shingles(memory.of(t, LOWER), 5)).view(np.int64) for t in batch["text"]]
-        yield pd.DataFrame({"node": batch["node"], "shingles": sets})
+def _sets_of(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """``row_key, shingles`` of the texts in question, and of few others: texts are looked up in a filter of a megabyte."""
+    slot = F.shiftrightunsigned("row_key", 64 - FILTER_BITS)
+    words = asked.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(row_key, {64 - FILTER_BITS}) & 63 as int))")).alias("bits"))
+    known = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for row in words.toLocalIterator():
+        known[row["at"]] = row["bits"]
+    known = known.view(np.uint8)
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memory, table = WordHashes(), np.unpackbits(known, bitorder="little").view(bool)
+        for batch in batches:
+            keys = batch["row_key"].to_numpy(np.int64).view(np.uint64)
+            batch = batch[table[(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]]
+            found = [np.unique(shingles(words, 5)).view(np.int64) for words in _words_of(batch["text"].tolist(), memory)]
+            yield pd.DataFrame({"row_key": batch["row_key"].to_numpy(), "shingles": found})
+
+    return rows.select("row_key", "text").mapInPandas(sets, "row_key LONG, shingles ARRAY<LONG>")
 
 
 def _candidates(nodes: DataFrame, work: Workspace) -> DataFrame:
@@ -127,10 +147,11 @@ def _candidates(nodes: DataFrame, work: Workspace) -> DataFrame:
     Nodes with the same bits in a band are linked to the least of them, and only that one is sent to
     the band's variants. A random pair differs in half of the 320 bits; pairs beyond a quarter are let go.
     """
-    spread = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    least = work.keep(spread.groupBy("band", "key").agg(F.min("node").alias("rep")))
-    stars = spread.join(least, ["band", "key"]).where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
-    balls = meeting_links(least, "rep", "key", BAND_BITS, 1, "band")
+    key = F.shiftleft("band", BAND_BITS).bitwiseOR(F.col("bits")).alias("key")
+    spread = nodes.select("node", F.posexplode("bands").alias("band", "bits")).select("node", F.col("band").cast("long"), "bits").select("node", key)
+    least = work.keep(spread.groupBy("key").agg(F.min("node").alias("rep")))
+    stars = spread.join(least, "key").where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
+    balls = meeting_links(least, "rep", "key", BAND_BITS, 1)
     pairs = stars.union(balls).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     bands = nodes.select("node", "bands")
     both = pairs.join(bands.toDF("a", "x"), "a").join(bands.toDF("b", "y"), "b")
@@ -162,14 +183,16 @@ def near_copy_free(docs: DataFrame, text: str = "text", id: str = "doc_id", simi
     found = work.keep(rows.mapInPandas(_texts_as_nodes, "row_key LONG, doc_id LONG, node LONG, bands ARRAY<LONG>"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first")
     # equal texts have equal bands, so the smallest is theirs
-    nodes = work.keep(found.groupBy("node").agg(first, F.min("bands").alias("bands")))
+    texts = found.groupBy("node").agg(first, F.min("bands").alias("bands"))
+    # short numbers in place of hashes, for what is repeated most; written once, so they stay
+    nodes = work.keep(texts.select(F.monotonically_increasing_id().alias("node"), "first", "bands", F.col("node").alias("words")))
 
     pairs = _candidates(nodes, work)
     paired = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     # one row of each text in question, by its key
-    asked = nodes.join(paired, "node").select("node", F.col("first.row_key").alias("row_key"))
-    texts = rows.select("row_key", "text").join(asked, "row_key").dropDuplicates(["row_key"]).select("node", "text")
-    sets = work.keep(texts.mapInPandas(_texts_as_sets, "node LONG, shingles ARRAY<LONG>"))
+    asked = work.keep(nodes.join(paired, "node").select("node", F.col("first.row_key").alias("row_key")))
+    given = _sets_of(rows, asked).join(asked, "row_key").groupBy("node").agg(F.min("shingles").alias("shingles"))
+    sets = work.keep(given)  # equal rows have equal sets
     some = work.keep(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, similarity))
     roots = components.roots(some, work)
     open = pairs.join(roots.toDF("a", "of_a"), "a", "left").join(roots.toDF("b", "of_b"), "b", "left")

@@ -50,17 +50,18 @@ def test_good_texts_stay_and_junk_goes(spark, documents):
 
 
 def test_accuracies_are_recovered():
-    pick, truth, counts = random.Random(4), [0.9, 0.75, 0.6, 0.85], Counter()
-    for _ in range(40_000):
+    pick, on_good, on_bad, counts = random.Random(4), [0.95, 0.9, 0.85, 0.9], [0.6, 0.8, 0.5, 0.7], Counter()
+    for _ in range(100_000):
         good, code = pick.random() < 0.8, 0
-        for a in truth:
-            right = pick.random() < a
+        for g, b in zip(on_good, on_bad):
+            right = pick.random() < (g if good else b)
             code = code * 3 + (0 if pick.random() < 0.2 else 1 if good == right else 2)
         counts[code] += 1
     model = quality.fit(dict(counts), 4)
     assert model.prior == pytest.approx(0.8, abs=0.05)
-    assert model.accuracies == pytest.approx(truth, abs=0.05)
-    assert quality.fit({}, 4).accuracies == [0.8] * 4
+    assert model.on_good == pytest.approx(on_good, abs=0.05)
+    assert model.on_bad == pytest.approx(on_bad, abs=0.1)
+    assert quality.fit({}, 4).posterior([1, 0, 1, 0]) > 0.8
 
 
 # --- sharding ---
