@@ -5,7 +5,7 @@ from __future__ import annotations
 from streamweir.functions.draws import BASE26_DIGITS, LETTERS
 from streamweir.plans.queries import (
     AGG_DELAY, CLICK_DELAY, GROUPS, HORIZON, IMPRESSION_DELAY, LIVE_AGG_DELAY, LIVE_GROUPS,
-    LIVE_APPEND_DELAY, LIVE_HORIZON, LIVE_SLIDE, LIVE_WINDOW, REPLAY_BATCHES, SEED, SLIDE, WINDOW,
+    LIVE_APPEND_DELAY, LIVE_HORIZON, LIVE_SLIDE, LIVE_WINDOW, REFUSALS, REFUSED_DIGITS, REPLAY_BATCHES, SEED, SLIDE, WINDOW,
 )
 from streamweir.sources.generate import CLICK_LAG, CLICK_PERCENT, MAX_AMOUNT, MAX_ID, WORD_LENGTHS
 
@@ -251,8 +251,13 @@ UNION ALL SELECT ad, ts, 'click' FROM ({CLICKS})""",
     "dataset_left_join": DATASET_LEFT,
     "sink_batches": f"""
 SELECT count(*) AS n_records, CAST(sum(strlen({CDC_PAYLOAD})) AS BIGINT) AS n_bytes,
-       CAST(0 AS BIGINT) AS n_over_limit
+       CAST(0 AS BIGINT) AS n_over_limit, CAST(0 AS BIGINT) AS n_loose
 FROM ({CDC})""",
+    "export_retries": f"""
+SELECT digit, count(*) AS n_delivered, count(DISTINCT payload) AS n_payloads,
+       CAST(sum(CASE WHEN contains('{REFUSED_DIGITS}', digit) THEN {REFUSALS} ELSE 0 END) AS BIGINT) AS n_refused
+FROM (SELECT payload, right(md5(payload), 1) AS digit FROM (SELECT {CDC_PAYLOAD} AS payload FROM ({CDC})))
+GROUP BY digit""",
     "export_messages": f"""
 {_topic('impressions', VIEWS, 'impressionTime')}
 UNION ALL {_topic('clicks', CLICKS, 'clickTime')}""",

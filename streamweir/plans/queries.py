@@ -25,7 +25,10 @@ from streamweir.sources import generate
 from streamweir.sources.streams import rate_per_batch, read_messages
 from streamweir.sources.tables import read_table, select_from_path
 from streamweir.streaming import stateful
-from streamweir.streaming.delivery import MAX_BYTES, MAX_RECORDS, FolderTransport, export_stream, pack_requests
+from streamweir.streaming.delivery import (
+    DELIVERED, MAX_BYTES, MAX_RECORDS, FolderTransport, RefusingTransport, export_stream, pack_requests,
+    read_delivered, read_receipts,
+)
 from streamweir.streaming.incremental import IncrementalLeftJoin
 from streamweir.streaming.run import drain, drain_to_table, run_stream, state_partitions_for
 from streamweir.streaming.sinks import (
@@ -54,6 +57,8 @@ LIVE_HORIZON = timedelta(minutes=1)
 LIVE_SLIDE = "5 seconds"
 LIVE_APPEND_DELAY = "20 minutes"
 REPLAY_BATCHES = 10
+REFUSED_DIGITS = "3b"
+REFUSALS = 2
 
 
 def query(make: Query) -> Query:
@@ -176,7 +181,7 @@ def gen_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = new_run_dir(spark, "gen_cdc")
     append_table(made, path, by=["table"])
-    return read_table(spark, path)
+    return spark.read.schema(made.schema).parquet(path)  # without rows there is no file to take it from
 
 
 @query
@@ -606,33 +611,38 @@ def dataset_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sink_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests over a limit, and requests that the next one's first record would have fitted into: none of either."""
     messages = encode_messages(_cdc_stream(spark, sf_dir), "id")
     requests = drain_to_table(pack_requests(messages), new_run_dir(spark, "sink_batches"))
     too_many = F.col("n_records") > MAX_RECORDS
     too_large = (F.col("n_bytes") > MAX_BYTES) & (F.col("n_records") > 1)
+    first = F.octet_length(F.col("records")[0]["data"])
+    following = F.lead(first).over(Window.partitionBy("batch", "partition").orderBy("request_no"))
+    requests = requests.select("n_records", "n_bytes", following.alias("next_bytes"))
+    loose = (F.col("n_records") < MAX_RECORDS) & (F.col("n_bytes") + F.col("next_bytes") <= MAX_BYTES)
     return requests.agg(
         F.sum("n_records").alias("n_records"),
         F.sum("n_bytes").alias("n_bytes"),
         F.count_if(too_many | too_large).alias("n_over_limit"),
+        F.count_if(loose).alias("n_loose"),
     )
 
 
 @query
 def export_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two tables exported side by side through the row-at-a-time writer."""
+    """Two tables exported side by side."""
     root = new_run_dir(spark, "export_messages")
     stream = inputs.event_stream(spark, sf_dir)
     tables = {"impressions": inputs.impressions(stream), "clicks": inputs.clicks(stream, "adId")}
     drain(*[
         export_stream(
-            df, "adId", FolderTransport(f"{root}/{name}/messages", dedupe_epoch=True),
-            f"{root}/{name}/checkpoint",
-            partitions=_cores(spark), name=name,
+            df, "adId", FolderTransport(f"{root}/{name}/messages"), f"{root}/{name}/checkpoint",
+            partitions=_cores(spark), name=name, receipts=f"{root}/{name}/receipts",
         )
         for name, df in tables.items()
     ])
     return bags.bag_union(*[
-        read_table(spark, f"{root}/{name}/messages").select(
+        read_delivered(spark, f"{root}/{name}/messages", f"{root}/{name}/receipts").select(
             F.lit(name).alias("topic"), "partitionKey", F.col("data").cast("string").alias("payload")
         )
         for name in tables
@@ -641,19 +651,34 @@ def export_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def export_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vectorised export: what was delivered, and what the receipts say."""
+    """What was delivered, and what the receipts say."""
     root = new_run_dir(spark, "export_receipts")
-    transport = FolderTransport(f"{root}/messages", dedupe_epoch=True)
+    transport = FolderTransport(f"{root}/messages")
     drain(export_stream(
         _cdc_stream(spark, sf_dir), "id", transport, f"{root}/checkpoint", receipts=f"{root}/receipts"
     ))
-    said = read_table(spark, f"{root}/receipts").select(
+    said = read_receipts(spark, f"{root}/receipts").select(
         F.lit("receipts").alias("origin"), F.col("n_records").cast("long"), "n_bytes"
     )
-    delivered = read_table(spark, f"{root}/messages").select(
+    delivered = read_delivered(spark, f"{root}/messages", f"{root}/receipts").select(
         F.lit("messages").alias("origin"), F.lit(1).cast("long").alias("n_records"),
         F.octet_length("data").cast("long").alias("n_bytes"),
     )
     return said.unionByName(delivered).groupBy("origin").agg(
         F.sum("n_records").alias("n_records"), F.sum("n_bytes").alias("n_bytes")
     )
+
+
+@query
+def export_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A transport that twice refuses the records of two digits: what arrived, and what was sent for it, per digit."""
+    root = new_run_dir(spark, "export_retries")
+    transport = RefusingTransport(f"{root}/messages", REFUSED_DIGITS, REFUSALS)
+    drain(export_stream(
+        _cdc_stream(spark, sf_dir), "id", transport, f"{root}/checkpoint", receipts=f"{root}/receipts", base_ms=1
+    ))
+    sent = read_delivered(spark, f"{root}/messages", f"{root}/receipts", f"{DELIVERED}, tries INT")
+    return sent.groupBy(F.substring(F.md5("data"), 32, 1).alias("digit")).agg(
+        F.count("*").alias("n_delivered"), F.count_distinct("data").alias("n_payloads"),
+        F.sum(F.col("tries") - 1).alias("n_refused"),
+    )

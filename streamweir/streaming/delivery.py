@@ -12,6 +12,7 @@ It is sent to the executors; connections belong in ``open``.
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from collections.abc import Callable, Iterator
@@ -22,11 +23,12 @@ import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streamweir.functions.codec import encode_messages
 from streamweir.streaming.run import start_stream
+from streamweir.streaming.sinks import commit, ensure_table
 
 # Limits of one request and of its retries.
 MAX_RECORDS = 500
@@ -35,10 +37,11 @@ MAX_ATTEMPTS = 10
 BASE_DELAY_MS = 100
 
 PACKED = (
-    "partition INT, request_no LONG, n_records INT, n_bytes LONG, "
+    "batch LONG, partition INT, request_no LONG, n_records INT, n_bytes LONG, "
     "records ARRAY<STRUCT<partitionKey: STRING, data: BINARY>>"
 )
-RECEIPT = "partition INT, request_no LONG, n_records INT, n_bytes LONG, attempts INT"
+RECEIPT = "partition INT, request_no LONG, n_records INT, n_bytes LONG, attempts INT, file STRING"
+DELIVERED = "request_no LONG, partitionKey STRING, data BINARY"
 
 
 class DeliveryFailed(RuntimeError):
@@ -152,7 +155,8 @@ def pack_requests(messages: DataFrame) -> DataFrame:
     """The requests of each partition as rows, for a sink that takes tables."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partition = TaskContext.get().partitionId()
+        task = TaskContext.get()
+        partition, batch_id = task.partitionId(), int(task.getLocalProperty("streaming.sql.batchId") or 0)
         for number, request in enumerate(_requests(batches)):
             flat = request.combine_chunks()
             records = pa.StructArray.from_arrays(
@@ -162,13 +166,14 @@ def pack_requests(messages: DataFrame) -> DataFrame:
             )
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array([batch_id], pa.int64()),
                     pa.array([partition], pa.int32()),
                     pa.array([number], pa.int64()),
                     pa.array([flat.num_rows], pa.int32()),
                     pa.array([_n_bytes(flat)], pa.int64()),
                     pa.ListArray.from_arrays(pa.array([0, flat.num_rows], pa.int32()), records),
                 ],
-                names=["partition", "request_no", "n_records", "n_bytes", "records"],
+                names=["batch", "partition", "request_no", "n_records", "n_bytes", "records"],
             )
 
     return messages.mapInArrow(pack, PACKED)
@@ -178,7 +183,7 @@ def deliver_partitions(
     messages: DataFrame, transport, epoch_id: int = 0,
     max_attempts: int = MAX_ATTEMPTS, base_ms: int = BASE_DELAY_MS,
 ) -> DataFrame:
-    """Send each partition's requests and return a receipt per request.
+    """Send each partition's requests and return a receipt per request, with the transport's ``target`` if it has one.
 
     Sizes are read off Arrow columns, so Python touches a record only to hand it over.
     Delivery happens when the receipts are evaluated: write them exactly once.
@@ -199,8 +204,9 @@ def deliver_partitions(
                         pa.array([request.num_rows], pa.int32()),
                         pa.array([_n_bytes(request)], pa.int64()),
                         pa.array([attempts], pa.int32()),
+                        pa.array([getattr(transport, "target", None)], pa.string()),
                     ],
-                    names=["partition", "request_no", "n_records", "n_bytes", "attempts"],
+                    names=["partition", "request_no", "n_records", "n_bytes", "attempts", "file"],
                 )
             ok = True
         finally:
@@ -228,8 +234,9 @@ def export_stream(
     nothing is shuffled.
 
     Starts the query and returns; start one per table and drain them together. With a
-    ``receipts`` path the delivery is vectorised and leaves a receipt per request there;
-    without one it goes through the row-at-a-time writer.
+    ``receipts`` path the delivery is vectorised and leaves a receipt per request there, with a commit row
+    per epoch: what an epoch that is replayed has left behind is in no committed receipt, so
+    :func:`read_delivered` has every record once. Without one it goes through the row-at-a-time writer.
     """
     dealt = df.repartition(partitions) if partitions else df
     common = {"checkpoint": checkpoint, "name": name, "drain": drain}
@@ -239,7 +246,8 @@ def export_stream(
 
     def send(batch: DataFrame, epoch_id: int) -> None:
         sent = deliver_partitions(batch, transport, epoch_id, max_attempts, base_ms)
-        sent.write.mode("overwrite").parquet(f"{receipts}/batch_id={epoch_id}")
+        sent.write.mode("overwrite").parquet(f"{receipts}/requests/batch_id={epoch_id}")
+        commit(batch.sparkSession, receipts, epoch_id)
 
     return start_stream(encode_messages(dealt, key), each_batch=send, **common)
 
@@ -251,47 +259,90 @@ def _arrow_uri(uri: str) -> str:
     return uri.replace("s3a://", "s3://", 1)
 
 
+def read_receipts(spark: SparkSession, receipts: str) -> DataFrame:
+    """The receipts of all committed epochs."""
+    ensure_table(spark, f"{receipts}/commits", "batch LONG")
+    ensure_table(spark, f"{receipts}/requests", RECEIPT)
+    epochs = spark.read.parquet(f"{receipts}/commits").select(F.col("batch").alias("batch_id")).distinct()
+    rows = spark.read.schema(f"{RECEIPT}, batch_id LONG").parquet(f"{receipts}/requests")
+    return rows.join(epochs, "batch_id", "left_semi")
+
+
+def read_delivered(spark: SparkSession, folder: str, receipts: str, schema: str = DELIVERED) -> DataFrame:
+    """The records in the folder's files that committed receipts name."""
+    ensure_table(spark, folder, schema)
+    files = read_receipts(spark, receipts).select("file").distinct()
+    rows = spark.read.schema(schema).parquet(folder).select("*", F.col("_metadata.file_name").alias("file"))
+    return rows.join(files, "file", "left_semi").drop("file")
+
+
 class FolderTransport:
-    """Requests as Parquet row groups, one file per task, in a shared folder.
+    """Requests as Parquet row groups, one file per attempt of a task, in a shared folder.
 
-    The file appears when the task closes cleanly. By default every attempt has a file of
-    its own, so a replay is delivered twice; with ``dedupe_epoch`` the name is (epoch,
-    partition) and a replay takes the place of the first delivery.
+    The file appears under its own name, ``target``, when the task closes cleanly. Attempts do not touch
+    each other's files; which of them count is for the receipts to say.
     """
 
     SCHEMA = pa.schema(
         [("request_no", pa.int64()), ("partitionKey", pa.string()), ("data", pa.binary())]
     )
 
-    def __init__(self, uri: str, dedupe_epoch: bool = False):
+    def __init__(self, uri: str):
         self.uri = uri
-        self.dedupe_epoch = dedupe_epoch
 
     def open(self, partition_id: int, epoch_id: int) -> None:
         self.fs, self.folder = pyarrow.fs.FileSystem.from_uri(_arrow_uri(self.uri))
         self.fs.create_dir(self.folder)
-        attempt = uuid.uuid4().hex
-        stem = f"{epoch_id}-{partition_id}" + ("" if self.dedupe_epoch else f"-{attempt}")
-        self.final = f"{self.folder}/{stem}.parquet"
-        self.draft = f"{self.folder}/_{stem}-{attempt}"
+        self.target = f"{epoch_id}-{partition_id}-{uuid.uuid4().hex}.parquet"
+        self.draft = f"{self.folder}/_{self.target}"
         self.file = None
         self.request_no = 0
 
     def put(self, records: list[tuple[str, bytes]]) -> list[str | None]:
+        self._write(records, {})
+        return [None] * len(records)
+
+    def _write(self, records: list[tuple[str, bytes]], more: dict[str, pa.Array]) -> None:
         if self.file is None:
             self.file = pq.ParquetWriter(self.draft, self.SCHEMA, filesystem=self.fs)
         keys, payloads = zip(*records)
         numbers = pa.array(np.full(len(records), self.request_no), pa.int64())
-        columns = [numbers, pa.array(keys, pa.string()), pa.array(payloads, pa.binary())]
+        columns = [numbers, pa.array(keys, pa.string()), pa.array(payloads, pa.binary()), *more.values()]
         self.file.write_table(pa.Table.from_arrays(columns, schema=self.SCHEMA))
         self.request_no += 1
-        return [None] * len(records)
 
     def close(self, ok: bool) -> None:
         if self.file is None:
             return
         self.file.close()
         if ok:
-            if self.fs.get_file_info(self.final).type != pyarrow.fs.FileType.NotFound:
-                self.fs.delete_file(self.final)
-            self.fs.move(self.draft, self.final)
+            self.fs.move(self.draft, f"{self.folder}/{self.target}")
+        else:
+            self.fs.delete_file(self.draft)
+
+
+class RefusingTransport(FolderTransport):
+    """Refuses records whose MD5 ends in one of the digits, ``times`` times each; notes how often a record was sent.
+
+    For drills: a request is put again with what was refused, so the tries of a request are counted.
+    """
+
+    SCHEMA = FolderTransport.SCHEMA.append(pa.field("tries", pa.int32()))
+
+    def __init__(self, uri: str, digits: str, times: int):
+        super().__init__(uri)
+        self.digits, self.times = digits, times
+
+    def open(self, partition_id: int, epoch_id: int) -> None:
+        super().open(partition_id, epoch_id)
+        self.tries = 0
+
+    def put(self, records: list[tuple[str, bytes]]) -> list[str | None]:
+        refused = [self.tries < self.times and hashlib.md5(data).hexdigest()[-1] in self.digits for _, data in records]
+        self.tries += 1
+        taken = [record for record, no in zip(records, refused) if not no]
+        if taken:
+            self._write(taken, {"tries": pa.array(np.full(len(taken), self.tries), pa.int32())})
+        if not any(refused):
+            self.tries = 0
+        return ["try again" if no else None for no in refused]

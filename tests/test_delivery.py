@@ -7,9 +7,10 @@ import pytest
 from streamweir.functions.codec import encode_messages
 from streamweir.streaming.delivery import (
     MAX_BYTES, BatchingWriter, DeliveryFailed, FolderTransport, deliver, deliver_partitions,
-    export_stream, pack_requests, request_ends,
+    export_stream, pack_requests, read_delivered, read_receipts, request_ends,
 )
 from streamweir.streaming.run import drain
+from streamweir.streaming.sinks import commit
 
 KIB = 1024
 
@@ -152,13 +153,18 @@ def test_delivery_leaves_receipts(spark, folder):
     assert got.select("partitionKey", "data").exceptAll(sent).isEmpty() and got.count() == 3000
 
 
-def test_replays_are_delivered_twice_unless_deduped(spark, folder):
-    sent = messages(spark, 600, parts=2)
-    for dedupe, copies in ((False, 2), (True, 1)):
-        transport = FolderTransport(f"{folder}/{dedupe}", dedupe)
-        for _ in range(2):
-            deliver_partitions(sent, transport, epoch_id=4).collect()
-        assert spark.read.parquet(f"{folder}/{dedupe}").count() == 600 * copies
+def test_a_replay_with_other_tasks_counts_once(spark, folder):
+    """An epoch that is sent by four tasks and, after a crash, by two: readers see the second only."""
+    transport = FolderTransport(f"{folder}/out")
+    for parts in (4, 2):
+        sent = deliver_partitions(messages(spark, 1000, parts=parts), transport, epoch_id=3)
+        sent.write.mode("overwrite").parquet(f"{folder}/receipts/requests/batch_id=3")
+    assert read_delivered(spark, f"{folder}/out", f"{folder}/receipts").count() == 0
+    commit(spark, f"{folder}/receipts", 3)
+    got = read_delivered(spark, f"{folder}/out", f"{folder}/receipts")
+    assert got.count() == got.select("partitionKey").distinct().count() == 1000
+    assert spark.read.parquet(f"{folder}/out").count() == 2000
+    assert read_receipts(spark, f"{folder}/receipts").agg({"n_records": "sum"}).first()[0] == 1000
 
 
 def test_failed_task_shows_no_file(folder):
@@ -182,7 +188,8 @@ def test_export_goes_on_where_it_stopped(spark, folder, vectorised):
     got = spark.read.parquet(f"{folder}/out")
     assert got.count() == got.select("partitionKey").distinct().count() == 2000
     if vectorised:
-        assert spark.read.parquet(f"{folder}/receipts").groupBy().sum("n_records").first()[0] == 2000
+        assert read_receipts(spark, f"{folder}/receipts").groupBy().sum("n_records").first()[0] == 2000
+        assert read_delivered(spark, f"{folder}/out", f"{folder}/receipts").count() == 2000
 
 
 def test_refused_records_fail_the_export(spark, folder):
