@@ -13,14 +13,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_instant(raw_events(spark, sf_dir))
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_instant(raw_event_stream(spark, sf_dir))
+def event_stream(spark: SparkSession, sf_dir: str, limits: bool = True) -> DataFrame:
+    """``limits=False`` for queries with a watermark: the stored files are in no order of time."""
+    return _with_instant(raw_event_stream(spark, sf_dir, limits))
 
 
-def raw_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_event_stream(spark: SparkSession, sf_dir: str, limits: bool = True) -> DataFrame:
     # the pattern makes a single file and a folder of that name equally streamable
     schema = table_schema(spark, f"{sf_dir}/events.parquet")
-    return read_stream(spark, f"{sf_dir}/{{events.parquet}}", schema)
+    return read_stream(spark, f"{sf_dir}/{{events.parquet}}", schema, limits=limits)
 
 
 def _with_instant(df: DataFrame) -> DataFrame:
@@ -70,7 +71,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_event_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """Events from a landing folder, as :func:`event_stream` gives them."""
-    return _with_instant(read_stream(spark, path, like.schema))
+    return _with_instant(read_stream(spark, path, like.schema, limits=False))
 
 
 def time_slices(df: DataFrame, n: int) -> list[DataFrame]:

@@ -98,7 +98,7 @@ def _drained(
     root = new_run_dir(spark, name)
     slices = int(spark.conf.get("spark.streamweir.backlogSlices", "1"))
     if slices == 1:
-        return drain_to_table(build(inputs.event_stream(spark, sf_dir)), root)
+        return drain_to_table(build(inputs.event_stream(spark, sf_dir, limits=False)), root)
     _feed(
         spark, sf_dir, slices, list(range(slices)), f"{root}/landing",
         lambda stream: drain_to_table(build(stream), root),
@@ -286,8 +286,8 @@ def _bronze_tables(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFra
 # Aggregations
 
 
-def _cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.cdc(inputs.event_stream(spark, sf_dir))
+def _cdc_stream(spark: SparkSession, sf_dir: str, limits: bool = True) -> DataFrame:
+    return inputs.cdc(inputs.event_stream(spark, sf_dir, limits))
 
 
 def windowed(df: DataFrame, slide: str | None = None) -> DataFrame:
@@ -332,7 +332,7 @@ def agg_tumbling_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _live_sums(spark: SparkSession, sf_dir: str, delay: str) -> DataFrame:
     group = aggregate.bucketed("id", LIVE_GROUPS)
     return aggregate.flat_window(
-        aggregate.windowed_sum(_cdc_stream(spark, sf_dir), "ts", delay, LIVE_WINDOW, group, "amount", LIVE_SLIDE)
+        aggregate.windowed_sum(_cdc_stream(spark, sf_dir, limits=False), "ts", delay, LIVE_WINDOW, group, "amount", LIVE_SLIDE)
     )
 
 
@@ -352,7 +352,7 @@ def agg_sliding_append_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def agg_sliding_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_run_dir(spark, "agg_sliding_update")
-    sums = windowed(_cdc_stream(spark, sf_dir), SLIDE)
+    sums = windowed(_cdc_stream(spark, sf_dir, limits=False), SLIDE)
     run_stream(sums, mode="update", checkpoint=f"{root}/checkpoint", each_batch=ChangeLogSink(root))
     return read_change_log(spark, root, ["window_start", "window_end", "group"])
 
@@ -550,7 +550,7 @@ def _pairs_in_state(stream: DataFrame) -> DataFrame:
 
 @query
 def stateful_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = _pairs_in_state(inputs.event_stream(spark, sf_dir))
+    pairs = _pairs_in_state(inputs.event_stream(spark, sf_dir, limits=False))
     return drain_to_table(pairs, new_run_dir(spark, "stateful_join"))
 
 

@@ -16,6 +16,7 @@ def read_stream(
     fmt: str = "parquet",
     max_files: int | None = None,
     max_bytes: int | None = None,
+    limits: bool = True,
     **options: str,
 ) -> DataFrame:
     """A growing folder as a stream, oldest file first.
@@ -24,10 +25,12 @@ def read_stream(
     read of the path. ``max_files`` and ``max_bytes`` bound one micro-batch; without
     an argument the session settings ``spark.streamweir.maxFilesPerTrigger`` and
     ``spark.streamweir.maxBytesPerTrigger`` do, so a cluster can size every stream
-    in one place.
+    in one place. A query with a watermark needs its files in time order to be cut
+    like that; ``limits=False`` leaves the settings aside where nothing warrants it.
     """
-    max_files = max_files or spark.conf.get("spark.streamweir.maxFilesPerTrigger", None)
-    max_bytes = max_bytes or spark.conf.get("spark.streamweir.maxBytesPerTrigger", None)
+    if limits:
+        max_files = max_files or spark.conf.get("spark.streamweir.maxFilesPerTrigger", None)
+        max_bytes = max_bytes or spark.conf.get("spark.streamweir.maxBytesPerTrigger", None)
     reader = spark.readStream.format(fmt).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))

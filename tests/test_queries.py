@@ -89,3 +89,14 @@ def test_no_rows(spark, folder, name):
     path = tables(spark, folder, none)
     rows = queries()[name](spark, path).count()
     assert rows == {"scan_count": 3, "join_batch_count": 1, "reconcile": 1, "sink_batches": 1, "bronze_latency": 1, "agg_global_complete": 1}.get(name, 0)
+
+
+@pytest.mark.parametrize("name", ["agg_tumbling", "agg_sliding_update", "join_interval_left"])
+def test_rate_limits_do_not_lose_rows_to_a_watermark(spark, folder, name):
+    """Files out of time order, one per batch if the setting were followed."""
+    path = tables(spark, folder, lambda df: df.orderBy(F.desc("ts")))
+    spark.conf.set("spark.streamweir.maxFilesPerTrigger", "1")
+    try:
+        assert differences(queries()[name](spark, path), oracle_sql()[name], plain_tables(path)) == []
+    finally:
+        spark.conf.unset("spark.streamweir.maxFilesPerTrigger")
