@@ -251,8 +251,10 @@ def scored(
                 for row in batch.itertuples(index=False):
                     block = Block.load(folder, row)
                     hashes, counts = np.unique(asked(block, (_all_counts(folder, block, row.counts) or [None])[-1])[2], return_counts=True)
+                    if not len(hashes):
+                        continue  # nothing but blank texts
                     cuts = np.flatnonzero(np.diff(_part_of(hashes, parts))) + 1
-                    pieces = list(zip(np.split(hashes, cuts), np.split(counts, cuts))) if len(hashes) else []
+                    pieces = list(zip(np.split(hashes, cuts), np.split(counts, cuts)))
                     yield pd.DataFrame({
                         "block": row.block, "part": [int(_part_of(h[:1], parts)[0]) for h, _ in pieces],
                         "hashes": [pack(h) for h, _ in pieces], "counts": [pack_counts(c) for _, c in pieces],

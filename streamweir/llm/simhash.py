@@ -136,7 +136,8 @@ def _sets_of(rows: DataFrame, asked: DataFrame) -> DataFrame:
             keys = batch["row_key"].to_numpy(np.int64).view(np.uint64)
             batch = batch[table[(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]]
             found = [np.unique(shingles(words, 5)).view(np.int64) for words in _words_of(batch["text"].tolist(), memory)]
-            yield pd.DataFrame({"row_key": batch["row_key"].to_numpy(), "shingles": found})
+            if found:
+                yield pd.DataFrame({"row_key": batch["row_key"].to_numpy(), "shingles": found})
 
     return rows.select("row_key", "text").mapInPandas(sets, "row_key LONG, shingles ARRAY<LONG>")
 

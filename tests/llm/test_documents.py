@@ -281,6 +281,11 @@ def test_scores_equal_brute_force(spark, documents, given, order):
         assert r.log_score == pytest.approx(score, rel=1e-9, abs=1e-9)
 
 
+def test_scores_of_blank_texts(spark, documents):
+    rows = lm.scored(documents([(1, None), (2, " "), (None, "")])).collect()
+    assert {(r.doc_id, r.n_words, r.log_score, r.backed_off) for r in rows} == {(1, 0, 0.0, 0), (2, 0, 0.0, 0), (None, 0, 0.0, 0)}
+
+
 def test_packed_hashes():
     for values in ([], [0], [5, 1 << 63], [1, 2, 3, 1 << 47], list(range(0, 1 << 40, 1 << 30))):
         data = np.array(values, np.uint64)
