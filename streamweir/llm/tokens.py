@@ -8,8 +8,8 @@ keys that were never stored. Both are spread over files by ranges of the key and
 
 from __future__ import annotations
 
-import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain, islice
@@ -46,7 +46,7 @@ class WordEncoder:
     is encoded on its own. The memory starts anew when it is full.
     """
 
-    WORDS, CHARACTERS = 200_000, 4 << 20
+    WORDS, CHARACTERS = 400_000, 8 << 20
     MARKS = ".,;:!?"
 
     def __init__(self, path: str, kind: str):
@@ -54,7 +54,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), kind
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        said = re.search(r'"end_of_word_suffix":\s*"([^"]+)"', self.tokenizer.to_str())
+        suffix = said and said[1]
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, id in self.tokenizer.get_vocab().items():
             self.ends[id] = bool(suffix) and token.endswith(suffix)
@@ -259,7 +260,9 @@ def written(
     n_rows, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     cores = spark.sparkContext.defaultParallelism
     n_shards = max(1, -(-size // shard_bytes), min(4 * cores, size >> 23))
-    ranged = rows.repartitionByRange(n_shards, F.col("doc_id").asc_nulls_first(), F.col("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    first = F.col("doc_id").asc_nulls_first()
+    # ranges of the id alone: their sample goes to the driver and must not hold texts
+    ranged = rows.repartitionByRange(n_shards, first).sortWithinPartitions(first, "text")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,7 +289,13 @@ def written(
         if out is not None:
             out.close()
 
-    placed = work.keep(ranged.mapInArrow(write, f"file STRING, doc_id {id_type}, at LONG, n LONG"))
+    batch_rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch_rows)
+    spark.conf.set(batch_rows, "1000")  # texts are long: the default would hold them by the ten thousand outside the heap
+    try:
+        placed = work.keep(ranged.mapInArrow(write, f"file STRING, doc_id {id_type}, at LONG, n LONG"))
+    finally:
+        spark.conf.set(batch_rows, before)
     files = placed.groupBy("file").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "at")).alias("first"), F.sum("n").alias("n_ids"))
     order = Window.orderBy("first.some", "first.doc_id", F.col("first.at").desc())
     manifest = work.keep(files.select(
