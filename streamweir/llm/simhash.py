@@ -86,8 +86,9 @@ def components_of_fingerprints(fingerprints: DataFrame, work: Workspace) -> Data
     return rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
 
 
-BANDS, BAND_BITS = 10, 32
+BAND_BITS = 32
 FILTER_BITS = 23
+STARS = 2
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89, 0x452821E638D01377], np.uint64)
 
 
@@ -142,22 +143,17 @@ def _sets_of(rows: DataFrame, asked: DataFrame) -> DataFrame:
     return rows.select("row_key", "text").mapInPandas(sets, "row_key LONG, shingles ARRAY<LONG>")
 
 
-def _candidates(nodes: DataFrame, work: Workspace) -> DataFrame:
-    """Pairs ``a, b`` that come within two bits of one another in some band, and are no chance hit in the rest.
-
-    Nodes with the same bits in a band are linked to the least of them, and only that one is sent to
-    the band's variants. A random pair differs in half of the 320 bits; pairs beyond a quarter are let go.
-    """
+def _met(nodes: DataFrame) -> DataFrame:
+    """``key, node``: nodes within two bits of one another in some band have a key in common."""
     key = F.shiftleft("band", BAND_BITS).bitwiseOR(F.col("bits")).alias("key")
     spread = nodes.select("node", F.posexplode("bands").alias("band", "bits")).select("node", F.col("band").cast("long"), "bits").select("node", key)
-    least = work.keep(spread.groupBy("key").agg(F.min("node").alias("rep")))
-    stars = spread.join(least, "key").where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
-    balls = meeting_links(least, "rep", "key", BAND_BITS, 1)
-    pairs = stars.union(balls).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    bands = nodes.select("node", "bands")
-    both = pairs.join(bands.toDF("a", "x"), "a").join(bands.toDF("b", "y"), "b")
-    apart = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, d: n + d)
-    return work.keep(both.where(apart <= BANDS * BAND_BITS // 4).select("a", "b"))
+    variants = spread.select("node", "key", F.explode(F.lit(masks(BAND_BITS, 1))).alias("mask"))
+    return variants.select(F.col("key").bitwiseXOR(F.col("mask")).alias("key"), "node")
+
+
+def _shared(met: DataFrame, work: Workspace) -> DataFrame:
+    """Only the keys that more than one node has."""
+    return work.keep(met.join(met.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -167,14 +163,51 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def _rooted(rows: DataFrame, roots: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
+    known = roots.select(F.col("node").alias(node), F.col("root").alias("known"))
+    return rows.join(known, node, "left").withColumn(root, F.coalesce("known", node)).drop("known")
+
+
+def _components(met: DataFrame, sets: DataFrame, similarity: float, work: Workspace) -> DataFrame:
+    """``node, root``: components of the similar pairs that have a key in common, as of ``components.roots``.
+
+    Every pair of a key is verified, unless other links connect it. First a key's least node is compared with
+    all its others and leaves the key; that links most of a large group, without its pairs. After ``STARS``
+    such turns, the pairs that are left are made: those of a key whose nodes are not in one component yet.
+    """
+    links = work.keep(met.sparkSession.createDataFrame([], "a LONG, b LONG"))
+    roots, left = links.toDF("node", "root"), met
+    for turn in range(STARS + 1):
+        rows = _rooted(left, roots)
+        keys = rows.groupBy("key").agg(F.min(F.struct("node", "root")).alias("rep"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+        left = work.keep(rows.join(keys.where("lo < hi").drop("lo", "hi"), "key"))
+        if turn < STARS:
+            pairs = left.where("root <> rep.root").select(F.col("rep.node").alias("a"), F.col("node").alias("b"))
+            left = left.where("node <> rep.node").select("key", "node")
+        else:
+            x, y = left.select("key", F.col("node").alias("a"), F.col("root").alias("of_a")), left.select("key", F.col("node").alias("b"), F.col("root").alias("of_b"))
+            pairs = x.join(y, "key").where("a < b and of_a <> of_b").select("a", "b")
+        pairs = work.keep(pairs.distinct())
+        if pairs.isEmpty():
+            break
+        # one pair of each node first: most of the others are in one component then
+        some = links.union(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, similarity))
+        some = work.keep(some)
+        roots = components.roots(some, work)
+        open = _rooted(_rooted(pairs, roots, "a", "of_a"), roots, "b", "of_b").where("of_a <> of_b").select("a", "b")
+        links = work.keep(some.union(_verified(open, sets, similarity)))
+        roots = components.roots(links, work)
+    return roots
+
+
 def near_copy_free(docs: DataFrame, text: str = "text", id: str = "doc_id", similarity: float = 0.8) -> DataFrame:
     """The rows without near copies: of each group the one with the smallest id stays, as it was.
 
     Texts with the same words (A-Z lower-cased) are copies. Others are near copies if their sets of 5-word
     shingles have a Jaccard similarity of at least ``similarity``. Candidates come from a
     SimHash of 320 bits in ten bands: a ball of one bit around every band meets others within two bits, which
-    finds a pair at 0.8 with a probability of over 0.99. Every candidate is verified unless its
-    two texts are already in one group. Texts without words are copies of one another; texts of fewer
+    finds a pair at 0.8 with a probability of over 0.99 if single words differ. Every pair that meets is verified
+    unless its two texts are already in one group. Texts without words are copies of one another; texts of fewer
     words than five are one shingle. Null ids come last; of equal rows one stays. Other columns
     are untouched. An empty table gives no rows.
     """
@@ -188,17 +221,12 @@ def near_copy_free(docs: DataFrame, text: str = "text", id: str = "doc_id", simi
     # short numbers in place of hashes, for what is repeated most; written once, so they stay
     nodes = work.keep(texts.select(F.monotonically_increasing_id().alias("node"), "first", "bands", F.col("node").alias("words")))
 
-    pairs = _candidates(nodes, work)
-    paired = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    met = _shared(_met(nodes), work)
     # one row of each text in question, by its key
-    asked = work.keep(nodes.join(paired, "node").select("node", F.col("first.row_key").alias("row_key")))
+    asked = work.keep(nodes.join(met.select("node").distinct(), "node").select("node", F.col("first.row_key").alias("row_key")))
     given = _sets_of(rows, asked).join(asked, "row_key").groupBy("node").agg(F.min("shingles").alias("shingles"))
     sets = work.keep(given)  # equal rows have equal sets
-    some = work.keep(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, similarity))
-    roots = components.roots(some, work)
-    open = pairs.join(roots.toDF("a", "of_a"), "a", "left").join(roots.toDF("b", "of_b"), "b", "left")
-    open = work.keep(open.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
-    roots = components.roots(some.union(_verified(open, sets, similarity)), work)
+    roots = _components(met, sets, similarity, work)
 
     rooted = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
     stay = rooted.agg(F.min("first").alias("first")).select(F.col("first.row_key").alias("row_key"))

@@ -321,3 +321,18 @@ def test_near_copies_equal_brute_force(spark, documents):
     got = simhash.near_copy_free(documents(rows))
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted(r.doc_id for r in got.collect()) == [i for i in range(len(texts)) if top(i) == i]
+
+
+def test_pairs_beside_a_dissimilar_smallest_id(spark, documents):
+    """Texts of equal 2-word shingles in orders of their own, each with a near copy: no text stands for the others."""
+    pick, texts = random.Random(14), []
+    names = made(1, 15)[0].split()
+    names = list(dict.fromkeys(names))[:50]
+    for _ in range(8):
+        order = pick.sample(names, len(names))
+        for own in (order, [*order[:-2], order[-1], order[-2]]):
+            texts.append("hub " + " ".join(f"{w} hub" for w in own))
+    close = [[brute.jaccard(a, b) >= 0.8 for b in texts] for a in texts]
+    assert all(close[i][j] == (i // 2 == j // 2) for i in range(16) for j in range(16))
+    got = simhash.near_copy_free(documents(list(enumerate(texts))))
+    assert sorted(r.doc_id for r in got.collect()) == list(range(0, 16, 2))
