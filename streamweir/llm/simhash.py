@@ -86,21 +86,25 @@ def components_of_fingerprints(fingerprints: DataFrame, work: Workspace) -> Data
     return rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
 
 
-BAND_BITS = 32
+BANDS, ROWS = 24, 4
 FILTER_BITS = 23
 STARS = 2
-SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89, 0x452821E638D01377], np.uint64)
+_drawn = np.random.default_rng(42)
+FACTORS = _drawn.integers(0, 1 << 63, (BANDS * ROWS, 1), np.uint64) << np.uint64(1) | np.uint64(1)
+ADDED = _drawn.integers(0, 1 << 63, (BANDS * ROWS, 1), np.uint64) << np.uint64(1)
 
 
-def banded(words: np.ndarray, k: int = 2) -> list[int]:
-    """A SimHash of 320 bits over the distinct k-word shingles, in ten parts of 32 bits."""
-    distinct, out = np.unique(shingles(words, k)), []
-    for seed in SEEDS:
-        total = np.zeros(64, np.int64)
-        for at in range(0, len(distinct), BLOCK):
-            _add_bits(total, mixed(distinct[at : at + BLOCK] ^ seed))
-        out += np.packbits(2 * total > len(distinct), bitorder="little").view("<u4").tolist()
-    return out
+def banded(sets: np.ndarray) -> list[int]:
+    """24 keys of a set of hashes, each from the least of it in four orders: sets of Jaccard similarity j share a key with probability j ** 4."""
+    if not len(sets):
+        return []
+    least = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
+    for at in range(0, len(sets), BLOCK):
+        np.minimum(least, (sets[at : at + BLOCK] * FACTORS + ADDED).min(axis=1), out=least)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) ^ row)
+    return keys.view(np.int64).tolist()
 
 
 def _words_of(texts: list[str | None], memory: WordHashes) -> Iterator[np.ndarray]:
@@ -115,7 +119,7 @@ def _texts_as_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         nodes, bands = [], []
         for words in _words_of(batch["text"].tolist(), memory):
             nodes.append(xxhash.xxh64_intdigest(words.tobytes()))
-            bands.append(banded(words))
+            bands.append(banded(shingles(words, 5)))
         yield pd.DataFrame({
             "row_key": batch["row_key"], "doc_id": batch["doc_id"].astype("Int64"),
             "node": np.array(nodes, np.uint64).view(np.int64), "bands": bands,
@@ -143,17 +147,11 @@ def _sets_of(rows: DataFrame, asked: DataFrame) -> DataFrame:
     return rows.select("row_key", "text").mapInPandas(sets, "row_key LONG, shingles ARRAY<LONG>")
 
 
-def _met(nodes: DataFrame) -> DataFrame:
-    """``key, node``: nodes within two bits of one another in some band have a key in common."""
-    key = F.shiftleft("band", BAND_BITS).bitwiseOR(F.col("bits")).alias("key")
-    spread = nodes.select("node", F.posexplode("bands").alias("band", "bits")).select("node", F.col("band").cast("long"), "bits").select("node", key)
-    variants = spread.select("node", "key", F.explode(F.lit(masks(BAND_BITS, 1))).alias("mask"))
-    return variants.select(F.col("key").bitwiseXOR(F.col("mask")).alias("key"), "node")
-
-
-def _shared(met: DataFrame, work: Workspace) -> DataFrame:
-    """Only the keys that more than one node has."""
-    return work.keep(met.join(met.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key"))
+def _met(nodes: DataFrame, work: Workspace) -> DataFrame:
+    """``key, node`` for the keys that more than one node has."""
+    spread = nodes.select(F.explode("bands").alias("key"), "node")
+    shared = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return work.keep(spread.join(shared, "key"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -204,9 +202,10 @@ def near_copy_free(docs: DataFrame, text: str = "text", id: str = "doc_id", simi
     """The rows without near copies: of each group the one with the smallest id stays, as it was.
 
     Texts with the same words (A-Z lower-cased) are copies. Others are near copies if their sets of 5-word
-    shingles have a Jaccard similarity of at least ``similarity``. Candidates come from a
-    SimHash of 320 bits in ten bands: a ball of one bit around every band meets others within two bits, which
-    finds a pair at 0.8 with a probability of over 0.99 if single words differ. Every pair that meets is verified
+    shingles have a Jaccard similarity of at least ``similarity``. What has one of 24 keys in common is compared,
+    each key from the least shingles of four orders (MinHash). A pair at j shares none with a probability of
+    (1 - j ** 4) ** 24, wherever its texts differ: 3e-6 at 0.8, 2e-8 at 0.85. Measured: none missed of 3,000 pairs each
+    at 0.8, 0.85 and 0.9, with one block appended, cut off or replaced, and with single words changed. Every pair that meets is verified
     unless its two texts are already in one group. Texts without words are copies of one another; texts of fewer
     words than five are one shingle. Null ids come last; of equal rows one stays. Other columns
     are untouched. An empty table gives no rows.
@@ -221,7 +220,7 @@ def near_copy_free(docs: DataFrame, text: str = "text", id: str = "doc_id", simi
     # short numbers in place of hashes, for what is repeated most; written once, so they stay
     nodes = work.keep(texts.select(F.monotonically_increasing_id().alias("node"), "first", "bands", F.col("node").alias("words")))
 
-    met = _shared(_met(nodes), work)
+    met = _met(nodes, work)
     # one row of each text in question, by its key
     asked = work.keep(nodes.join(met.select("node").distinct(), "node").select("node", F.col("first.row_key").alias("row_key")))
     given = _sets_of(rows, asked).join(asked, "row_key").groupBy("node").agg(F.min("shingles").alias("shingles"))

@@ -336,3 +336,20 @@ def test_pairs_beside_a_dissimilar_smallest_id(spark, documents):
     assert all(close[i][j] == (i // 2 == j // 2) for i in range(16) for j in range(16))
     got = simhash.near_copy_free(documents(list(enumerate(texts))))
     assert sorted(r.doc_id for r in got.collect()) == list(range(0, 16, 2))
+
+
+def test_near_copies_that_differ_in_one_block(spark, documents):
+    pick, rows, gone = random.Random(16), [], set()
+    for i, (text, other) in enumerate(zip(made(90, 17), made(90, 18))):
+        ws, new = text.split(), other.split()
+        copies = []
+        for n in range(1, 20):
+            copies.append((ws + new[:n], ws[:-n], ws[:-n] + new[:n])[i % 3])
+        # the last one that is still similar enough
+        copy = [c for c in map(" ".join, copies) if brute.jaccard(text, c) >= 0.8][-1]
+        assert brute.jaccard(text, copy) < 0.85
+        rows += [(2 * i, text), (2 * i + 1, copy)]
+        gone.add(2 * i + 1)
+    pick.shuffle(rows)
+    got = {r.doc_id for r in simhash.near_copy_free(documents(rows)).collect()}
+    assert got == {d for d, _ in rows} - gone
