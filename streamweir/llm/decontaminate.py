@@ -21,7 +21,7 @@ from streamweir.llm.words import ALNUM, WordHashes, grouped, mixed, shingles
 
 FILTER_BITS = 23
 RADIUS = 15
-WINDOWS = "row_key LONG, doc_id LONG, start LONG, n_words INT, fp LONG, shingles ARRAY<LONG>"
+WINDOWS = "row_key LONG, doc_id LONG, start LONG, n_words INT, item_words INT, fp LONG, shingles ARRAY<LONG>"
 
 
 def _simhash(hashes: np.ndarray) -> int:
@@ -83,24 +83,31 @@ def known_slots(items: DataFrame, column: str) -> np.ndarray:
 def windows_of(docs: DataFrame, items: DataFrame, k: int, similarity: float) -> DataFrame:
     """Windows as long as some item, at every word, that can be similar enough to an item of that length.
 
+    For items that are longer than the document, the whole document is the window.
     A window must have enough shingles that items of its length have. Counting them with running sums skips the
     windows that cannot be similar to anything, which are nearly all, before they get a fingerprint.
     """
     known, own_known = known_slots(items, "slots"), known_slots(items, "own_slots")
     lengths = sorted(r["n_words"] for r in items.select("n_words").distinct().toLocalIterator())
     needs = [(n, max(1, n - k + 1), least_common(max(1, n - k + 1), similarity)) for n in lengths]
-    fewest, brief = min((need for *_, need in needs), default=0), bool(lengths) and lengths[0] < k
+    # of a smaller bag, so many must be the item's
+    parts = [ceil(n * similarity - 1e-9) for _, n, _ in needs]
+    fewest, brief = min(parts, default=0), bool(lengths) and lengths[0] < k
 
     def windows(words: np.ndarray, own_table: np.ndarray) -> Iterator[tuple]:
         full = shingles(words, k)
-        for n_words, n, need in needs:
+        for (n_words, n, need), part in zip(needs, parts):
             if n_words > len(words):
-                return
+                if part > len(full):
+                    return
+                if np.count_nonzero(own_table[slots(full, n_words)]) >= part:
+                    yield 0, len(words), n_words, _simhash(full), numbered(full).view(np.int64)
+                continue
             # an item shorter than a shingle is one shingle
             own = full if n_words >= k else shingles(words, n_words)
             hit = np.concatenate(([0], np.cumsum(own_table[slots(own, n_words)])))
             for at in np.flatnonzero(hit[n:] - hit[:-n] >= need):
-                yield int(at), n_words, _simhash(own[at : at + n]), numbered(own[at : at + n]).view(np.int64)
+                yield int(at), n_words, n_words, _simhash(own[at : at + n]), numbered(own[at : at + n]).view(np.int64)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory, names = WordHashes(), [c.split()[0] for c in WINDOWS.split(", ")]
@@ -141,7 +148,7 @@ def leaks(
 
     Words are runs of letters and digits, A-Z lower-cased; similarity is that of bags of ``k``-word
     shingles, sum of smaller over sum of larger counts. All windows whose fingerprint is within
-    ``radius`` bits of an equally long item are verified. Items of fewer words than a shingle has are one
+    ``radius`` bits of an equally long item are verified; a text shorter than an item is one window for it. Items of fewer words than a shingle has are one
     shingle; null and empty items and texts match nothing. ``row_key`` is the hash of id and text: equal
     rows have one, null ids too. Of equally similar windows the first is named. Empty tables give no rows.
     """
@@ -152,12 +159,12 @@ def leaks(
     parts = windows.withColumn("part", F.explode(blocks(F.col("fp"), radius))).select("*", "part.*").drop("part")
     other = items.select("item_id", F.col("n_words").alias("m_words"), F.col("fp").alias("item_fp"), "bag", F.explode(blocks(F.col("fp"), radius)).alias("part"))
     other = other.select("item_id", "m_words", "item_fp", "bag", F.col("part.block").alias("b"), F.col("part.bits").alias("v"))
-    met = parts.join(other, (F.col("n_words") == F.col("m_words")) & (F.col("block") == F.col("b")) & (F.col("bits") == F.col("v")))
+    met = parts.join(other, (F.col("item_words") == F.col("m_words")) & (F.col("block") == F.col("b")) & (F.col("bits") == F.col("v")))
     # a pair that agrees on several blocks is taken at the first of them
     agree = F.array_position(F.zip_with(blocks(F.col("fp"), radius), blocks(F.col("item_fp"), radius), lambda x, y: x == y), F.lit(True))
     near = met.where((F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius) & (agree == F.col("block") + 1))
     common = F.size(F.array_intersect("shingles", "bag"))
-    scored = near.withColumn("similarity", common / (2 * F.size("bag") - common)).where(F.col("similarity") >= similarity)
+    scored = near.withColumn("similarity", common / (F.size("shingles") + F.size("bag") - common)).where(F.col("similarity") >= similarity)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words")).alias("best")
     return scored.groupBy("row_key", "doc_id", "item_id").agg(best).select(
         "row_key", "doc_id", "item_id", "best.similarity", (-F.col("best.back")).alias("start"), "best.n_words"

@@ -353,3 +353,22 @@ def test_near_copies_that_differ_in_one_block(spark, documents):
     pick.shuffle(rows)
     got = {r.doc_id for r in simhash.near_copy_free(documents(rows)).collect()}
     assert got == {d for d, _ in rows} - gone
+
+
+def test_items_longer_than_the_text(spark, documents):
+    items = [t.split()[:n] for t, n in zip(made(8, 19), (20, 31, 41, 41, 45, 50, 55, 59))] + [["one", "two", "three"]]
+    texts = [" ".join(w[cut:] if cut % 2 else w[: len(w) - cut]) for w in items for cut in range(13)] + [None]
+    bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(items)], "item_id LONG, text STRING")
+    expected = {}
+    for i, text in enumerate(texts):
+        ws = brute.alnum(text)
+        for j, item in enumerate(items):
+            want = Counter(brute.grams(item, 5))
+            for at in range(max(1, len(ws) - len(item) + 1)):
+                window = ws[at : at + len(item)]
+                own = Counter(brute.grams(window, 5))
+                if sum((own & want).values()) >= 0.8 * sum((own | want).values()):
+                    expected[i, j] = (len(window), sum((own & want).values()) / sum((own | want).values()))
+    got = decontaminate.leaks(documents(list(enumerate(texts))), bench, radius=30).collect()
+    assert {(r.doc_id, r.item_id): (r.n_words, round(r.similarity, 9)) for r in got} == {k: (n, round(s, 9)) for k, (n, s) in expected.items()}
+    assert sum(n < len(items[j]) for (_, j), (n, _) in expected.items()) > 20
