@@ -20,7 +20,7 @@ from streamweir.llm.tables import Workspace, packed, quoted, unpacked
 from streamweir.llm.words import ALNUM, WordHashes, grouped, mixed, shingles
 
 FILTER_BITS = 23
-RADIUS = 15
+RADIUS = 24  # two texts at 0.8 differ in about 9 bits; none of 80,000 pairs differed in more than 24
 WINDOWS = "row_key LONG, doc_id LONG, start LONG, n_words INT, item_words INT, fp LONG, shingles ARRAY<LONG>"
 
 

@@ -372,3 +372,14 @@ def test_items_longer_than_the_text(spark, documents):
     got = decontaminate.leaks(documents(list(enumerate(texts))), bench, radius=30).collect()
     assert {(r.doc_id, r.item_id): (r.n_words, round(r.similarity, 9)) for r in got} == {k: (n, round(s, 9)) for k, (n, s) in expected.items()}
     assert sum(n < len(items[j]) for (_, j), (n, _) in expected.items()) > 20
+
+
+def test_windows_at_just_the_similarity(spark, documents):
+    names = " ".join(made(400, 20)).split()
+    items = [names[40 * i : 40 * i + 40] for i in range(500)]
+    # 32 of 36 shingles in common are 0.8
+    rows = [(i, " ".join([*w[:36], *(f"other{i}x{j}" for j in range(4)), "and", "more"])) for i, w in enumerate(items)]
+    bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(items)], "item_id LONG, text STRING")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.leaks(documents(rows), bench).collect()}
+    assert got == {(i, i): 0.8 for i in range(500)}
+    assert decontaminate.leaks(documents(rows), bench, radius=15).count() < 500
