@@ -44,8 +44,8 @@ WITH turns AS (
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), marked AS (
   SELECT *, lag(role) OVER w IS NOT DISTINCT FROM role AS follows,
-    length(role) + length(regexp_replace(role, '[^\\\x{2402}<\[]', '', 'g')) AS role_chars,
-    length(text) + length(regexp_replace(text, '[^\\\x{2402}<\[]', '', 'g')) AS text_chars
+    length(role) + length(regexp_replace(role, '[^\\x{2402}<\[]', '', 'g')) AS role_chars,
+    length(text) + length(regexp_replace(text, '[^\\x{2402}<\[]', '', 'g')) AS text_chars
   FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 )
 SELECT conv_id, count(*) AS n_turns,
@@ -68,8 +68,85 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM first
 """
 
+# crc32 byte by byte, with the table of its polynomial
+SPELLING = r"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT id, run, count(*) AS times FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+    FROM documents
+  ) WHERE length(run) >= 6 GROUP BY ALL
+), hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce([4294967295] || flatten(list_transform(string_split(id || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [192 | (unicode(c) >> 6), 128 | (unicode(c) & 63)] END)),
+    lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1]))) AS h
+  FROM runs, crc
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, times
+    FROM hashed
+  ) WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), cut AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS MATERIALIZED (
+  SELECT x.word AS a, y.word AS b FROM cut x JOIN cut y ON x.i = y.i AND x.head = y.head AND x.tail = y.tail AND x.word <> y.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.head || c.tail = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.head || c.tail = w.word
+), best AS (
+  SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, b) AS b, max(n) AS most FROM near JOIN words ON b = word GROUP BY a
+), formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * n THEN b END AS form, CASE WHEN most >= 5 * n THEN most END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), path AS (
+  SELECT word, word AS root, form AS further FROM formed
+  UNION ALL SELECT p.word, f.word, f.form FROM path p JOIN formed f ON p.further = f.word
+)
+SELECT f.word, f.form, p.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM formed f JOIN path p ON f.word = p.word AND p.further IS NULL
+"""
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws
+  FROM documents
+), counts AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i : i + k - 1], ' '))) AS phrase
+    FROM pieces, (SELECT unnest([1, 2, 3]) AS k)
+  ) GROUP BY ALL
+), candidates AS MATERIALIZED (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM counts WHERE k > 1 AND f >= 10
+), cuts AS (
+  SELECT c.lang, c.k AS size, c.phrase, c.a, p.k AS cut, p.f AS l, q.f AS r,
+    (1000000::HUGEINT * c.a * c.a) // (p.f::HUGEINT * q.f) AS score
+  FROM candidates c
+  JOIN counts p ON p.lang = c.lang AND p.k < c.k AND p.phrase = array_to_string(c.ws[1 : p.k], ' ')
+  JOIN counts q ON q.lang = c.lang AND q.k = c.k - p.k AND q.phrase = array_to_string(c.ws[p.k + 1 :], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), covered AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, a, unnest([array_to_string(ws[1 : 2], ' '), array_to_string(ws[2 : 3], ' ')]) AS phrase FROM candidates WHERE k = 3
+  ) GROUP BY ALL
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN covered c ON c.lang = b.lang AND c.phrase = b.phrase
+  WHERE size = 3 OR most IS NULL OR 100 * most < 50 * a
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 SQL: dict[str, str] = {
     "op1_chat_formatting": CHAT,
     "op7_mixing": MIXING,
     "op8_warc": ARCHIVE,
+    "op11_spelling_variants": SPELLING,
+    "op12_collocations": COLLOCATIONS,
 }

@@ -70,8 +70,9 @@ class PieceEncoder:
             raise ValueError("not a model with byte fallback and without unused pieces")
         self.longest = max(map(len, self.ids), default=1)
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
-            self.automaton.add_word(piece, piece)
+        for piece in self.ids:  # a character is always found, and a piece that merging does not make never taken
+            if len(piece) == 2 or len(piece) > 2 and self._merges(piece, ""):
+                self.automaton.add_word(piece, (piece, len(piece) - 1))
         self.automaton.make_automaton()
         crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
         self.chunks = (lambda text: [text]) if crossing else re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
@@ -95,52 +96,58 @@ class PieceEncoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def _fits(self, left: str, right: str) -> bool:
-        pair = (left, right)
-        known = self.fitting.get(pair)
-        if known is None:
-            if len(self.fitting) > 400_000:
-                self.fitting.clear()
-            known = self.fitting[pair] = self._merges(left, right)
-        return known
+        if len(self.fitting) > 400_000:
+            self.fitting.clear()
+        fits = self.fitting[left, right] = self._merges(left, right)
+        return fits
 
     def _found(self, text: str, start: int) -> list[list[str]]:
         """For each of a block of places the pieces that begin there, the longest last; a character is always one."""
         end = min(len(text), start + BLOCK)
         found = [[c] for c in text[start:end]]
-        for last, piece in self.automaton.iter(text, start, min(len(text), end + self.longest - 1)):
-            at = last + 1 - len(piece) - start
-            if len(piece) > 1 and at < len(found):
-                found[at].append(piece)
+        if len(text) == 1 or not len(self.automaton):
+            return found
+        for last, (piece, back) in self.automaton.iter(text, start, min(len(text), end + self.longest - 1)):
+            if last - back < end:
+                found[last - back - start].append(piece)
         return found
 
     def _pieces_of(self, text: str) -> list[str]:
         failed, taken, left = bytearray(len(text) + 1), [], []  # left: how many shorter pieces there were to try
-        at, untried, block, found = 0, -1, -1, []
+        at, untried, first, found, fitting, last = 0, -1, 0, self._found(text, 0), self.fitting, None
         while at < len(text):
-            if at // BLOCK != block:
-                block = at // BLOCK
-                found = self._found(text, block * BLOCK)
-            options = found[at - block * BLOCK]
-            untried = len(options) if untried < 0 else untried
+            if not first <= at < first + BLOCK:
+                first = at // BLOCK * BLOCK
+                found = self._found(text, first)
+            options = found[at - first]
+            if untried < 0:
+                untried = len(options)
             while untried:
                 untried -= 1
                 piece = options[untried]
-                if not failed[at + len(piece)] and self._fits(piece, "") and (not taken or self._fits(taken[-1], piece)):
-                    taken.append(piece)
-                    left.append(untried)
-                    at, untried = at + len(piece), -1
-                    break
+                if failed[at + len(piece)]:
+                    continue
+                if last is not None:
+                    fits = fitting.get((last, piece))
+                    if not (self._fits(last, piece) if fits is None else fits):
+                        continue
+                taken.append(piece)
+                left.append(untried)
+                at, untried, last = at + len(piece), -1, piece
+                break
             else:
                 failed[at] = 1
                 at -= len(taken.pop())
-                untried = left.pop()
+                untried, last = left.pop(), taken[-1] if taken else None
         return taken
 
     def _ids_of(self, chunk: str) -> array:
         out = array("I")
         for piece in self._pieces_of(chunk):
-            id = self.ids.get(piece)
-            out.extend([id] if id is not None else [self.bytes[b] for b in piece.encode()])
+            if piece in self.ids:
+                out.append(self.ids[piece])
+            else:
+                out.extend([self.bytes[b] for b in piece.encode()])
         return out
 
     def _parts(self, text: str) -> Iterator[str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from streamweir.llm import chat, decontaminate, licenses, lm, mixing, quality, sharding, simhash, tokens, warc
+from streamweir.llm import chat, decontaminate, licenses, lm, mixing, phrases, pieces, quality, sharding, simhash, spelling, tokens, warc
 from streamweir.llm.tables import Workspace
 
 
@@ -103,6 +103,25 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(docs)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op13_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = pieces.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), path, keep_text=False, decode=True)
+    return rows.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_chat_formatting": op1_chat_formatting,
@@ -115,4 +134,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_collocations": op12_collocations,
+    "op13_piece_encoding": op13_piece_encoding,
 }
