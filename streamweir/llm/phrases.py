@@ -5,6 +5,9 @@ shallow trie over numbers of words: a node's children are by the next word, and
 node is a hash container of counts, which bursts into a node when it is too large. When the trie is full, its
 largest subtrees leave as sorted runs with the counts of all their prefixes. Spark brings the runs
 of a prefix together and adds them up. The count of a phrase is that of its path's prefix.
+
+No phrase is more frequent than a pair in it. So a first pass counts hashes of all neighbours, and a path ends
+where a pair is too rare by that count; hashes that fall together only make paths longer.
 """
 
 from __future__ import annotations
@@ -12,13 +15,16 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from heapq import nlargest
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from streamweir.llm.tables import Workspace, quoted
+from streamweir.llm.words import WordHashes, mixed
 
 # bytes to bytes: A-Z to a-z, what ends a piece to a mark that no lower-cased text has, tabs to spaces
 MARK = b"A"
@@ -30,7 +36,7 @@ WORD = (1 << BITS) - 1
 
 
 class _Numbers(dict):
-    """Words to numbers from one on; zero is the end of a piece."""
+    """Words to numbers from one on; zero is no word."""
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self)
@@ -43,7 +49,7 @@ class HatTrie:
     The first level is always a node. A container of over ``burst`` paths becomes a node by its second number.
     """
 
-    def __init__(self, burst: int = 4096):
+    def __init__(self, burst: int = 1 << 15):
         self.burst, self.root, self.sizes, self.size = burst, {}, {}, 0
 
     def add(self, paths: list[int], counts: list[int]) -> None:
@@ -93,24 +99,68 @@ class HatTrie:
 
     def take(self, words: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """The whole subtrees of the words, which leave the trie: paths and their counts."""
-        paths, counts = [], []
-        for word in words:
-            below = self.root.pop(word)
-            self.size -= self.sizes.pop(word)
-            for holder in [h for k, h in below.items() if k >= 0] if -1 in below else [below]:
-                paths.append(np.fromiter(holder, np.int64, len(holder)) | word << 2 * BITS)
-                counts.append(np.fromiter(holder.values(), np.int64, len(holder)))
-        return np.concatenate(paths), np.concatenate(counts)
-
-
-def _paths(data: bytes, ahead: bytes, numbers: _Numbers) -> np.ndarray:
-    """The path of every word of some texts that are set apart by marks; what comes ahead ends paths and begins none."""
-    words, more = (x.replace(MARK, b" " + MARK + b" ").split() for x in (data, ahead))
-    ids = np.fromiter(map(numbers.__getitem__, words + more), np.int64, len(words) + len(more))
-    after = np.concatenate((ids, np.zeros(2, np.int64)))
-    second = after[1:-1]
-    third = np.where(second > 0, after[2:], 0)
-    return (ids << 2 * BITS | second << BITS | third)[: len(words)][ids[: len(words)] > 0]
+        sizes = [self.sizes.pop(word) for word in words]
+        self.size -= sum(sizes)
+        held = [h for below in map(self.root.pop, words) for h in ([x for k, x in below.items() if k >= 0] if -1 in below else [below])]
+        rest = np.fromiter(chain.from_iterable(held), np.int64, sum(sizes))
+        counts = np.fromiter(chain.from_iterable(h.values() for h in held), np.int64, sum(sizes))
+        return np.repeat(np.array(words, np.int64) << 2 * BITS, sizes) | rest, counts
+
+
+class Neighbours:
+    """The words of some texts that are set apart by marks, and the hashes of neighbours in their language."""
+
+    def __init__(self):
+        self.hashes = WordHashes()
+
+    def read(self, lang: str, data: bytes, ahead: bytes) -> None:
+        """What comes ahead has neighbours of the last words, but none of its own."""
+        raw = data + ahead
+        self.letters = raw.replace(MARK, b" ")
+        hashes, starts = self.hashes.of_part(np.frombuffer(self.letters, np.uint8))
+        piece = np.cumsum(np.frombuffer(raw, np.uint8) == MARK[0], dtype=np.int32)[starts]
+        self.n = int(np.searchsorted(starts, len(data)))
+        self.together = piece[1:] == piece[:-1]
+        self.pairs = mixed(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:] + np.uint64(xxhash.xxh64_intdigest(lang)))
+
+    def of_own(self) -> np.ndarray:
+        """The hashes of the neighbours that begin before what comes ahead."""
+        return self.pairs[: self.n][self.together[: self.n]]
+
+
+class Filter:
+    """Which hashes may be frequent: one bit for all that share their highest bits."""
+
+    MOST = 28
+
+    def __init__(self, bits: int, words: np.ndarray):
+        self.shift, self.words = np.uint64(64 - bits), words
+
+    @classmethod
+    def of(cls, hashes: DataFrame) -> Filter:
+        """Of a column ``hash``; about 32 bits for each, and 32 MB at most."""
+        bits = min(cls.MOST, max(16, (32 * hashes.count()).bit_length()))
+        slot = F.shiftrightunsigned("hash", 64 - bits)
+        own = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - bits}) & 63 AS int))")
+        words = np.zeros(1 << bits - 6, np.int64)
+        for row in hashes.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(own).alias("own")).toLocalIterator():
+            words[row["at"]] = row["own"]
+        return cls(bits, words.view(np.uint64))
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        slots = hashes >> self.shift
+        return (self.words[slots >> np.uint64(6)] >> (slots & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _paths(read: Neighbours, frequent: Filter, numbers: _Numbers) -> np.ndarray:
+    """The path of every word, as far as its pairs may be frequent."""
+    words = read.letters.split()
+    ids = np.zeros(len(words) + 2, np.int64)
+    ids[: len(words)] = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+    linked = np.zeros(len(words) + 1, bool)
+    linked[: len(read.pairs)] = read.together & frequent.has(read.pairs)
+    first, second = linked[:-1], linked[:-1] & linked[1:]
+    return (ids[:-2] << 2 * BITS | np.where(first, ids[1:-1], 0) << BITS | np.where(second, ids[2:], 0))[: read.n]
 
 
 def _parts(data: bytes, most: int = 2 << 20) -> Iterator[tuple[bytes, bytes]]:
@@ -133,17 +183,18 @@ class PhraseCounter:
 
     COLUMNS = ["lang", "prefix", "rest", "n"]
 
-    def __init__(self, limit: int = 1_000_000, words: int = 500_000):
-        self.limit, self.words = limit, min(words, 1 << BITS - 1)
+    def __init__(self, frequent: Filter, limit: int = 500_000, words: int = 500_000):
+        self.frequent, self.read, self.limit, self.words = frequent, Neighbours(), limit, min(words, 1 << BITS - 1)
         self._anew()
 
     def _anew(self) -> None:
-        self.numbers, self.tries = _Numbers({MARK: 0}), {}
+        self.numbers, self.tries = _Numbers({b"": 0}), {}
 
     def add(self, lang: str, data: bytes, ahead: bytes) -> Iterator[pa.RecordBatch]:
         """Counts the words of some texts of one language, and yields what has to leave."""
         trie = self.tries.setdefault(lang, HatTrie())
-        paths, counts = np.unique(_paths(data, ahead, self.numbers), return_counts=True)
+        self.read.read(lang, data, ahead)
+        paths, counts = np.unique(_paths(self.read, self.frequent, self.numbers), return_counts=True)
         trie.add(paths.tolist(), counts.tolist())
         if len(self.numbers) > self.words:
             yield from self.rest()
@@ -194,8 +245,8 @@ class PhraseCounter:
         return pa.RecordBatch.from_arrays([pa.array([lang] * len(count), pa.string()), prefix, rest, pa.array(count)], PhraseCounter.COLUMNS)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], limit: int, words: int) -> Iterator[pa.RecordBatch]:
-    counter = PhraseCounter(limit, words)
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes, bytes]]:
+    """About a megabyte of texts of one language at a time, or a part of a longer text and what comes ahead of it."""
     for batch in batches:
         langs, texts = batch.column("lang").to_pylist(), batch.column("text")
         sizes = pc.binary_length(texts).to_pylist()
@@ -205,21 +256,45 @@ def _counted(batches: Iterator[pa.RecordBatch], limit: int, words: int) -> Itera
                 if rows and (i is None or size + sizes[i] > 1 << 20):
                     joined = "\n".join(texts.take(pa.array(rows)).to_pylist()).encode("utf-8", "surrogatepass").translate(PIECES)
                     for part, ahead in _parts(joined):
-                        yield from counter.add(lang, part, ahead)
+                        yield lang, part, ahead
                     rows, size = [], 0
                 if i is not None:
                     rows.append(i)
                     size += sizes[i]
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """``hash, n`` of neighbours, summed up over some megabytes."""
+    read, held, size = Neighbours(), [], 0
+    for block in chain(_blocks(batches), [None]):
+        if block:
+            read.read(*block)
+            held.append(read.of_own())
+            size += len(held[-1])
+        if held and (block is None or size > most):
+            hashes, n = np.unique(np.concatenate(held), return_counts=True)
+            held, size = [], 0
+            for at in range(0, len(hashes), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[at : at + (1 << 16)].view(np.int64)), pa.array(n[at : at + (1 << 16)].astype(np.int32))], ["hash", "n"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch], frequent: Filter, limit: int, words: int) -> Iterator[pa.RecordBatch]:
+    counter = PhraseCounter(frequent, limit, words)
+    for lang, part, ahead in _blocks(batches):
+        yield from counter.add(lang, part, ahead)
     yield from counter.rest()
 
 
-def counted_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 10, limit: int = 1_000_000, words: int = 500_000) -> DataFrame:
+def counted_phrases(docs: DataFrame, work: Workspace, text: str = "text", lang: str = "lang", least: int = 10, limit: int = 500_000, words: int = 500_000) -> DataFrame:
     """``lang, phrase, words, f``: how often phrases of one to three words stand in pieces of texts, if at least ``least`` times.
 
-    The row of no words has a language's number of words, whatever ``least`` is.
+    The row of no words has a language's number of words, whatever ``least`` is. ``limit`` paths or ``words`` words are the most
+    that a task holds.
     """
     own = docs.select(F.coalesce(quoted(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"))
-    runs = own.mapInArrow(lambda b: _counted(b, limit, words), "lang STRING, prefix STRING, rest STRING, n LONG")
+    pairs = own.mapInArrow(_pair_counts, "hash LONG, n INT").groupBy("hash").agg(F.sum("n").alias("n"))
+    frequent = Filter.of(work.keep(pairs.where(F.col("n") >= least).select("hash")))
+    runs = own.mapInArrow(lambda b: _runs(b, frequent, limit, words), "lang STRING, prefix STRING, rest STRING, n LONG")
     # the runs of one prefix meet in one task, whose rows are as few as the runs have made them
     merged = runs.repartition("lang", "prefix").groupBy("lang", "prefix", "rest").agg(F.sum("n").alias("f"))
     merged = merged.where((F.col("f") >= least) | (F.col("prefix") == ""))
@@ -242,7 +317,7 @@ def collocations(
     ignored. An empty table gives no rows.
     """
     work = Workspace(docs.sparkSession, "phrases")
-    counts = work.keep(counted_phrases(docs, text, lang, least))
+    counts = work.keep(counted_phrases(docs, work, text, lang, least))
     f = counts.where("words > 0").select(F.col("lang").alias("of"), F.col("phrase").alias("part"), "f")
     found = counts.where("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"))
     cuts = found.select("*", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))

@@ -61,7 +61,7 @@ class WordHashes:
             ones[1:] = pow(self.BASE, -1, 1 << 64)
             self.inverses = np.cumprod(ones)
 
-    def _of_part(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def of_part(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the words of some bytes, and where they start."""
         self._reach(len(data))
         letter = np.zeros(len(data) + 2, bool)
@@ -77,7 +77,7 @@ class WordHashes:
         data = [encoded(t, table) for t in texts]
         ends = np.cumsum([len(d) + 1 for d in data])
         joined = b" ".join(data)
-        found = [(h, s + start) for start, end in cuts(joined) for h, s in [self._of_part(np.frombuffer(joined, np.uint8, end - start, start))]]
+        found = [(h, s + start) for start, end in cuts(joined) for h, s in [self.of_part(np.frombuffer(joined, np.uint8, end - start, start))]]
         if not found:
             return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
         hashes, starts = (np.concatenate(x) for x in zip(*found))
