@@ -11,10 +11,12 @@ the places from which no way leads on. Every prefix of a text has one encoding,
 from __future__ import annotations
 
 import re
-from array import array
+import sys
 from collections.abc import Iterator
-from itertools import chain
+from struct import pack
+from types import ModuleType
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
@@ -27,14 +29,14 @@ BLOCK = 4096
 
 
 class _Memory(dict):
-    """Encodings of chunks, made when first asked for. The older half goes when there are too many."""
+    """Ids of chunks as bytes, made when first asked for. The older half goes when there are too many."""
 
-    CHUNKS, CHARACTERS = 150_000, 3 << 20
+    CHUNKS, CHARACTERS = 400_000, 4 << 20
 
     def __init__(self, make):
         self.make, self.before, self.characters = make, {}, 0
 
-    def __missing__(self, chunk: str) -> array:
+    def __missing__(self, chunk: str) -> bytes:
         ids = self.before.get(chunk)
         if ids is None:
             ids = self.make(chunk)
@@ -141,14 +143,14 @@ class PieceEncoder:
                 untried, last = left.pop(), taken[-1] if taken else None
         return taken
 
-    def _ids_of(self, chunk: str) -> array:
-        out = array("I")
+    def _ids_of(self, chunk: str) -> bytes:
+        out: list[int] = []
         for piece in self._pieces_of(chunk):
             if piece in self.ids:
                 out.append(self.ids[piece])
             else:
                 out.extend([self.bytes[b] for b in piece.encode()])
-        return out
+        return pack(f"<{len(out)}I", *out)
 
     def _parts(self, text: str) -> Iterator[str]:
         """Parts of about a megabyte that end where a chunk does."""
@@ -159,17 +161,25 @@ class PieceEncoder:
             yield text[start:end]
             start = end
 
-    def encode(self, text: str) -> array:
-        """All ids, with those of begin and end."""
-        ids = array("I", [self.library.bos_id()])
+    def encode(self, text: str) -> bytes:
+        """All ids, with those of begin and end, as little-endian unsigned 32-bit numbers."""
+        out = [pack("<I", self.library.bos_id())]
         for part in self._parts(self.library.normalize(text)):
             self.known.trim()
-            ids.extend(chain.from_iterable(map(self.known.__getitem__, self.chunks(part))))
-        ids.append(self.library.eos_id())
-        return ids
+            out.append(b"".join(map(self.known.__getitem__, self.chunks(part))))
+        out.append(pack("<I", self.library.eos_id()))
+        return b"".join(out)
+
+    def decode(self, ids: bytes) -> str:
+        return self.library.decode(np.frombuffer(ids, "<u4").tolist())
+
 
-    def decode(self, ids: array) -> str:
-        return self.library.decode(ids.tolist())
+def _encoder(path: str) -> PieceEncoder:
+    """The encoder that this Python worker has from an earlier task, with what it remembers, or a new one."""
+    kept = sys.modules.setdefault("streamweir_worker_memory", ModuleType("streamweir_worker_memory"))
+    if getattr(kept, "pieces", (None, None))[0] != path:
+        kept.pieces = path, PieceEncoder(path)
+    return kept.pieces[1]
 
 
 def encoded(docs: DataFrame, path: str, text: str = "text", keep_text: bool = True, decode: bool = False, batch_bytes: int = 4 << 20) -> DataFrame:
@@ -185,13 +195,12 @@ def encoded(docs: DataFrame, path: str, text: str = "text", keep_text: bool = Tr
     schema = StructType([rows.schema["row"], StructField("ids", BinaryType()), StructField("decoded", StringType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
         for batch in batches:
-            encoder = encoder or PieceEncoder(path)
+            encoder = _encoder(path)
             texts, start, size, ids, back = batch.column("text"), 0, 0, [], []
             for i in range(batch.num_rows):
                 found = encoder.encode(texts[i].as_py() or "")
-                ids.append(found.tobytes())
+                ids.append(found)
                 back.append(encoder.decode(found) if decode else None)
                 size += len(ids[-1])
                 if size >= batch_bytes or i + 1 == batch.num_rows:
