@@ -1,0 +1,259 @@
+"""Spelling variants, phrases and sentence pieces against plain Python and the library."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from streamweir.llm import phrases, pieces, spelling
+from streamweir.llm.queries import QUERIES
+from streamweir.llm.tables import Workspace
+from tests.llm.brute import lower
+
+SF = "/root/testdata/sf0.001"
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+# --- spelling variants
+
+
+def near(a, b):
+    """One inserted, deleted or replaced code point."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelled(rows, least_length=6, least_count=5, times=5, every=199):
+    n = Counter()
+    for id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if id is None else id}:{run}".encode())
+            n[run[: h % len(run)] + run[h % len(run) + 1 :] if h % every == 0 else run] += 1
+    n = {w: c for w, c in n.items() if len(w) >= least_length and c >= least_count}
+    form, out = {}, {}
+    for w in n:
+        around = [x for x in n if near(w, x)]
+        best = min(around, key=lambda x: (-n[x], x.encode()), default=None)
+        if best is not None and n[best] >= times * n[w]:
+            form[w] = best
+        out[w] = [form.get(w), None, n[w], len(around), n[form[w]] if w in form else None]
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out[w][1] = root
+    return {w: tuple(v) for w, v in out.items()}
+
+
+def found(df):
+    return {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in df.collect()}
+
+
+def misspelled(rng, word):
+    at, c = rng.randrange(len(word) + 1), rng.choice("abcéà")
+    return rng.choice([word[:at] + c + word[at:], word[:at] + word[at + 1 :], word[:at] + c + word[at + 1 :]])
+
+
+def test_random_variants_against_all_pairs(spark, documents):
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        base = ["".join(rng.choice("aabcé") for _ in range(rng.choice([6, 6, 7, 9, 14]))) for _ in range(4)]
+        words = base + [misspelled(rng, w) for w in base for _ in range(4)]
+        words += [misspelled(rng, w) for w in words]
+        for w in words:
+            rows.append((i, " ".join([w] * rng.choice([1, 4, 5, 6, 30, 200]))))
+    rows += [(1000, None), (1001, ""), (1002, " \n"), (None, "abcabc " * 9), (None, "abcabc " * 9)]
+    got = found(spelling.spelling_groups(documents(rows)))
+    want = spelled(rows)
+    assert got == want
+    assert sum(v[3] > 1 for v in want.values()) > 50 and sum(v[0] is not None and v[1] != v[0] for v in want.values()) > 0
+
+
+def test_pairs_of_repetitive_words(spark):
+    """Few different bigrams, so that ranks and places are full of ties."""
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choice("ab") for _ in range(rng.choice([4, 5, 6, 7, 8]))) for _ in range(250)} | {"a" * n for n in range(4, 40)})
+    df = spark.createDataFrame([(w,) for w in words], "word STRING")
+    got = {(r.a, r.b) for r in spelling.near_pairs(df, Workspace(spark, "test")).collect()}
+    assert got == {(a, b) for a in words for b in words if near(a, b)}
+
+
+def test_a_chain_of_forms_and_ties(spark, documents):
+    counts = {"zzabcdef": 5, "zzabcdeg": 25, "zzabcdhg": 125, "zzabcihg": 700, "qqqqqqa": 50, "qqqqqqb": 50, "qqqqqqc": 10}
+    rows = [(i, " ".join([w] * n)) for i, (w, n) in enumerate(counts.items())]
+    got = found(spelling.spelling_groups(documents(rows), every=1 << 40))
+    assert got["zzabcdef"] == ("zzabcdeg", "zzabcihg", 5, 1, 25)
+    assert got["zzabcihg"] == (None, "zzabcihg", 700, 1, None)
+    assert got["qqqqqqc"] == ("qqqqqqa", "qqqqqqa", 10, 2, 50) and got["qqqqqqb"][:2] == (None, "qqqqqqb")
+
+
+def test_words_of_a_very_long_text(spark, documents):
+    long = "x" * 20_000
+    rows = [(1, "Straßen " * 300_000 + f"{long} " * 6 + f"{long}y " * 30), (2, "strafen " * 5)]
+    got = found(spelling.spelling_groups(documents(rows), every=1 << 40))
+    assert got["straßen"][2:] == (300_000, 1, None) and got["strafen"][:2] == ("straßen", "straßen")
+    assert got[long] == (long + "y", long + "y", 6, 1, 30)
+
+
+def test_extra_columns_and_clashing_names_of_words(spark):
+    df = spark.createDataFrame([(1, "Wörter " * 9, "k", 1, "n")] * 2, "doc_id LONG, text STRING, word STRING, n INT, form STRING")
+    assert found(spelling.spelling_groups(df, every=1 << 40)) == {"wörter": (None, "wörter", 18, 0, None)}
+
+
+# --- phrases
+
+
+def counted(rows, least):
+    n = Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower(text)):
+            ws = re.findall("[^\x20\x09]+", piece)
+            n[lang, "", 0] += len(ws)
+            n.update((lang, " ".join(ws[i : i + k]), k) for k in (1, 2, 3) for i in range(len(ws) - k + 1))
+    return {key: f for key, f in n.items() if f >= least or key[2] == 0 and f}
+
+
+def some_text(rng, n, ends=" .,\n\t"):
+    return "".join(rng.choice(["a", "b", "Cc", "d-d", "é", "f" * 9, str(rng.randrange(60))]) + rng.choice(" " * 9 + ends) for _ in range(n))
+
+
+@pytest.mark.parametrize("limit, words", [(500_000, 500_000), (300, 500_000), (500_000, 20)])
+def test_counts_when_the_trie_spills(spark, limit, words):
+    rng = random.Random(limit + words)
+    rows = [(rng.choice(["en", "fr", None, ""]), some_text(rng, rng.choice([0, 1, 2, 3, 400]))) for _ in range(80)] + [("en", None), ("x", ".,;")]
+    df = spark.createDataFrame(rows, "lang STRING, text STRING").repartition(3)
+    got = {(r.lang, r.phrase, r.words): r.f for r in phrases.counted_phrases(df, Workspace(spark, "test"), least=4, limit=limit, words=words).collect() if r.words or r.f}
+    assert got == counted(rows, 4) and len(got) > 100
+
+
+def test_containers_burst():
+    rng, want, trie = random.Random(1), Counter(), phrases.HatTrie(burst=8)
+    for _ in range(30):
+        some = Counter(rng.randrange(1, 4) << 42 | rng.randrange(0, 9) << 21 | rng.randrange(0, 9) for _ in range(200))
+        want += some
+        keys = sorted(some)
+        trie.add(keys, [some[k] for k in keys])
+    assert trie.size == len(want) and any(-1 in below for below in trie.root.values())
+    first = trie.largest(trie.size // 2)
+    got = Counter()
+    for words in (first, [w for w in (1, 2, 3) if w not in first]):
+        for path, n in zip(*trie.take(words)):
+            got[int(path)] += int(n)
+    assert got == want and trie.size == 0 and not trie.root
+
+
+def test_parts_of_a_very_long_text():
+    rng = random.Random(3)
+    for text in (some_text(rng, 2000), some_text(rng, 2000, ends=" "), "w" * 5000, "  a b  ", "a" * 90 + " b " + "c" * 90):
+        data = text.encode().translate(phrases.PIECES)
+        whole, got = Counter(), Counter()
+        read = phrases.Neighbours()
+        read.read("en", data, b"")
+        whole.update(read.of_own().tolist())
+        parts = list(phrases._parts(data, 64))
+        assert b"".join(p for p, _ in parts) == data
+        for part, ahead in parts:
+            read.read("en", part, ahead)
+            got.update(read.of_own().tolist())
+        assert got == whole
+
+
+def test_phrases_of_a_very_long_text_and_a_third_of_all_rows(spark):
+    rng = random.Random(4)
+    long = " ".join(rng.choice(["Alpha", "beta", "gamma", "delta", "x1", "x2"]) for _ in range(900_000))
+    rows = [("en", long)] + [("en", "new york city")] * 40 + [("de", "so ist es")] * 30 + [("de", f"a{i} b{i}") for i in range(50)]
+    df = spark.createDataFrame([(x, t, 1, "p") for x, t in rows], "lang STRING, text STRING, rank INT, phrase STRING")
+    got = {(r.lang, r.phrase): r.asDict() for r in phrases.collocations(df).collect()}
+    want = counted(rows, 10)
+    assert all(r["a"] == want[lang, p, p.count(" ") + 1] and r["n"] == want[lang, "", 0] for (lang, p), r in got.items())
+    assert ("en", "new york city") in got and ("en", "new york") not in got and got["de", "so ist es"]["rank"] == 1
+    assert len([1 for lang, _ in got if lang == "en"]) > 36
+
+
+def test_scores_beyond_64_bits_and_ties_of_cuts(spark):
+    rows = [("en", "p q. " * 400_000 + "r s t. " * 10)]
+    got = {r.phrase: r for r in phrases.collocations(spark.createDataFrame(rows, "lang STRING, text STRING")).collect()}
+    assert got["p q"].score == 1_000_000 and (got["r s t"].l, got["r s t"].r, got["r s t"].score) == (10, 10, 1_000_000)
+    assert list(got) == ["p q", "r s t"]
+
+
+# --- sentence pieces
+
+
+@pytest.fixture(scope="module")
+def library():
+    from sentencepiece import SentencePieceProcessor
+
+    return SentencePieceProcessor(model_file=MODEL)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return pieces.PieceEncoder(MODEL)
+
+
+def ids(encoder, text):
+    return np.frombuffer(encoder.encode(text), "<u4").tolist()
+
+
+def test_every_encoding_is_the_librarys(encoder, library):
+    rng = random.Random(13)
+    vocabulary = [library.id_to_piece(i) for i in range(259, library.get_piece_size())]
+    texts = ["", " ", "a", " a", "  a b  ", "\n\t x", "▁a▁", "　x ﬁ Å", "a\x00b", "<s>hi</s><unk><0x41>", "😀" * 50, "‮�", "áé"]
+    texts += ["".join(rng.choice("a aa▁\n ethning 123,.'=—é梦中国\x00😀tion") for _ in range(rng.randrange(60))) for _ in range(3000)]
+    texts += ["".join(rng.choice(vocabulary) for _ in range(rng.randrange(12))).replace("▁", rng.choice([" ", "", "▁"])) for _ in range(3000)]
+    assert [t for t in texts if ids(encoder, t) != library.encode(t, add_bos=True, add_eos=True)] == []
+
+
+@pytest.mark.parametrize("text", ["a" * 300_000, " " * 100_003 + "b", "etaoinshrdlu" * 9000 + "\n" * 5000, "ab cd  ef " * 200_000], ids=["one letter", "spaces", "one word", "over a megabyte"])
+def test_very_long_texts(encoder, library, text):
+    assert ids(encoder, text) == library.encode(text, add_bos=True, add_eos=True)
+    assert encoder.decode(encoder.encode(text)) == text
+
+
+def test_as_one_chunk_too(library):
+    """Models whose pieces cross spaces are encoded without cutting at them."""
+    whole = pieces.PieceEncoder(MODEL)
+    whole.chunks, whole.cut = (lambda text: [text]), None
+    for text in ("the cat  sat on\nthe mat " * 30, "x" * 9000 + " y z"):
+        assert ids(whole, text) == library.encode(text, add_bos=True, add_eos=True)
+
+
+def test_memory_forgets(library):
+    small = pieces.PieceEncoder(MODEL)
+    small.known.CHUNKS = 5
+    for n in range(50):
+        assert ids(small, f"word{n} word{n % 7} again") == library.encode(f"word{n} word{n % 7} again", add_bos=True, add_eos=True)
+        assert len(small.known) <= 8
+
+
+def test_rows_and_columns_around_encodings(spark, library):
+    rows = [(1, "Hello there", 5, "x"), (1, "Hello there", 5, "x"), (None, None, None, None), (2, "", 0, ""), (3, "ü\n\n ü", 1, "y")]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING, ids INT, `row.x` STRING")
+    out = pieces.encoded(df, MODEL, decode=True, batch_bytes=1)
+    assert out.columns == ["doc_id", "text", "row.x", "ids", "decoded"]
+    got = Counter((r[0], r[1], r[2], bytes(r["ids"]), r["decoded"]) for r in out.collect())
+    assert got == Counter(
+        (i, t, x, np.array(library.encode(t or "", add_bos=True, add_eos=True), "<u4").tobytes(), t or "") for i, t, _, x in rows
+    )
+
+
+def test_digests_of_all_documents(spark, library):
+    given = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = {r.doc_id: r for r in QUERIES["op13_piece_encoding"](spark, SF).collect()}
+    assert rows.keys() == given.keys()
+    for id, text in given.items():
+        want = library.encode(text, add_bos=True, add_eos=True)
+        assert rows[id].n_tokens == len(want)
+        assert rows[id].ids_sha256 == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
+        assert rows[id].decoded_sha256 == hashlib.sha256(library.decode(want).encode()).hexdigest()
