@@ -1,28 +1,81 @@
 """A left join of two growing tables, kept up to date.
 
-The result equals the batch left join of everything read so far, as a bag. Each pair
-is written once, in the batch that brought its later row:
+The result equals the batch left join of everything read so far, as a bag. Both sides are kept in
+state, as one list per side and bucket of keys, to which a batch appends its rows. Each change is
+written once, in the batch that brought its cause:
 
-    new left  LEFT JOIN  all right      pairs, and left rows without a partner so far
-    old left       JOIN  new right      pairs with older left rows
+    new left  JOIN  all right       pairs; a left row without a partner so far is written alone
+    old left  JOIN  new right       pairs; a left row that was alone until now is taken back
 
-A left row that was written without a partner stops counting as soon as its key has a
-right row; the reader takes those out with an anti join. So nothing is rewritten, and
-a hot key costs its new pairs only. Replaying a batch overwrites its own files.
+The reader nets what was written alone against what was taken back. A batch opens no file of
+earlier batches: it reads the buckets that its keys fall into from the state store, and nothing else.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
-from streamweir.streaming.run import start_stream
-from streamweir.streaming.sinks import commit
+from streamweir.streaming.run import start_stream, state_partitions_for
+
+MATCHED, ALONE, TAKEN_BACK = "matched", "alone", "taken back"
+
+# rows pass Python as text, which keeps whole numbers with nulls among them, and times to the microsecond
+_AS_TEXT = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+_STATE = "key STRING, row STRING"
+_CHANGES = "kind STRING, left STRING, right STRING"
+
+
+class _Buckets(StatefulProcessor):
+    """One bucket of keys: the rows of both sides so far, in a list each."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.left = handle.getListState("left", _STATE)
+        self.right = handle.getListState("right", _STATE)
+
+    @staticmethod
+    def _stored(rows, keys: set) -> pd.DataFrame:
+        """What a list has of some keys; a list is read through once and never held whole."""
+        found = [r for r in rows.get() if r[0] in keys] if keys and rows.exists() else []
+        return pd.DataFrame(found, columns=["key", "row"])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows))
+        left, right = (new.loc[new["is_left"] == side, ["key", "row"]] for side in (True, False))
+        left_keys, right_keys = set(left["key"]), set(right["key"])
+        old_right = self._stored(self.right, left_keys | right_keys)
+        old_left = self._stored(self.left, right_keys)
+        known = set(old_right["key"])
+
+        fresh = left.merge(pd.concat([old_right, right]), on="key", suffixes=("", "_right"))
+        late = old_left.merge(right, on="key", suffixes=("", "_right"))
+        alone = left[~left["key"].isin(known | right_keys)]
+        back = old_left[~old_left["key"].isin(known)]
+        for kind, changed in ((MATCHED, fresh), (MATCHED, late), (ALONE, alone), (TAKEN_BACK, back)):
+            if len(changed):
+                partner = changed["row_right"] if kind == MATCHED else None
+                yield pd.DataFrame({"kind": kind, "left": changed["row"], "right": partner})
+
+        for stored, added in ((self.left, left), (self.right, right)):
+            if len(added):
+                stored.appendList(list(added.itertuples(index=False, name=None)))
+
+    def close(self) -> None:
+        pass
 
 
 class IncrementalLeftJoin:
-    """``left_keys`` and ``right_keys`` pair up by position; all columns need distinct names."""
+    """``left_keys`` and ``right_keys`` pair up by position and have equal types; all columns need distinct names.
+
+    Aim at some thousand rows per bucket and side; ``buckets`` is fixed by the first start, like the
+    state's partitions. The default is 16 for each of those. Keys with a null part match nothing: such
+    left rows are written alone at once and are in no state.
+    """
 
     def __init__(
         self,
@@ -32,68 +85,69 @@ class IncrementalLeftJoin:
         right_schema: StructType,
         left_keys: list[str],
         right_keys: list[str],
+        buckets: int | None = None,
     ):
         shared = set(left_schema.names) & set(right_schema.names)
         if shared:
             raise ValueError(f"rename before joining, both sides have {sorted(shared)}")
+        for a, b in zip(left_keys, right_keys, strict=True):
+            if left_schema[a].dataType != right_schema[b].dataType:
+                raise ValueError(f"keys of one type only: {a} is not of the type of {b}")
         self.spark = spark
         self.path = path
-        self.left = left_schema.names
-        self.right = right_schema.names
+        self.left = left_schema
+        self.right = right_schema
         self.left_keys = left_keys
         self.right_keys = right_keys
-        self.columns = StructType(left_schema.fields + right_schema.fields)
+        self.buckets = buckets or 16 * state_partitions_for(spark)
+
+    def _side(self, rows: DataFrame, schema: StructType, keys: list[str], is_left: bool) -> DataFrame:
+        none = F.lit(False)
+        for k in keys:
+            none = none | F.col(k).isNull()
+        key = F.when(~none, F.to_json(F.struct(*[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)]), _AS_TEXT))
+        return rows.select(
+            F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int").alias("bucket"), key.alias("key"),
+            F.lit(is_left).alias("is_left"), F.to_json(F.struct(*schema.names), _AS_TEXT).alias("row"),
+        )
+
+    def changes(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        """``kind`` and the columns of both sides: what the rows of a batch add to the join, or take back."""
+        shown = self._side(left, self.left, self.left_keys, True)
+        clicked = self._side(right, self.right, self.right_keys, False)
+        keyed = shown.where("key IS NOT NULL").unionByName(clicked.where("key IS NOT NULL"))
+        changed = keyed.groupBy("bucket").transformWithStateInPandas(_Buckets(), _CHANGES, "Append", "None")
+        keyless = shown.where("key IS NULL").select(F.lit(ALONE).alias("kind"), F.col("row").alias("left"), F.lit(None).cast("string").alias("right"))
+        all = changed.unionByName(keyless)
+        return all.select("kind", self._read("left", self.left).alias("l"), self._read("right", self.right).alias("r")).select("kind", "l.*", "r.*")
+
+    @staticmethod
+    def _read(text: str, schema: StructType) -> Column:
+        return F.from_json(text, schema, _AS_TEXT)
 
     def start(self, left: DataFrame, right: DataFrame, name: str | None = None, drain: bool = True) -> StreamingQuery:
-        """Follow both streams; a stopped query goes on from its checkpoint."""
-        both = left.withColumn("side", F.lit("left")).unionByName(
-            right.withColumn("side", F.lit("right")), allowMissingColumns=True
-        )
+        """Follow both streams; a stopped query goes on from its checkpoint. A replayed batch counts once."""
         return start_stream(
-            both.select("side", *self.columns.names),
-            checkpoint=f"{self.path}/checkpoint", name=name, drain=drain, each_batch=self.apply,
+            self.changes(left, right), checkpoint=f"{self.path}/checkpoint", path=f"{self.path}/out", name=name, drain=drain,
+            partition_by=["kind"],
         )
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Store the batch once, then join from the stored rows."""
-        batch.write.mode("overwrite").partitionBy("side").parquet(f"{self.path}/rows/batch_id={batch_id}")
-        spark = batch.sparkSession
-        is_new = F.col("batch_id") == batch_id
-        is_old = F.col("batch_id") < batch_id
-        new_left = self._side(spark, "left", is_new)
-        old_left = self._side(spark, "left", is_old)
-        new_right = self._side(spark, "right", is_new)
-        all_right = self._side(spark, "right", is_new | is_old)
-
-        hit = F.col("hit")
-        fresh = new_left.join(all_right.withColumn("hit", F.lit(True)), self._on(), "left")
-        late = old_left.join(new_right.withColumn("hit", F.lit(True)), self._on(), "inner")
-        out = fresh.unionByName(late).select(
-            F.when(hit, "matched").otherwise("unmatched").alias("kind"), *self.columns.names
-        )
-        out.write.mode("overwrite").partitionBy("kind").parquet(f"{self.path}/out/batch_id={batch_id}")
-        commit(spark, self.path, batch_id)
+    def written(self) -> DataFrame:
+        """All changes of the committed batches."""
+        schema = StructType([*self.left.fields, *self.right.fields]).add("kind", "string")
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.path}/out")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)  # before the first batch
 
     def result(self) -> DataFrame:
         """The join as of the last committed batch."""
-        last = self.spark.read.parquet(f"{self.path}/commits").agg(F.max("batch")).first()[0]
-        seen = F.col("batch_id") <= last
-        out = self._stored(self.spark, "out", "kind").where(seen)
-        matched = out.where("kind = 'matched'").select(*self.columns.names)
-        unmatched = out.where("kind = 'unmatched'").select(*self.columns.names)
-        partners = self._side(self.spark, "right", seen).select(
-            *[F.col(k).alias(f"partner_{k}") for k in self.right_keys]
-        ).distinct()
-        same = [F.col(a) == F.col(f"partner_{b}") for a, b in zip(self.left_keys, self.right_keys)]
-        return matched.unionByName(unmatched.join(partners, same, "left_anti"))
-
-    def _on(self) -> list:
-        return [F.col(a) == F.col(b) for a, b in zip(self.left_keys, self.right_keys)]
-
-    def _stored(self, spark: SparkSession, part: str, label: str) -> DataFrame:
-        schema = StructType(list(self.columns.fields)).add("batch_id", "long").add(label, "string")
-        return spark.read.schema(schema).parquet(f"{self.path}/{part}")
-
-    def _side(self, spark: SparkSession, side: str, batches) -> DataFrame:
-        names = self.left if side == "left" else self.right
-        return self._stored(spark, "rows", "side").where((F.col("side") == side) & batches).select(*names)
+        written = self.written()
+        matched = written.where(F.col("kind") == MATCHED).select(*self.left.names, *self.right.names)
+        count = F.sum(F.when(F.col("kind") == ALONE, 1).otherwise(-1))
+        alone = written.where(F.col("kind").isin(ALONE, TAKEN_BACK)).groupBy(*self.left.names).agg(count.alias("n_rows_alone"))
+        each = alone.where("n_rows_alone > 0").withColumn("n_rows_alone", F.explode(F.sequence(F.lit(1), F.col("n_rows_alone").cast("int"))))
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.right.fields]
+        return matched.unionByName(each.select(*self.left.names, *nothing))

@@ -111,6 +111,7 @@ def start_stream(
     writer: object | None = None,
     state_partitions: int | None = None,
     options: dict[str, str] | None = None,
+    partition_by: list[str] | None = None,
 ) -> StreamingQuery:
     """Start a query; the call returns at once, so several can run side by side.
 
@@ -124,6 +125,8 @@ def start_stream(
         out = out.option("checkpointLocation", checkpoint)
     if name:
         out = out.queryName(name)
+    if partition_by:
+        out = out.partitionBy(*partition_by)
     if drain:
         out = out.trigger(availableNow=True)
     if each_batch is not None:
