@@ -44,10 +44,10 @@ class DatasetFlow:
         self._build(name)
         return self.table(name)
 
-    def read_stream(self, name: str) -> DataFrame:
-        """Another dataset as a stream, inside a dataset function."""
+    def read_stream(self, name: str, limits: bool = True) -> DataFrame:
+        """Another dataset as a stream, inside a dataset function; ``limits=False`` in front of a watermark."""
         self._build(name)
-        return read_stream(self.spark, self._data(name))
+        return read_stream(self.spark, self._data(name), limits=limits)
 
     def table(self, name: str) -> DataFrame:
         """The stored dataset, also registered under its name for SQL."""

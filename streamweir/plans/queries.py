@@ -322,7 +322,7 @@ def agg_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_tumbling_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the wire: decode messages, then ten-second windows over 2,000 groups."""
     path = _land(spark, inputs.cdc(inputs.events(spark, sf_dir)), "id", "ts", "messages_cdc")
-    decoded = decode_messages(read_messages(spark, path), CDC, arrival=None, processing=None)
+    decoded = decode_messages(read_messages(spark, path, limits=False), CDC, arrival=None, processing=None)
     sums = aggregate.windowed_sum(
         decoded, "ts", LIVE_AGG_DELAY, LIVE_WINDOW, aggregate.bucketed("id", LIVE_GROUPS), "amount"
     )
@@ -597,8 +597,8 @@ def dataset_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     @flow.dataset
     def impressions_with_clicks() -> DataFrame:
         return joins.interval_join(
-            flow.read_stream("impressions_bronze").withColumnRenamed("adId", "impressionAdId"),
-            flow.read_stream("clicks_bronze").withColumnRenamed("adId", "clickAdId"),
+            flow.read_stream("impressions_bronze", limits=False).withColumnRenamed("adId", "impressionAdId"),
+            flow.read_stream("clicks_bronze", limits=False).withColumnRenamed("adId", "clickAdId"),
             "impressionAdId", "clickAdId", "impressionTime", "clickTime", HORIZON, "left",
             IMPRESSION_DELAY, CLICK_DELAY, hot=_hot_ads(spark, sf_dir, root, HORIZON),
         )

@@ -44,15 +44,16 @@ def read_messages(
     path: str | None = None,
     fmt: str = "parquet",
     max_files: int | None = None,
+    limits: bool = True,
     **options: str,
 ) -> DataFrame:
     """Message envelopes from their earliest position.
 
-    With a path: a folder of message files. Without: a connector found by its
+    With a path: a folder of message files, ``limits`` as for :func:`read_stream`. Without: a connector found by its
     format name, all of whose settings are passed through ``options``.
     """
     if path is not None:
-        return read_stream(spark, path, ENVELOPE, fmt, max_files, **options)
+        return read_stream(spark, path, ENVELOPE, fmt, max_files, limits=limits, **options)
     stream = spark.readStream.format(fmt).options(**options).load()
     return stream.select("data", "approximateArrivalTimestamp")
 

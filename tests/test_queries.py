@@ -91,7 +91,10 @@ def test_no_rows(spark, folder, name):
     assert rows == {"scan_count": 3, "join_batch_count": 1, "reconcile": 1, "sink_batches": 1, "bronze_latency": 1, "agg_global_complete": 1}.get(name, 0)
 
 
-@pytest.mark.parametrize("name", ["agg_tumbling", "agg_sliding_update", "join_interval_left"])
+WATERMARKED = [n for n in REGISTERED if n.startswith(("agg_tumbling", "agg_sliding", "join_interval", "stateful", "late", "dataset"))]
+
+
+@pytest.mark.parametrize("name", WATERMARKED)
 def test_rate_limits_do_not_lose_rows_to_a_watermark(spark, folder, name):
     """Files out of time order, one per batch if the setting were followed."""
     path = tables(spark, folder, lambda df: df.orderBy(F.desc("ts")))
