@@ -56,8 +56,8 @@ def sampled(rows: DataFrame, n: int, total_rows: int, total_size: int) -> list[t
 def quantiles(sample: list[tuple[int, int, float]], parts: int, whole: float) -> list[tuple[int, int]]:
     """Cuts between ``parts`` ranges of equal weight.
 
-    A cut goes in front of all rows of its key, so that they stay together, unless the key
-    has more than the share ``whole`` of the weight: then it is cut by its ties.
+    A cut goes in front of all rows of its key, unless the key has more than the share
+    ``whole`` of the weight: then its rows are cut by their ties, and nothing else is in those ranges.
     """
     total = sum(w for *_, w in sample)
     heavy: dict[int, float] = {}
@@ -91,12 +91,32 @@ def planned(rows: DataFrame, n_shards: int, ranges: int, sample: int, whole: flo
         inside = rows.where(range_of(F.col("key"), F.col("tie"), plan.cuts).isin(over))
         n_in, size_in = sum(plan.rows[r] for r in over), sum(plan.sizes[r] for r in over)
         parts = min(ranges, int(ranges * max(n_in / n, size_in / max(1, size))) + 2 * len(over))
-        more = sorted({*plan.cuts, *quantiles(sampled(inside, sample, n_in, size_in), parts, 0.0)})
+        more = sorted({*plan.cuts, *quantiles(sampled(inside, sample, n_in, size_in), parts, 1 / parts)})
         if more == plan.cuts:
             return plan  # equal rows only: no key can part them
         plan = counted(rows, more)
 
 
+def shards_of_ranges(plan: Plan, n_shards: int, whole: float) -> list[int]:
+    """The shard of each range by the middle of its bytes. Ranges of one key that has at most ``whole`` of a shard go together."""
+    n, total = len(plan.cuts) + 1, sum(plan.sizes.values())
+    starts, ends = [None, *plan.cuts], [*plan.cuts, None]
+    # a range that ends with the key it starts in, or before, has rows of that key only
+    keys = [s[0] if s and e and e <= (s[0] + 1, SMALLEST) else None for s, e in zip(starts, ends)]
+    of_key: dict[int, int] = {}
+    for r, key in enumerate(keys):
+        if key is not None:
+            of_key[key] = of_key.get(key, 0) + plan.sizes.get(r, 0)
+    shards, before, done = [], 0, {}
+    for r, key in enumerate(keys):
+        together = key is not None and of_key[key] * n_shards <= whole * total
+        size = of_key[key] if together else plan.sizes.get(r, 0)
+        shard = min(n_shards - 1, int(n_shards * (before + size / 2) / total)) if total else 0
+        shards.append(done.setdefault(key, shard) if together else shard)
+        before += plan.sizes.get(r, 0)
+    return shards
+
+
 def sharded(
     docs: DataFrame, size: Column, n_shards: int = 8, key: Column | None = None, tie: Column | None = None,
     ranges: int = 1024, sample: int = 8192, whole: float = 0.05, text: str = "text", id: str = "doc_id",
@@ -105,8 +125,8 @@ def sharded(
 
     Shards hold near-equal sums of ``size`` (any LONG of one or more): they differ by the share
     of a range, or by one row if rows are larger. Rows of one key (default: the hash of the
-    text) stay in one shard unless they have more than ``whole`` of a shard; then they are cut by
-    ``tie`` (default: the id). Null keys and ties are hashed like values. Rows equal in key and tie
+    text) stay in one shard unless they have more than ``whole`` of a shard's size; then they are cut by
+    ``tie`` (default: the id). Many small rows of one key are several ranges of one shard. Null keys and ties are hashed like values. Rows equal in key and tie
     cannot be parted. The sample's expected size is ``sample``, whatever the input. Columns named
     like a result give way to it. An empty table gives no rows.
     """
@@ -116,14 +136,10 @@ def sharded(
     rows = packed(docs, key=key, tie=tie, size=size)
     keys = work.keep(rows.select("key", "tie", "size"))
     plan = planned(keys, n_shards, ranges, sample, whole)
-    total, before, shard_of, slots, in_shard = sum(plan.sizes.values()), 0, [], [], {}
-    for r in range(len(plan.cuts) + 1):
-        middle = before + plan.sizes.get(r, 0) / 2
-        shard = min(n_shards - 1, int(n_shards * middle / total)) if total else 0
-        shard_of.append(shard)
+    shard_of, slots, in_shard = shards_of_ranges(plan, n_shards, whole), [], {}
+    for r, shard in enumerate(shard_of):
         slots.append(in_shard.get(shard, 0))
         in_shard[shard] = slots[-1] + plan.rows.get(r, 0)
-        before += plan.sizes.get(r, 0)
     placed = rows.withColumn("range", range_of(F.col("key"), F.col("tie"), plan.cuts))
     place = F.row_number().over(Window.partitionBy("range").orderBy("key", "tie")) - 1
     # columns from the window on: the range's first slot, plus the row's place in its range

@@ -104,6 +104,24 @@ def test_a_third_of_all_rows_with_one_text(spark):
     assert len(sizes) == 8 and max(sizes.values()) < 1.02 * min(sizes.values())
 
 
+def test_groups_under_the_limit_stay_together(spark):
+    """A third of all rows has one short text, and small groups of long texts are in ranges that are cut again."""
+    text = F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 500 == 1, F.concat(F.lit("group "), F.floor(F.col("id") / 5000), F.repeat(F.lit("x"), 3000)))
+    rows = spark.range(30_000).select(F.col("id").alias("doc_id"), text.otherwise(F.concat(F.repeat(F.lit("y"), 300), "id")).alias("text"))
+    rows = rows.withColumn("size", F.octet_length("text").cast("long") + 1)
+    for ranges, sample in ((1024, 8192), (8, 64)):
+        got = sharding.sharded(rows, F.col("size"), ranges=ranges, sample=sample).collect()
+        check_shards(got)
+        shards, of_text = defaultdict(set), Counter()
+        for r in got:
+            shards[r.text].add(r.shard)
+            of_text[r.text] += r.size
+        limit = 0.05 * sum(of_text.values()) / 8
+        assert len(of_text) > 19_000 and max(of_text.values()) < limit and all(len(s) == 1 for s in shards.values())
+        sizes = sizes_of(got)
+        assert len(sizes) == 8 and max(sizes.values()) < (1.06 if ranges > 8 else 2.5) * min(sizes.values())
+
+
 def test_equal_rows_and_one_row(spark, documents):
     rows = documents([(1, "x")] * 40).withColumn("size", F.lit(2).cast("long"))
     check_shards(sharding.sharded(rows, F.col("size")).collect())
