@@ -7,16 +7,17 @@ depends on the batching. State that sees no rows for a while goes without a trac
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 TIMEOUT_MS = 20_000
 BUCKETS = 256
+PARTS = 64
 
 _NONE = np.iinfo(np.int64).min  # a side that is not known, smaller than any time
 
@@ -45,18 +46,19 @@ def tagged_union(
 
 def _newest(rows: pd.DataFrame) -> pd.DataFrame:
     """Newest time of each side per key."""
-    return rows.groupby("key", sort=False)[["shown", "clicked"]].max()
+    return rows.groupby("key", sort=False)[["part", "shown", "clicked"]].max()
 
 
 def _combine(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Within a chunk only the newest row per key and side can matter."""
     for chunk in chunks:
-        yield chunk.groupby(["bucket", "key", "is_click"], as_index=False, sort=False)["eventTime"].max()
+        yield chunk.groupby(["bucket", "part", "key", "is_click"], as_index=False, sort=False)["eventTime"].max()
 
 
 def _sides(chunk: pd.DataFrame) -> pd.DataFrame:
     at, is_click = chunk["at"].to_numpy(), chunk["is_click"].to_numpy()
     return pd.DataFrame({
+        "part": chunk["part"].to_numpy(),
         "key": chunk["key"].to_numpy(),
         "shown": np.where(is_click, _NONE, at),
         "clicked": np.where(is_click, at, _NONE),
@@ -71,58 +73,82 @@ def _packed(kept: pd.DataFrame) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _unpacked(state: GroupState) -> pd.DataFrame | None:
-    if not state.exists:
-        return None
-    return pa.ipc.open_stream(state.get[0]).read_pandas().set_index("key")
+class _KeepNewest(StatefulProcessor):
+    """The keys of one bucket, in parts by a second hash: a batch reads and writes the parts of its keys only.
 
+    ``due`` has for each part when its first key expires. There is a timer as long as there is a part; it is
+    set to no later than the first of these times, and set anew when it has fired.
+    """
+
+    def __init__(self, timeout_ms: int):
+        self.timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.newest = handle.getMapState("newest", "part INT", "rows BINARY")
+        self.due = handle.getMapState("due", "part INT", "at LONG")
+
+    def _read(self, part: int) -> pd.DataFrame | None:
+        if not self.newest.containsKey((part,)):
+            return None
+        return pa.ipc.open_stream(self.newest.getValue((part,))[0]).read_pandas().set_index("key")
 
-def _keep_newest(timeout_ms: int) -> Callable:
-    def step(_bucket, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        watermark = state.getCurrentWatermarkMs()
-        old = _unpacked(state)
-        seen = None
-        if not state.hasTimedOut:
-            for chunk in chunks:
-                rows = _sides(chunk)
-                seen = _newest(rows if seen is None else pd.concat([seen.reset_index(), rows]))
-        if seen is not None:
+    def _write(self, part: int, kept: pd.DataFrame) -> None:
+        if len(kept):
+            self.newest.updateValue((part,), (_packed(kept),))
+            self.due.updateValue((part,), (int(kept["expires"].min()),))
+        else:
+            self.newest.removeKey((part,))
+            self.due.removeKey((part,))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        watermark, seen = timerValues.getCurrentWatermarkInMs(), None
+        for chunk in rows:
+            sides = _sides(chunk)
+            seen = _newest(sides if seen is None else pd.concat([seen.reset_index(), sides]))
+        has_timer = self.due.exists()
+        for part, new in seen.groupby("part", sort=False):
+            new, old = new[["shown", "clicked"]].copy(), self._read(int(part))
             if old is not None:
                 # a side that this batch brought replaces what is known, even by an older time
-                known = old[["shown", "clicked"]].reindex(seen.index, fill_value=_NONE)
-                seen = seen.where(seen != _NONE, known)
-            seen["expires"] = watermark + timeout_ms
-
-        kept = [] if seen is None else [seen]
-        if old is not None:
-            idle = old if seen is None else old[~old.index.isin(seen.index)]
-            kept.append(idle[idle["expires"] >= watermark])
-        left = pd.concat(kept) if kept else pd.DataFrame()
-        if left.empty:
-            state.remove()
-        else:
-            state.update((_packed(left),))
-            # the first key to go wakes the bucket; Spark wants a time above the watermark
-            state.setTimeoutTimestamp(max(int(left["expires"].min()), watermark + 1))
-
-        if seen is not None:
-            both = seen[(seen["shown"] != _NONE) & (seen["clicked"] != _NONE)]
+                new = new.where(new != _NONE, old[["shown", "clicked"]].reindex(new.index, fill_value=_NONE))
+            new["expires"] = watermark + self.timeout_ms
+            idle = [] if old is None else [old[~old.index.isin(new.index) & (old["expires"] >= watermark)]]
+            self._write(int(part), pd.concat([new, *idle]))
+            both = new[(new["shown"] != _NONE) & (new["clicked"] != _NONE)]
             if len(both):
                 yield both.reset_index()[["key", "shown", "clicked"]]
-
-    return step
+        if not has_timer:
+            self.handle.registerTimer(max(watermark + self.timeout_ms, watermark + 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark, left = timerValues.getCurrentWatermarkInMs(), []
+        for (part,), (at,) in list(self.due.iterator()):
+            if at < watermark:
+                rows = self._read(part)
+                rows = rows[rows["expires"] >= watermark]
+                self._write(part, rows)
+                left += [int(rows["expires"].min())] if len(rows) else []
+            else:
+                left.append(at)
+        if left:
+            self.handle.registerTimer(max(min(left), watermark + 1))
+        yield from ()
+
+    def close(self) -> None:
+        pass
 
 
 def stateful_join(
     union: DataFrame, key: str, delay: str = "20 seconds", timeout_ms: int = TIMEOUT_MS,
-    buckets: int = BUCKETS,
+    buckets: int = BUCKETS, parts: int = PARTS,
 ) -> DataFrame:
     """(key, impressionTime, clickTime) from a :func:`tagged_union`.
 
-    A call into Python costs milliseconds, too much for each key. Keys are hashed into
-    ``buckets``; a call handles one bucket, with the state of its keys as one small Arrow
-    table. Aim at about a thousand live keys per bucket, and keep the number for as long
-    as the checkpoint lives.
+    A call into Python costs milliseconds, and one to the state store a part of one: too much for each
+    key. Keys are hashed into ``buckets``, a bucket's keys into ``parts``. A call handles one bucket;
+    each part is one entry of its state, a small Arrow table, and only those of the batch's keys are read
+    and written. Aim at some ten live keys per part, and keep both numbers for as long as the checkpoint lives.
 
     Only the newest row per key and side of a micro-batch matters. Each task reduces its
     Arrow chunks to those before the shuffle, so a hot key sends two rows per chunk.
@@ -131,21 +157,18 @@ def stateful_join(
     kind = union.schema[key].dataType.simpleString()
     sides = union.where(F.col(key).isNotNull() & F.col("eventTime").isNotNull()).select(
         F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket"),
+        F.pmod(F.xxhash64(F.lit("part"), key), F.lit(parts)).cast("int").alias("part"),
         F.col(key).alias("key"),
         F.col("click").isNotNull().alias("is_click"),
         "eventTime",
     )
-    newest = sides.mapInPandas(_combine, f"bucket INT, key {kind}, is_click BOOLEAN, eventTime TIMESTAMP")
+    newest = sides.mapInPandas(_combine, f"bucket INT, part INT, key {kind}, is_click BOOLEAN, eventTime TIMESTAMP")
     pairs = (
         newest.withColumn("at", F.unix_micros("eventTime"))
         .withWatermark("eventTime", delay)
         .groupBy("bucket")
-        .applyInPandasWithState(
-            _keep_newest(timeout_ms),
-            f"key {kind}, shown LONG, clicked LONG",
-            "newest BINARY",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
+        .transformWithStateInPandas(
+            _KeepNewest(timeout_ms), f"key {kind}, shown LONG, clicked LONG", "Append", "EventTime",
         )
     )
     return pairs.select(

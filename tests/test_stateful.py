@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 from datetime import datetime
+from pathlib import Path
 
 from streamweir.sources.streams import read_stream
 from streamweir.streaming.run import run_stream
@@ -121,3 +122,22 @@ def test_random_batches_against_a_simulation(spark, folder):
         batches.append((some() + [(99, clock)], some()))
     got, _ = run(spark, folder, batches)
     assert got == simulated(batches) and got.total() > 8
+
+
+def test_a_batch_writes_the_state_of_its_keys_only(spark, folder):
+    """60,000 live keys, then a batch of 20 keys: what the state store writes follows the keys."""
+    ids = spark.range(60_000).selectExpr("CAST(id AS INT) AS adId", f"TIMESTAMP '{START}' AS impressionTime")
+    some = spark.range(20).selectExpr("CAST(id * 2999 AS INT) AS adId", f"TIMESTAMP '{START}' AS impressionTime")
+    land_ordered([ids, some], f"{folder}/shown")
+    land_ordered([instants(spark, [], CLICKED), some.withColumnRenamed("impressionTime", "clickTime")], f"{folder}/clicked")
+    shown = read_stream(spark, f"{folder}/shown", max_files=1)
+    clicked = read_stream(spark, f"{folder}/clicked", max_files=1)
+    union = tagged_union(shown, clicked, "adId", "impressionTime", "clickTime")
+    # no delay and no time that moves on: nothing expires
+    run_stream(stateful_join(union, "adId", timeout_ms=10**13, buckets=128), path=f"{folder}/data", checkpoint=f"{folder}/cp", state_partitions=4)
+    assert spark.read.parquet(f"{folder}/data").count() == 20
+    written = Counter()
+    for path in Path(f"{folder}/cp/state/0").rglob("*.changelog"):
+        written[int(path.name.split(".")[0].split("_")[0])] += path.stat().st_size
+    first, second = written[1], written[2]
+    assert first > 500_000 and second < first / 20
