@@ -45,11 +45,39 @@ def blocks(turns: Column) -> Column:
         F.transform(turns, lambda t, i: F.when((i == 0) | ~t["role"].eqNullSafe(F.get(turns, i - 1)["role"]), i).otherwise(F.lit(-1))),
         lambda i: i >= 0,
     )
-    bounds = F.concat(starts, F.array(F.size(turns)))
-    return F.transform(starts, lambda at, n: F.struct(
+    return _let(starts, lambda bound: F.transform(bound, lambda at, n: F.struct(
         turns[at]["role"].alias("role"),
-        F.transform(F.slice(turns, at + 1, F.get(bounds, n + 1) - at), lambda t: t["text"]).alias("texts"),
-    ))
+        F.transform(F.slice(turns, at + 1, F.coalesce(F.get(bound, n + 1), F.size(turns)) - at), lambda t: t["text"]).alias("texts"),
+    )))
+
+
+def _chunks(items: Column) -> Column:
+    """The items in about as many chunks as a chunk has items; one empty chunk of none.
+
+    What costs the square of the length of an array, or a walk from the start of a text for each item, is done per
+    chunk and once for the chunks.
+    """
+    n = F.greatest(F.size(items), F.lit(1))
+    width = F.ceil(F.sqrt(n)).cast("int")
+    return F.transform(F.sequence(F.lit(0), n - 1, width), lambda at: F.slice(items, at + 1, width))
+
+
+def _spans(pieces: Column) -> Column:
+    """Start and length of the texts under the loss in all pieces together."""
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
+
+    def span(s: Column, p: Column) -> Column:
+        start, length = s["at"] + F.length(p["lead"]), F.length(p["text"])
+        spans = F.when(p["loss"], F.concat(s["spans"], F.array(F.struct(start.alias("start"), length.alias("length"))))).otherwise(s["spans"])
+        return F.struct((start + length + F.length(p["tail"])).alias("at"), spans.alias("spans"))
+
+    def placed(chunks: Column) -> Column:
+        begin = F.aggregate(chunks, F.array(F.lit(0)), lambda o, c: F.concat(o, F.array(F.element_at(o, -1) + c["at"])))
+        return _let(begin, lambda before: F.flatten(F.transform(chunks, lambda c, i: F.transform(
+            c["spans"], lambda s: F.struct((s["start"] + F.get(before, i)).alias("start"), s["length"].alias("length")),
+        ))))
+
+    return _let(F.transform(_chunks(pieces), lambda c: F.aggregate(c, state, span)), placed)
 
 
 def formatted(
@@ -76,14 +104,7 @@ def formatted(
     ))))
     cut = merged.select("conv_id", pieces.alias("pieces"))
     whole = F.array_join(F.transform("pieces", lambda p: F.concat(p["lead"], p["text"], p["tail"])), "")
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-
-    def span(s: Column, p: Column) -> Column:
-        start, length = s["at"] + F.length(p["lead"]), F.length(p["text"])
-        spans = F.when(p["loss"], F.concat(s["spans"], F.array(F.struct(start.alias("start"), length.alias("length"))))).otherwise(s["spans"])
-        return F.struct((start + length + F.length(p["tail"])).alias("at"), spans.alias("spans"))
-
-    return cut.select("conv_id", whole.alias("formatted"), F.aggregate("pieces", state, span)["spans"].alias("loss"))
+    return cut.select("conv_id", whole.alias("formatted"), _spans(F.col("pieces")).alias("loss"))
 
 
 def _let(value: Column, body) -> Column:
@@ -104,4 +125,12 @@ def turns_of(formatted: Column) -> Column:
 
 def loss_text(formatted: Column, loss: Column) -> Column:
     """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.transform(loss, lambda s: unescaped(F.substring(formatted, s["start"] + 1, s["length"]))), "")
+
+    def of_chunk(spans: Column) -> Column:
+        start, end = F.get(spans, 0)["start"], F.get(spans, F.size(spans) - 1)
+        part = F.substring(formatted, start + 1, end["start"] + end["length"] - start)
+        return _let(F.struct(start.alias("start"), part.alias("text")), lambda p: F.array_join(
+            F.transform(spans, lambda s: unescaped(F.substring(p["text"], s["start"] - p["start"] + 1, s["length"]))), "",
+        ))
+
+    return F.array_join(F.transform(_chunks(loss), of_chunk), "")

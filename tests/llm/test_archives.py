@@ -64,3 +64,20 @@ def test_the_given_pages(spark):
     expected = dict(duckdb.sql(f"SELECT page_id, html FROM '{sf}/pages.parquet'").fetchall())
     for r in records.collect():
         assert r.payload.decode() == expected[r.page_id]
+
+
+def test_a_conversation_of_a_hundred_thousand_turns(spark):
+    """Formatted and read back in time that grows with the turns."""
+    from streamweir.llm import chat
+    from streamweir.llm.tables import Workspace
+
+    n = 100_000
+    role = F.when(F.col("id") % 3 == 0, "user").otherwise("assistant")
+    turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("␂é \\ ["), "id").alias("text"))
+    stored = Workspace(spark, "chat").keep(chat.formatted(turns))
+    row = stored.select(
+        chat.turns_of(F.col("formatted")).alias("turns"), chat.loss_text(F.col("formatted"), F.col("loss")).alias("loss"), F.size("loss").alias("n"),
+    ).first()
+    said = [("assistant" if i % 3 else "user", f"␂é \\ [{i}") for i in range(n)]
+    assert [tuple(t) for t in row.turns] == said
+    assert row.n == sum(r == "assistant" for r, _ in said) and row.loss == "".join(t for r, t in said if r == "assistant")
