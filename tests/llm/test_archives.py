@@ -68,9 +68,6 @@ def test_the_given_pages(spark):
 
 def test_a_conversation_of_a_hundred_thousand_turns(spark):
     """Formatted and read back in time that grows with the turns."""
-    from streamweir.llm import chat
-    from streamweir.llm.tables import Workspace
-
     n = 100_000
     role = F.when(F.col("id") % 3 == 0, "user").otherwise("assistant")
     turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("␂é \\ ["), "id").alias("text"))
