@@ -47,9 +47,12 @@ def fingerprint(text: str | None, k: int = 3) -> int:
     return int(np.packbits(2 * total > n, bitorder="little").view("<u8")[0])
 
 
-@F.pandas_udf(LongType())
-def fingerprint_of_three(texts: pd.Series) -> pd.Series:
-    return pd.Series(np.fromiter(map(fingerprint, texts), np.uint64, len(texts)).view(np.int64))
+def fingerprint_of(text: Column, k: int) -> Column:
+    @F.pandas_udf(LongType())
+    def of_batch(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.fromiter((fingerprint(t, k) for t in texts), np.uint64, len(texts)).view(np.int64))
+
+    return of_batch(text)
 
 
 def hex_digits(fingerprint: Column) -> Column:
@@ -76,10 +79,12 @@ def meeting_links(fingerprints: DataFrame, id: str, key: str, bits: int, half: i
     return met.where("a <> b").select("a", "b").distinct()
 
 
-def components_of_fingerprints(fingerprints: DataFrame, work: Workspace) -> DataFrame:
-    """``fp, component_id`` for each fingerprint: the smallest id of all that links of at most two bits reach."""
+def components_of_fingerprints(fingerprints: DataFrame, work: Workspace, bits: int = 2) -> DataFrame:
+    """``fp, component_id`` for each fingerprint: the smallest ``doc_id`` of all that links of at most ``bits`` bits reach."""
+    if bits < 0 or bits % 2:
+        raise ValueError("fingerprints meet in the middle: an even number of bits is needed")
     distinct = work.keep(fingerprints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    links = meeting_links(distinct, "fp", "fp", 64, 1).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
+    links = meeting_links(distinct, "fp", "fp", 64, bits // 2)
     roots = components.roots(links, work)
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -234,11 +239,11 @@ def near_copy_free(docs: DataFrame, text: str = "text", id: str = "doc_id", simi
     return unpacked(kept.withColumn("turn", turn).where("turn = 1"), docs.columns)
 
 
-def simhash_components(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+def simhash_components(docs: DataFrame, text: str = "text", id: str = "doc_id", k: int = 3, bits: int = 2) -> DataFrame:
     """The columns but the text, plus ``fingerprint`` (16 hex digits) and ``component_id``.
 
-    The fingerprint is over 3-word shingles (A-Z lower-cased, repeats included). Fingerprints at two
-    or fewer differing bits are linked; the component is the smallest id reachable. Null and blank
+    The fingerprint is over ``k``-word shingles (A-Z lower-cased, repeats included). Fingerprints at ``bits``
+    (an even number) or fewer differing bits are linked; the component is the smallest id reachable. Null and blank
     texts have fingerprint zero and are linked like any other; shorter texts are one shingle. Rows
     with a null id take part but name no component unless it has no other row. Equal rows stay as
     many as they were. Other columns are carried along; those named like a result give way to it.
@@ -246,7 +251,26 @@ def simhash_components(docs: DataFrame, text: str = "text", id: str = "doc_id")
     """
     work = Workspace(docs.sparkSession, "simhash")
     kept = [c for c in docs.columns if c != text]
-    fps = work.keep(packed(docs, kept, fp=fingerprint_of_three(quoted(text)), doc_id=quoted(id)))
-    named = fps.join(components_of_fingerprints(fps, work), "fp")
+    fps = work.keep(packed(docs, kept, fp=fingerprint_of(quoted(text), k), doc_id=quoted(id)))
+    named = fps.join(components_of_fingerprints(fps, work, bits), "fp")
     results = [hex_digits(F.col("fp")).alias("fingerprint"), F.col("component_id")]
     return unpacked(named, kept, *results, names=["fingerprint", "component_id"])
+
+
+def one_of_each(docs: DataFrame, text: str = "text", id: str = "doc_id", k: int = 3, bits: int = 2) -> DataFrame:
+    """The rows without near copies: of each component of ``simhash_components`` the one with the smallest id stays, as it was.
+
+    Null and blank texts are copies of one another. Null ids come last; rows of one id stay apart by
+    their texts, and of those with equal id and text one stays. Other columns are untouched, whatever their
+    names. An empty table gives no rows.
+    """
+    work = Workspace(docs.sparkSession, "near-copies")
+    number = quoted(id).cast("long")
+    # ordered as the rows are to be chosen, and without nulls, so that it joins
+    name = F.struct(number.isNull().alias("none"), F.coalesce(number, F.lit(0)).alias("id"), F.xxhash64(quoted(text)).alias("text"))
+    found = simhash_components(docs.select(name.alias("name"), quoted(text).alias("text")), "text", "name", k, bits)
+    stay = work.keep(found.where("name = component_id").select("name").distinct())
+    # equal rows go before any text is shuffled: the least of each task is enough
+    turn = F.row_number().over(Window.partitionBy("name").orderBy("name"))
+    rows = packed(docs, name=name).withColumn("turn", turn).where("turn = 1")
+    return unpacked(rows.join(stay, "name", "left_semi"), docs.columns)

@@ -1,5 +1,6 @@
 """Against trying all pairs, and the cases that the docstrings name."""
 
+import random
 import re
 from collections import defaultdict
 
@@ -8,7 +9,7 @@ import pytest
 import xxhash
 
 from streamweir.llm.queries import QUERIES
-from streamweir.llm.simhash import fingerprint, simhash_components
+from streamweir.llm.simhash import fingerprint, one_of_each, simhash_components
 
 
 def lower(text):
@@ -24,8 +25,8 @@ def brute_fingerprint(text, k=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def brute_components(rows):
-    prints = {i: brute_fingerprint(t) for i, t in rows}
+def brute_components(rows, k=3, bits=2):
+    prints = {i: brute_fingerprint(t, k) for i, t in rows}
     distinct = sorted(set(prints.values()))
     up = {f: f for f in distinct}
 
@@ -36,7 +37,7 @@ def brute_components(rows):
 
     for x, a in enumerate(distinct):
         for b in distinct[:x]:
-            if (a ^ b).bit_count() <= 2:
+            if (a ^ b).bit_count() <= bits:
                 up[top(a)] = top(b)
     least = defaultdict(list)
     for i, f in prints.items():
@@ -81,3 +82,61 @@ def test_equal_rows_null_ids_extra_columns_and_no_rows(spark):
 @pytest.mark.parametrize("text", ["", "a", "a b", "a b c", "A b C d", "x " * 50])
 def test_fingerprint(text):
     assert fingerprint(text) == brute_fingerprint(text)
+
+
+def families(n, seed):
+    """Texts of 60 to 300 words, each with copies of which none to six words differ."""
+    pick, texts = random.Random(seed), []
+    for i in range(n):
+        ws = [f"w{pick.randrange(4000)}" for _ in range(pick.randint(60, 300))]
+        texts.append(" ".join(ws))
+        for _ in range(pick.randint(0, 5)):
+            copy = list(ws)
+            for _ in range(pick.choice((0, 0, 1, 2, 6))):
+                copy[pick.randrange(len(copy))] = "edited"
+            texts.append(" ".join(copy).title() if pick.random() < 0.2 else " ".join(copy))
+    return texts
+
+
+@pytest.mark.parametrize("k, bits", [(3, 2), (2, 4), (5, 0)])
+def test_one_of_each_equals_all_pairs(documents, k, bits):
+    texts = families(60, k) + ["", " ", None, "a b", "A  B", "a b c", "w1 " * 200_000, "W1 " * 200_000]
+    rows = list(enumerate(texts))
+    random.Random(1).shuffle(rows)
+    want = {i for i, _, least in brute_components(rows, k, bits) if i == least}
+    got = one_of_each(documents(rows), k=k, bits=bits)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert {(r.doc_id, r.text) for r in got.collect()} == {(i, texts[i]) for i in want}
+    assert got.count() == len(want) < len(texts) - 40
+
+
+def test_one_of_each_has_no_odd_bits(documents):
+    with pytest.raises(ValueError):
+        one_of_each(documents([(1, "a")]), bits=3)
+
+
+def test_one_of_each_of_odd_rows(spark):
+    """Null and equal ids, equal rows, columns named like the operator's own, no rows."""
+    a, b = "a b c d e f g", "q r s t u v w"
+    rows = [
+        (None, a, 1, "x"), (7, a, 2, None), (7, a, 2, None), (None, b, 3, "y"), (None, b, 3, "y"),
+        (7, "other words of id seven", 4, "z"), (8, None, 5, "n"), (9, "", None, "m"), (None, " \n", 6, None),
+    ]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING, name INT, component_id STRING")
+    got = one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[1], rows[3], rows[5], rows[6]], key=str)
+    assert one_of_each(df.limit(0)).count() == 0
+    clashing = df.toDF("doc_id", "text", "turn", "fingerprint")
+    assert sorted(map(tuple, one_of_each(clashing).collect()), key=str) == sorted([rows[1], rows[3], rows[5], rows[6]], key=str)
+
+
+def test_one_of_each_of_a_hot_group(spark):
+    """A third of the rows equal in every column, a third equal texts: each leaves one row."""
+    same = "one text that is there again and again and again"
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS doc_id",
+        f"CASE WHEN id % 3 < 2 THEN '{same}' ELSE concat_ws(' ', transform(sequence(1, 60), x -> sha2(cast(id * 100 + x AS STRING), 256))) END AS text",
+    )
+    got = one_of_each(df.repartition(7))
+    assert sorted(r.doc_id for r in got.select("doc_id").collect()) == [-1, *range(2, 3000, 3)]
