@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from streamweir.llm import decontaminate, licenses, lm, mixing, quality, sharding, simhash, tokens
+from streamweir.llm import decontaminate, licenses, lm, mixing, quality, sharding, tokens
 from streamweir.llm.queries import QUERIES
 from tests.llm import brute
 
@@ -310,67 +310,7 @@ def test_packed_hashes():
         assert lm.unpack(lm.pack(data)).tolist() == values
 
 
-# --- near copies ---
-
-
-def test_near_copies_equal_brute_force(spark, documents):
-    pick, texts = random.Random(12), []
-    for t in made(40, 13):
-        texts.append(t)
-        for _ in range(pick.randint(0, 3)):
-            ws = t.split()
-            for _ in range(pick.choice((0, 1, 1, 2, 6))):
-                ws[pick.randrange(len(ws))] = "edited"
-            texts.append(" ".join(ws).title() if pick.random() < 0.2 else " ".join(ws))
-    texts += ["", " ", None, "a b", "A  B", "a b c"]
-    rows = list(enumerate(texts)) + [(None, texts[0]), (0, texts[0])]
-    up = list(range(len(texts)))
-
-    def top(i):
-        while up[i] != i:
-            i = up[i]
-        return i
-
-    for i in range(len(texts)):
-        for j in range(i):
-            if brute.jaccard(texts[i], texts[j]) >= 0.8:
-                a, b = sorted((top(i), top(j)))
-                up[b] = a
-    got = simhash.near_copy_free(documents(rows))
-    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    assert sorted(r.doc_id for r in got.collect()) == [i for i in range(len(texts)) if top(i) == i]
-
-
-def test_pairs_beside_a_dissimilar_smallest_id(spark, documents):
-    """Texts of equal 2-word shingles in orders of their own, each with a near copy: no text stands for the others."""
-    pick, texts = random.Random(14), []
-    names = made(1, 15)[0].split()
-    names = list(dict.fromkeys(names))[:50]
-    for _ in range(8):
-        order = pick.sample(names, len(names))
-        for own in (order, [*order[:-2], order[-1], order[-2]]):
-            texts.append("hub " + " ".join(f"{w} hub" for w in own))
-    close = [[brute.jaccard(a, b) >= 0.8 for b in texts] for a in texts]
-    assert all(close[i][j] == (i // 2 == j // 2) for i in range(16) for j in range(16))
-    got = simhash.near_copy_free(documents(list(enumerate(texts))))
-    assert sorted(r.doc_id for r in got.collect()) == list(range(0, 16, 2))
-
-
-def test_near_copies_that_differ_in_one_block(spark, documents):
-    pick, rows, gone = random.Random(16), [], set()
-    for i, (text, other) in enumerate(zip(made(90, 17), made(90, 18))):
-        ws, new = text.split(), other.split()
-        copies = []
-        for n in range(1, 20):
-            copies.append((ws + new[:n], ws[:-n], ws[:-n] + new[:n])[i % 3])
-        # the last one that is still similar enough
-        copy = [c for c in map(" ".join, copies) if brute.jaccard(text, c) >= 0.8][-1]
-        assert brute.jaccard(text, copy) < 0.85
-        rows += [(2 * i, text), (2 * i + 1, copy)]
-        gone.add(2 * i + 1)
-    pick.shuffle(rows)
-    got = {r.doc_id for r in simhash.near_copy_free(documents(rows)).collect()}
-    assert got == {d for d, _ in rows} - gone
+# --- items of a benchmark, at their limits ---
 
 
 def test_items_longer_than_the_text(spark, documents):

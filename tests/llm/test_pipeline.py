@@ -5,8 +5,10 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from streamweir.llm.simhash import fingerprint
 from streamweir.llm.tables import Workspace
 from tests.llm import brute
+from tests.llm.test_simhash import brute_components
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,21 +44,9 @@ def test_quality_rules(stages):
 
 def test_near_dedup(stages):
     before, after = rows(stages[1]), rows(stages[2])
-    ids = sorted(before)
-    up = {d: d for d in ids}
-
-    def top(d):
-        while up[d] != d:
-            d = up[d]
-        return d
-
-    sets = {d: set(brute.grams(brute.words(before[d]), 5)) for d in ids}
-    for i, a in enumerate(ids):
-        for b in ids[:i]:
-            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                x, y = sorted((top(a), top(b)))
-                up[y] = x
-    assert after == {d: before[d] for d in ids if top(d) == d}
+    groups = brute_components(before.items())
+    assert after == {d: before[d] for d, _, least in groups if d == least}
+    assert len(after) < len(before)
 
 
 def test_decontamination(spark, stages):
@@ -126,10 +116,13 @@ def test_no_documents(spark, folder):
 def test_odd_documents(spark):
     """Nulls in every column, repeated rows and blank texts pass through every stage on their own."""
     text = " ".join(f"word{i}" for i in range(70)) + ".\nAnother line of it."
-    rows = [(None, text, None, None, None), (None, text, None, None, None), (1, None, "en", None, 1), (2, "", None, "s", 2), (2, "", None, "s", 2), (3, " \n", "en", "s", 3), (4, text + " more", "en", "t", 4)]
+    rows = [(None, text, None, None, None), (None, text, None, None, None), (1, None, "en", None, 1), (2, "", None, "s", 2), (2, "", None, "s", 2), (3, " \n", "en", "s", 3), (4, text + " more", "en", "t", 4), (5, text.upper(), "en", "t", None)]
     docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
     got = {name: sorted((r.doc_id if r.doc_id is not None else -1) for r in stage(spark, docs, SF).collect()) for name, stage in corpus_pipeline.STAGES}
-    assert got["quality rules"] == [-1, -1, 4]
-    assert got["near dedup"] == [1, 4]  # blank texts are one group, the others another
-    assert got["decontamination"] == got["sharding"] == [-1, -1, 1, 2, 2, 3, 4]
-    assert set(got["source mix"]) <= {-1, 1, 2, 3, 4}
+    assert got["quality rules"] == [-1, -1, 4, 5]
+    # blank texts are one group and those of equal words another; one more word in 74 changes more than two bits
+    assert fingerprint(text) == fingerprint(text.upper())
+    assert (fingerprint(text) ^ fingerprint(text + " more")).bit_count() > 2
+    assert got["near dedup"] == [1, 4, 5]
+    assert got["decontamination"] == got["sharding"] == [-1, -1, 1, 2, 2, 3, 4, 5]
+    assert set(got["source mix"]) <= {-1, 1, 2, 3, 4, 5}
