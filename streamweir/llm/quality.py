@@ -178,9 +178,8 @@ def judged(docs: DataFrame, text: str = "text", keep_text: bool = True, rules: l
     """
     work = Workspace(docs.sparkSession, "quality")
     columns = [c for c in docs.columns if keep_text or c != text]
-    rows = measured(docs, text, columns).withColumn("code", vote_code(rules))
-    if not keep_text:
-        rows = work.keep(rows)  # a few numbers a row; texts are not copied but measured a second time
+    # written, texts too: measuring them a second time costs far more than reading them back
+    rows = work.keep(measured(docs, text, columns).withColumn("code", vote_code(rules)))
     # those that fail the base are decided; the rules are weighed on the others
     counts = {r["code"]: r["count"] for r in rows.where("NOT measures.base_failed").groupBy("code").count().collect()}
     model = fit(counts, len(rules))
