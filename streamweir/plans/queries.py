@@ -141,26 +141,30 @@ def _numbered(df: DataFrame, key: str, root: str) -> DataFrame:
     return rows.withColumn("place", place).join(starts, "part").withColumn("number", F.col("start") + F.col("place")).drop("part", "place", "start")
 
 
+def _paced(ticks: DataFrame, stored: DataFrame, batch: int) -> DataFrame:
+    """The rows of one batch with the time of their ticks; only that batch's folder is read."""
+    return ticks.join(stored.where(F.col("batch") == batch), F.col("value") == F.col("number")).select(
+        "event_id", "user_id", "event_type", F.col("timestamp").alias("replayed_at")
+    )
+
+
 @query
 def rate_micro_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event at the pace of the rate source: tick n is the event that n others come before.
 
-    The source makes a tenth of the ticks per batch, one second after the batch before; a run takes what
-    there is, so one checkpoint is drained until all events have had their tick.
+    The source makes a tenth of the ticks per batch, one second after the batch before; a run takes one
+    batch, so one checkpoint is drained until all events have had their tick. The numbered events are stored by batch.
     """
     root = new_run_dir(spark, "rate_micro_batch")
-    stored = _numbered(inputs.events(spark, sf_dir).select("event_id", "user_id", "event_type"), "event_id", root)
-    ensure_table(spark, f"{root}/stored", stored.schema)
-    append_table(stored, f"{root}/stored")
-    stored = read_table(spark, f"{root}/stored")
-    per_batch = -(-stored.count() // REPLAY_BATCHES)
+    numbered = _numbered(inputs.events(spark, sf_dir).select("event_id", "user_id", "event_type"), "event_id", root)
+    per_batch = -(-read_table(spark, f"{root}/ranges").count() // REPLAY_BATCHES)
     ensure_table(spark, f"{root}/data", "event_id LONG, user_id LONG, event_type STRING, replayed_at TIMESTAMP")
-    for _ in range(REPLAY_BATCHES if per_batch else 0):
-        ticks = rate_per_batch(spark, per_batch, start_ms=100, advance_ms=1000, partitions=max(10, _cores(spark)))
-        paced = ticks.join(stored, F.col("value") == F.col("number")).select(
-            "event_id", "user_id", "event_type", F.col("timestamp").alias("replayed_at")
-        )
-        drain_to_table(paced, root)
+    if per_batch:
+        append_table(numbered.withColumn("batch", F.floor(F.col("number") / per_batch).cast("int")), f"{root}/stored", by=["batch"])
+        stored = read_table(spark, f"{root}/stored")
+        for batch in range(REPLAY_BATCHES):
+            ticks = rate_per_batch(spark, per_batch, start_ms=100, advance_ms=1000, partitions=max(10, _cores(spark)))
+            drain_to_table(_paced(ticks, stored, batch), root)
     return read_table(spark, f"{root}/data")
 
 

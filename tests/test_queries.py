@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
-from streamweir.plans.queries import REGISTERED
+from streamweir.plans.queries import REGISTERED, _paced
+from streamweir.sources.tables import read_table
+from streamweir.streaming.sinks import append_table
 from tests.compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
@@ -103,3 +105,17 @@ def test_rate_limits_do_not_lose_rows_to_a_watermark(spark, folder, name):
         assert differences(queries()[name](spark, path), oracle_sql()[name], plain_tables(path)) == []
     finally:
         spark.conf.unset("spark.streamweir.maxFilesPerTrigger")
+
+
+def test_a_paced_batch_reads_its_own_folder(spark, folder):
+    """Files of other batches are no Parquet, and nothing looks into them."""
+    rows = spark.range(40).selectExpr("id AS event_id", "id AS user_id", "'x' AS event_type", "id AS number", "CAST(id DIV 10 AS INT) AS batch")
+    append_table(rows, f"{folder}/stored", by=["batch"])
+    stored = read_table(spark, f"{folder}/stored")
+    for other in (0, 1, 3):
+        for file in Path(f"{folder}/stored/batch={other}").glob("*.parquet"):
+            file.write_bytes(b"no table")
+    ticks = spark.range(40).selectExpr("id AS value", "timestamp_millis(id) AS timestamp")
+    assert sorted(r.event_id for r in _paced(ticks, stored, 2).collect()) == list(range(20, 30))
+    with pytest.raises(Exception):
+        _paced(ticks, stored, 3).collect()
