@@ -205,6 +205,7 @@ UNION ALL SELECT 'click', ad, ts, arrival FROM ({INT_CLICKS})""",
     "bronze_latency": "SELECT count(*) AS n_rows, count(*) AS n_in_order FROM events WHERE event_type IN ('view', 'click')",
     "agg_global_complete": f"SELECT CAST(sum(amount) AS BIGINT) AS sum FROM ({CDC})",
     "agg_keyed_complete": f"SELECT id, CAST(sum(amount) AS BIGINT) AS sum FROM ({CDC}) GROUP BY id",
+    "state_keyed_sums": f"SELECT id, CAST(sum(amount) AS BIGINT) AS sum FROM ({CDC}) GROUP BY id",
     "agg_tumbling": _windows(WINDOW, AGG_DELAY, GROUPS, _bucket(WINDOW), CDC, True),
     "agg_tumbling_live": _windows(LIVE_WINDOW, LIVE_AGG_DELAY, LIVE_GROUPS, _bucket(LIVE_WINDOW), CDC_MS, True),
     "agg_sliding_update": _windows(

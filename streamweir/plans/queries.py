@@ -34,6 +34,7 @@ from streamweir.streaming.run import drain, drain_to_table, run_stream, state_pa
 from streamweir.streaming.sinks import (
     ChangeLogSink, ReplaceSink, append_table, ensure_table, read_change_log, read_replaced,
 )
+from streamweir.streaming.state import read_state
 from streamweir.streaming.static_join import RefreshedStaticJoin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -317,6 +318,17 @@ def agg_keyed_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_replaced(spark, root)
 
 
+@query
+def state_keyed_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a sum without a watermark keeps for ever, read back from its checkpoint: a row per key it has ever seen."""
+    root = new_run_dir(spark, "state_keyed_sums")
+    totals = aggregate.keyed_sum(_cdc_stream(spark, sf_dir), "id", "amount")
+    report = run_stream(totals, mode="complete", checkpoint=f"{root}/checkpoint", fmt="noop")
+    if not report.batches:  # nothing came, nothing is kept
+        return spark.createDataFrame([], totals.schema)
+    return read_state(spark, f"{root}/checkpoint").select(F.col("key.id").alias("id"), F.col("value.sum").alias("sum"))
+
+
 @query
 def agg_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(spark, sf_dir, "agg_tumbling", lambda stream: windowed(inputs.cdc(stream)))

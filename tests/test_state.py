@@ -1,0 +1,66 @@
+"""State read back from checkpoints."""
+
+from datetime import timedelta
+
+from pyspark.sql import functions as F
+
+from streamweir.operators.aggregate import keyed_sum, windowed_sum
+from streamweir.operators.joins import interval_join
+from streamweir.sources.streams import read_stream
+from streamweir.streaming.run import run_stream
+from streamweir.streaming.state import read_state, state_operators, state_sizes
+
+ROWS = "id LONG, amount LONG, ts TIMESTAMP"
+
+
+def land(spark, path, first, last):
+    rows = spark.range(first, last).selectExpr("id % 7 AS id", "id AS amount", "timestamp_seconds(id) AS ts")
+    rows.coalesce(1).write.mode("append").parquet(path)
+
+
+def test_runaway_state_of_each_batch(spark, folder):
+    """Every key stays; an earlier batch can be read as it was."""
+    for first, last in ((0, 5), (5, 40)):
+        land(spark, f"{folder}/in", first, last)
+        totals = keyed_sum(read_stream(spark, f"{folder}/in", ROWS), "id", "amount")
+        run_stream(totals, mode="complete", checkpoint=f"{folder}/cp", fmt="noop", state_partitions=3)
+
+    def sums(**how):
+        return {r.id: r.sum for r in read_state(spark, f"{folder}/cp", **how).select("key.id", "value.sum").collect()}
+
+    assert sums(batch=0) == {i: i for i in range(5)}
+    assert sums() == sums(batch=1) == {i: sum(range(i, 40, 7)) for i in range(7)}
+    operator = state_operators(spark, f"{folder}/cp").collect()
+    assert [(r.operator, r.name, r.partitions, r.last_batch) for r in operator] == [(0, "stateStoreSave", 3, 1)]
+    sizes = state_sizes(spark, f"{folder}/cp").collect()
+    assert sum(r.rows for r in sizes) == 7 and all(r.operator == 0 and 0 <= r.partition < 3 for r in sizes)
+    assert sum(r.rows for r in state_sizes(spark, f"{folder}/cp", batch=0).collect()) == 5
+
+
+def test_what_was_put_out_and_what_is_kept_are_all_windows(spark, folder):
+    """Append mode with a watermark: a window is in the table or in the state, once."""
+    land(spark, f"{folder}/in", 0, 100)
+    sums = windowed_sum(read_stream(spark, f"{folder}/in", ROWS), "ts", "20 seconds", "10 seconds", F.col("id"), "amount")
+    run_stream(sums, path=f"{folder}/out", checkpoint=f"{folder}/cp")
+    out = spark.read.parquet(f"{folder}/out")
+    put = {tuple(r) for r in out.select(F.col("window.start").alias("at"), "group", "sum").collect()}
+    kept = read_state(spark, f"{folder}/cp").select(F.col("key.window.start").alias("at"), F.col("key.id").alias("id"), F.col("value.sum").alias("sum"))
+    kept = {tuple(r) for r in kept.collect()}
+    rows = spark.read.parquet(f"{folder}/in").groupBy(F.window("ts", "10 seconds").alias("w"), "id").agg(F.sum("amount").alias("sum"))
+    assert put and kept and not put & kept
+    assert put | kept == {tuple(r) for r in rows.select("w.start", "id", "sum").collect()}
+
+
+def test_sides_of_a_join(spark, folder):
+    for side in "ab":
+        land(spark, f"{folder}/{side}", 0, 50)
+    a = read_stream(spark, f"{folder}/a", ROWS)
+    b = read_stream(spark, f"{folder}/b", ROWS).toDF("id2", "amount2", "ts2")
+    joined = interval_join(a, b, "id", "id2", "ts", "ts2", timedelta(seconds=5), "inner", "10 seconds", "10 seconds")
+    run_stream(joined, path=f"{folder}/out", checkpoint=f"{folder}/cp")
+    assert {r.name for r in state_operators(spark, f"{folder}/cp").collect()} == {"symmetricHashJoin"}
+    left = read_state(spark, f"{folder}/cp", joinSide="left").select("value.amount").collect()
+    assert 0 < len(left) <= 50 and max(r.amount for r in left) == 49
+    sizes = state_sizes(spark, f"{folder}/cp").collect()
+    assert {r.store for r in sizes} == {"left", "right"}
+    assert sum(r.rows for r in sizes if r.store == "left") == len(left)
