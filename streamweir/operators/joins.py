@@ -10,7 +10,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from streamweir.functions.timing import bucket_and_previous, interval_sql, time_bucket
-from streamweir.operators.skew import spread
+from streamweir.operators.skew import left_over_grid, parted, spread
 
 CELLS = 8
 
@@ -79,6 +79,7 @@ def interval_join(
     cells: int = CELLS,
     left_id: str | None = None,
     right_id: str | None = None,
+    hot_right: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs of equal key with right_time in left_time .. left_time + horizon.
 
@@ -86,7 +87,9 @@ def interval_join(
     bucket, a right row also in the one before, so every pair meets once. The bucket
     is part of the join key: one key's rows spread over the tasks by time, and a row
     is compared with its neighbours in time instead of the whole history of its key.
-    Keys that are hot within one horizon can be split further through ``hot``.
+    Keys that are hot within one horizon can be split further through ``hot``. A left join then
+    splits the left side, and repeats the right one. For keys that are hot on the right, ``hot_right``
+    splits both sides of a left join: their rows take a join of their own, see :func:`left_over_grid`.
 
     On streams both delays are needed; they bound the state. In a left join a row
     without a match comes out when the watermark has passed its horizon.
@@ -110,12 +113,20 @@ def interval_join(
         & (F.col(right_time) >= F.col(left_time))
         & (F.col(right_time) <= F.col(left_time) + F.expr(interval_sql(horizon)))
     )
+    gridded = None
+    if hot_right is not None and how == "left":
+        left, hot_left_rows = parted(left, left_key, hot_right)
+        right, hot_right_rows = parted(right, right_key, hot_right)
+        gridded = left_over_grid(
+            hot_left_rows, hot_right_rows, left_key, right_key, on, hot_right, cells, left_id, right_id
+        ).select(*columns)
     if hot is not None:
         # an inner join may split both sides of a hot key; a left join must keep each left row single
         right_cells = cells if how == "inner" else 1
         left, right, same_cell = spread(left, right, left_key, right_key, hot, cells, right_cells, left_id, right_id)
         on = on & same_cell
-    return left.join(right, on, how).select(*columns)
+    joined = left.join(right, on, how).select(*columns)
+    return joined if gridded is None else joined.union(gridded)
 
 
 def matched_only(joined: DataFrame, right_time: str) -> DataFrame:

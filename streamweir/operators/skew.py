@@ -7,7 +7,13 @@ finds each pair exactly once. All other keys stay in cell 0.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
 PARTS = 128
 _SEED = 17
@@ -108,3 +114,81 @@ def spread(
         right = right.withColumn("right_row", _dealt(is_hot, right_cells, right_id))
         match = match & (F.col("left_row") == F.col("right_row"))
     return left.drop("is_hot"), right.drop("is_hot"), match
+
+
+def parted(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of other keys, those without a key among them, and rows of hot keys."""
+    marks = hot.where("hot_key IS NOT NULL").select("hot_key").distinct()
+    listed = F.col(key) == F.col("hot_key")
+    return df.join(marks, listed, "left_anti"), df.join(marks, listed, "left_semi")
+
+
+def _one_for_all(cells: int):
+    """Passes pairs on, and of a left row that was alone in every one of its cells a single row."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, firsts = [], []
+        for batch in batches:
+            out = batch.select(batch.schema.names[4:])
+            alone = batch.column("alone").to_numpy(zero_copy_only=False)
+            if not alone.any():
+                yield out
+                continue
+            yield out.filter(pa.array(~alone))
+            seen = pd.DataFrame({
+                name: batch.column(name).to_numpy(zero_copy_only=False)[alone] for name in ("token", "check", "row")
+            })
+            tokens.append(seen.drop_duplicates())
+            # row 0 of the grid has each left row once, copies included: it speaks for the others
+            first = alone & (batch.column("row").to_numpy(zero_copy_only=False) == 0)
+            if first.any():
+                firsts.append((seen[seen["row"] == 0], out.filter(pa.array(first))))
+        if not firsts:
+            return
+        n_cells = pd.concat(tokens).drop_duplicates().groupby(["token", "check"]).size()
+        everywhere = n_cells.index[n_cells == cells]
+        for seen, rows in firsts:
+            kept = pd.MultiIndex.from_frame(seen[["token", "check"]]).isin(everywhere)
+            if kept.any():
+                yield rows.filter(pa.array(np.asarray(kept)))
+
+    return step
+
+
+def left_over_grid(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    on: Column,
+    hot: DataFrame,
+    cells: int,
+    left_id: str | None = None,
+    right_id: str | None = None,
+) -> DataFrame:
+    """Left join of rows of hot keys with both sides split: (all left columns, all right columns).
+
+    The left rows are repeated over a row of the grid and the right rows dealt out, so each cell makes its own left join
+    and a left row may be alone in some cells and not in others. The joined rows are dealt once more: copies of a lone
+    left row meet in one task, which lets one of them pass if it was alone in every cell; pairs pass at once and
+    are spread. On streams nothing is kept between micro-batches: copies of a left row have one time, come in one
+    micro-batch and leave the state of all cells with the same watermark.
+
+    A task keeps 17 bytes per copy of the lone rows of hot keys in it, and of each one full row. Rows are told
+    apart by two hashes of the left columns, which therefore cannot be maps.
+    """
+    names = left.columns + right.columns
+    missing = [StructField(f.name, f.dataType, True, f.metadata) for f in right.schema.fields]
+    schema = StructType([*left.schema.fields, *missing])
+    spread_left, spread_right, same_cell = spread(
+        left, right.withColumn("found", F.lit(True)), left_key, right_key, hot, cells, cells, left_id, right_id
+    )
+    joined = spread_left.join(spread_right, on & same_cell, "left").select(
+        F.xxhash64(*left.columns, "left_cell").alias("token"),
+        F.xxhash64(F.lit(_SEED), "left_cell", *left.columns).alias("check"),
+        F.col("left_row").cast("byte").alias("row"),
+        F.col("found").isNull().alias("alone"),
+        *names,
+    )
+    lane = F.when(F.col("alone"), F.col("token")).otherwise(F.xxhash64(F.spark_partition_id(), *right.columns, "token"))
+    return joined.repartition(lane).mapInArrow(_one_for_all(cells), schema)

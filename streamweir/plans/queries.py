@@ -401,15 +401,25 @@ def _hot_ads(
     return skew.pinned_hot_keys(stored, "user_id", f"{root}/hot_keys", within=within)
 
 
+def _hot_clicks(spark: SparkSession, sf_dir: str, root: str, horizon: timedelta) -> DataFrame | None:
+    """Ads whose clicks are hot inside a bucket of the horizon; none if there are none, since they need a join of their own."""
+    stored = inputs.events(spark, sf_dir).where("event_type = 'click'")
+    hot = skew.pinned_hot_keys(stored, "user_id", f"{root}/hot_clicks", within=time_bucket(F.col("ts"), horizon))
+    return None if hot.isEmpty() else hot
+
+
 def _streamed_interval_join(
     spark: SparkSession, sf_dir: str, name: str, how: str, horizon: timedelta
 ) -> DataFrame:
-    hot = _hot_ads(spark, sf_dir, new_run_dir(spark, name), horizon)
+    root = new_run_dir(spark, name)
+    hot = _hot_ads(spark, sf_dir, root, horizon)
+    hot_right = _hot_clicks(spark, sf_dir, root, horizon) if how == "left" else None
 
     def build(stream: DataFrame) -> DataFrame:
         return joins.interval_join(
             inputs.impressions(stream), inputs.clicks(stream), "adId", "clickAdId",
             "impressionTime", "clickTime", horizon, how, IMPRESSION_DELAY, CLICK_DELAY, hot=hot,
+            hot_right=hot_right,
         )
 
     return _drained(spark, sf_dir, name, build).select("adId", "impressionTime", "clickTime")
@@ -617,6 +627,7 @@ def dataset_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             flow.read_stream("clicks_bronze", limits=False).withColumnRenamed("adId", "clickAdId"),
             "impressionAdId", "clickAdId", "impressionTime", "clickTime", HORIZON, "left",
             IMPRESSION_DELAY, CLICK_DELAY, hot=_hot_ads(spark, sf_dir, root, HORIZON),
+            hot_right=_hot_clicks(spark, sf_dir, root, HORIZON),
         )
 
     return flow.refresh("impressions_with_clicks").drop("processing_time", "clicks_processing_time")
