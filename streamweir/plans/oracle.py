@@ -191,6 +191,9 @@ SELECT event_id, user_id, event_type,
 SELECT CAST(id AS VARCHAR) AS "partitionKey", {CDC_PAYLOAD} AS payload, * FROM ({CDC_MS})""",
     "msg_decode": f"""
 SELECT m.*, e.ts + interval '1 second' AS arrival_time
+FROM ({CDC_MS}) m JOIN events e ON m.name = 'Test' || e.event_id""",
+    "msg_fetch": f"""
+SELECT m.*, e.ts + interval '1 second' AS arrival_time
 FROM ({CDC_MS}) m JOIN events e ON m.name = 'Test' || e.event_id""",
     "msg_undecodable": """
 SELECT origin, count(*) AS n_messages,

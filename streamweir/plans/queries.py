@@ -22,6 +22,7 @@ from streamweir.schemas import (
 )
 from streamweir.session import new_run_dir, tune
 from streamweir.sources import generate
+from streamweir.sources.shards import land_shards, read_shards
 from streamweir.sources.streams import rate_per_batch, read_messages
 from streamweir.sources.tables import read_table, select_from_path
 from streamweir.streaming import stateful
@@ -30,7 +31,7 @@ from streamweir.streaming.delivery import (
     read_delivered, read_receipts,
 )
 from streamweir.streaming.incremental import IncrementalLeftJoin
-from streamweir.streaming.run import drain, drain_to_table, run_stream, state_partitions_for
+from streamweir.streaming.run import drain, drain_to_table, run_stream, run_until_idle, state_partitions_for
 from streamweir.streaming.sinks import (
     ChangeLogSink, ReplaceSink, append_table, ensure_table, read_change_log, read_replaced,
 )
@@ -58,6 +59,8 @@ LIVE_HORIZON = timedelta(minutes=1)
 LIVE_SLIDE = "5 seconds"
 LIVE_APPEND_DELAY = "20 minutes"
 REPLAY_BATCHES = 10
+SHARDS = 8
+FETCH = 1000
 REFUSED_DIGITS = "3b"
 REFUSALS = 2
 
@@ -239,6 +242,19 @@ def msg_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain_to_table(decoded, new_run_dir(spark, "msg_decode"))
 
 
+@query
+def msg_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in shards by key, fetched a thousand at a time from each shard until there are no more."""
+    root = new_run_dir(spark, "msg_fetch")
+    rows = inputs.cdc(inputs.events(spark, sf_dir))
+    sent = encode_messages(rows, "id", approximateArrivalTimestamp=F.col("ts") + F.expr("interval 1 second"))
+    land_shards(sent, f"{root}/topic", F.pmod(F.xxhash64("partitionKey"), F.lit(SHARDS)))
+    decoded = decode_messages(read_shards(spark, f"{root}/topic", FETCH), CDC, processing=None)
+    ensure_table(spark, f"{root}/data", decoded.schema)
+    run_until_idle(decoded, path=f"{root}/data", checkpoint=f"{root}/checkpoint")
+    return spark.read.schema(decoded.schema).parquet(f"{root}/data")
+
+
 @query
 def msg_undecodable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads per table that are, and are not, readable as {"k": integer}."""

@@ -173,6 +173,19 @@ def run_stream(df: DataFrame, timeout: int | None = None, **how) -> RunReport:
     return drain(start_stream(df, **how), timeout=timeout)[0]
 
 
+def run_until_idle(df: DataFrame, **how) -> RunReport:
+    """Run micro-batches until the sources have nothing more, then stop: for sources that bound a batch themselves.
+
+    Arguments as for :func:`start_stream`. A batch that was not committed is taken up again by the next start.
+    """
+    query = start_stream(df, drain=False, **how)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return drain(query)[0]
+
+
 def drain_to_table(df: DataFrame, root: str, fmt: str = "parquet", **how) -> DataFrame:
     """Drain an append query into ``root``/data and read the table back."""
     run_stream(df, path=f"{root}/data", checkpoint=f"{root}/checkpoint", fmt=fmt, **how)
