@@ -31,10 +31,9 @@ from streamweir.streaming.delivery import (
     read_delivered, read_receipts,
 )
 from streamweir.streaming.incremental import IncrementalLeftJoin
+from streamweir.streaming.merged import MergedSink, read_merged
 from streamweir.streaming.run import drain, drain_to_table, run_stream, run_until_idle, state_partitions_for
-from streamweir.streaming.sinks import (
-    ChangeLogSink, ReplaceSink, append_table, ensure_table, read_change_log, read_replaced,
-)
+from streamweir.streaming.sinks import ReplaceSink, append_table, ensure_table, read_replaced
 from streamweir.streaming.state import read_state
 from streamweir.streaming.static_join import RefreshedStaticJoin
 
@@ -50,6 +49,7 @@ HORIZON = timedelta(hours=6)
 IMPRESSION_DELAY = "10 seconds"
 CLICK_DELAY = "20 seconds"
 SEED = 7
+WINDOW_KEYS = ["window_start", "window_end", "group"]
 
 # The parameters of a live stream.
 LIVE_WINDOW = "10 seconds"
@@ -372,8 +372,8 @@ def _live_sums(spark: SparkSession, sf_dir: str, delay: str) -> DataFrame:
 def agg_sliding_update_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_run_dir(spark, "agg_sliding_update_live")
     sums = _live_sums(spark, sf_dir, LIVE_AGG_DELAY)
-    run_stream(sums, mode="update", checkpoint=f"{root}/checkpoint", each_batch=ChangeLogSink(root))
-    return read_change_log(spark, root, ["window_start", "window_end", "group"])
+    run_stream(sums, mode="update", checkpoint=f"{root}/checkpoint", each_batch=MergedSink(root, WINDOW_KEYS))
+    return read_merged(spark, root, WINDOW_KEYS)
 
 
 @query
@@ -385,8 +385,8 @@ def agg_sliding_append_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_sliding_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_run_dir(spark, "agg_sliding_update")
     sums = windowed(_cdc_stream(spark, sf_dir, limits=False), SLIDE)
-    run_stream(sums, mode="update", checkpoint=f"{root}/checkpoint", each_batch=ChangeLogSink(root))
-    return read_change_log(spark, root, ["window_start", "window_end", "group"])
+    run_stream(sums, mode="update", checkpoint=f"{root}/checkpoint", each_batch=MergedSink(root, WINDOW_KEYS))
+    return read_merged(spark, root, WINDOW_KEYS)
 
 
 @query
