@@ -20,7 +20,7 @@ from streamweir.plans.datasets import DatasetFlow
 from streamweir.schemas import (
     BRONZE_CLICK, BRONZE_IMPRESSION, CDC, CLICK_LONG, IMPRESSION_LONG,
 )
-from streamweir.session import new_run_dir, tune
+from streamweir.session import new_run_dir, qualified, tune
 from streamweir.sources import generate
 from streamweir.sources.shards import land_shards, read_shards
 from streamweir.sources.streams import rate_per_batch, read_messages
@@ -32,6 +32,7 @@ from streamweir.streaming.delivery import (
 )
 from streamweir.streaming.incremental import IncrementalLeftJoin
 from streamweir.streaming.merged import MergedSink, read_merged
+from streamweir.streaming.message_sink import export_committed, read_committed
 from streamweir.streaming.run import drain, drain_to_table, run_stream, run_until_idle, state_partitions_for
 from streamweir.streaming.sinks import ReplaceSink, append_table, ensure_table, read_replaced
 from streamweir.streaming.state import read_state
@@ -678,14 +679,14 @@ def export_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = inputs.event_stream(spark, sf_dir)
     tables = {"impressions": inputs.impressions(stream), "clicks": inputs.clicks(stream, "adId")}
     drain(*[
-        export_stream(
-            df, "adId", FolderTransport(f"{root}/{name}/messages"), f"{root}/{name}/checkpoint",
-            partitions=_cores(spark), name=name, receipts=f"{root}/{name}/receipts",
+        export_committed(
+            df, "adId", FolderTransport(qualified(spark, f"{root}/{name}/messages")), f"{root}/{name}/checkpoint",
+            f"{root}/{name}/manifests", partitions=_cores(spark), name=name,
         )
         for name, df in tables.items()
     ])
     return bags.bag_union(*[
-        read_delivered(spark, f"{root}/{name}/messages", f"{root}/{name}/receipts").select(
+        read_committed(spark, f"{root}/{name}/messages", f"{root}/{name}/manifests").select(
             F.lit(name).alias("topic"), "partitionKey", F.col("data").cast("string").alias("payload")
         )
         for name in tables

@@ -51,6 +51,16 @@ def new_run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/streamweir/{name}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path on the file system that Spark takes it to be on, as a URI that Arrow reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    uri = system.makeQualified(place).toString()
+    if uri.startswith("file:"):
+        return "file://" + uri.removeprefix("file:").removeprefix("//")
+    return uri.replace("s3a://", "s3://", 1)
+
+
 def local_session(cpus: int | str = 8) -> SparkSession:
     """One JVM with so many cores, for tests and the bench."""
     spark = (

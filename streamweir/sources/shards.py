@@ -15,10 +15,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from streamweir.schemas import ENVELOPE
+from streamweir.session import qualified
 from streamweir.streaming.sinks import append_table
 
 MAX_RECORDS_PER_FETCH = 10_000
@@ -149,15 +150,6 @@ class ShardedMessages(DataSource):
         return _ShardReader(self.options["path"], cap)
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    """The path with the scheme that Spark takes it to have, in Arrow's spelling."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    uri = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(place).toString()
-    if uri.startswith("file:"):
-        return "file://" + uri.removeprefix("file:").removeprefix("//")
-    return uri.replace("s3a://", "s3://", 1)
-
-
 def read_shards(spark: SparkSession, path: str, max_records: int = MAX_RECORDS_PER_FETCH) -> DataFrame:
     """The messages of a topic as a stream, at most ``max_records`` of each shard per micro-batch.
 
@@ -166,7 +158,7 @@ def read_shards(spark: SparkSession, path: str, max_records: int = MAX_RECORDS_P
     """
     spark.dataSource.register(ShardedMessages)
     return spark.readStream.format("sharded_messages").load(
-        _qualified(spark, path), maxRecordsPerFetch=str(max_records)
+        qualified(spark, path), maxRecordsPerFetch=str(max_records)
     )
 
 

@@ -320,6 +320,12 @@ class FolderTransport:
         else:
             self.fs.delete_file(self.draft)
 
+    def discard(self, target: str) -> None:
+        """Takes a closed file back; one that is not there any more is none."""
+        system, folder = pyarrow.fs.FileSystem.from_uri(_arrow_uri(self.uri))
+        if system.get_file_info(f"{folder}/{target}").type == pyarrow.fs.FileType.File:
+            system.delete_file(f"{folder}/{target}")
+
 
 class RefusingTransport(FolderTransport):
     """Refuses records whose MD5 ends in one of the digits, ``times`` times each; notes how often a record was sent.
