@@ -58,3 +58,44 @@ def undecodable(payload: Column, schema: StructType | str) -> Column:
     for field in fields[1:]:
         empty = empty & field
     return empty
+
+
+NO_PAYLOAD, NOT_JSON, NOT_AN_OBJECT, BAD_FIELDS, NO_FIELDS = (
+    "no payload", "not json", "not an object", "bad fields", "no fields"
+)
+
+
+def faults(payload: Column, schema: StructType | str) -> Column:
+    """What is wrong with a payload: STRUCT<reason STRING, fields ARRAY<STRING>>, the reason NULL where nothing is.
+
+    * ``no payload``: it is NULL
+    * ``not json``: nothing could be read and it is no JSON
+    * ``not an object``: a number, a text, a list or ``null``
+    * ``bad fields``: there are values that do not fit the schema; ``fields`` names them. Others may be readable
+    * ``no fields``: an object such as ``{}`` with no value for any field of the schema
+
+    Beside the reading itself the payload is parsed once, as a VARIANT.
+    """
+    schema = as_schema(schema)
+    text = payload.cast("string")
+    row, whole = parsed(payload, schema), F.try_parse_json(text)
+    read_none = F.lit(True)
+    present, bad = F.lit(False), []
+    for field in schema.fields:
+        read_none = read_none & row[field.name].isNull()
+        # a name is quoted in the path, by the quote that it does not have
+        quote = '"' if "'" in field.name else "'"
+        value = F.try_variant_get(whole, f"$[{quote}{field.name}{quote}]", "variant")
+        given = value.isNotNull() & ~F.is_variant_null(value)
+        present = present | given
+        bad.append(F.when(given & row[field.name].isNull(), F.lit(field.name)))
+    names = F.filter(F.array(*bad), lambda name: name.isNotNull())
+    reason = (
+        F.when(payload.isNull(), NO_PAYLOAD)
+        .when(whole.isNull() & read_none, NOT_JSON)
+        .when(whole.isNull(), F.lit(None))  # the reader takes some spellings that are no strict JSON
+        .when(~F.schema_of_variant(whole).startswith("OBJECT"), NOT_AN_OBJECT)
+        .when(F.size(names) > 0, BAD_FIELDS)
+        .when(~present, NO_FIELDS)
+    )
+    return F.struct(reason.alias("reason"), F.coalesce(names, F.array().cast("array<string>")).alias("fields"))

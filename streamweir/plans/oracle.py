@@ -202,6 +202,29 @@ SELECT origin, count(*) AS n_messages,
 FROM (SELECT 'events' AS origin, props AS text FROM events
       UNION ALL SELECT 'conversations', text FROM conversations)
 GROUP BY origin""",
+    "msg_faults": """
+SELECT origin, reason, CASE WHEN reason = 'bad fields' THEN fields ELSE '' END AS fields, count(*) AS n_messages
+FROM (
+  SELECT origin, fields,
+    CASE WHEN text IS NULL THEN 'no payload' WHEN j IS NULL THEN 'not json'
+         WHEN json_type(j) <> 'OBJECT' THEN 'not an object' WHEN fields <> '' THEN 'bad fields'
+         WHEN coalesce(json_extract_string(j, '$.k'), json_extract_string(j, '$.day')) IS NULL THEN 'no fields' END AS reason
+  FROM (
+    SELECT *, concat_ws(',',
+      CASE WHEN json_extract_string(j, '$.k') IS NOT NULL AND json_type(j, '$.k') NOT IN ('UBIGINT', 'BIGINT') THEN 'k' END,
+      CASE WHEN json_extract_string(j, '$.day') IS NOT NULL AND TRY_CAST(json_extract_string(j, '$.day') AS DATE) IS NULL
+           THEN 'day' END) AS fields
+    FROM (
+      SELECT *, CASE WHEN json_valid(text) THEN text END AS j
+      FROM (
+        SELECT 'props' AS origin, props AS text FROM events
+        UNION ALL SELECT 'some props', CASE WHEN event_type = 'view' THEN NULL ELSE props END FROM events
+        UNION ALL SELECT 'type', event_type FROM events
+        UNION ALL SELECT 'user', CAST(user_id AS VARCHAR) FROM events
+        UNION ALL SELECT 'row', '{"k":"' || event_type || '","day":"' || CAST(CAST(ts AS DATE) AS VARCHAR) || '"}' FROM events
+        UNION ALL SELECT 'days', '{"k":' || CAST(user_id AS VARCHAR) || ',"day":"' || event_type || '"}' FROM events
+        UNION ALL SELECT 'other', '{"user_id":' || CAST(user_id AS VARCHAR) || '}' FROM events))))
+GROUP BY origin, reason, 3""",
     "bronze_land": f"""
 SELECT 'impression' AS kind, ad AS "adId", ts AS at, arrival AS arrival_time FROM ({INT_VIEWS})
 UNION ALL SELECT 'click', ad, ts, arrival FROM ({INT_CLICKS})""",

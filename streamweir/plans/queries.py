@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
-from streamweir.functions.codec import decode_messages, encode_messages, undecodable
+from streamweir.functions.codec import decode_messages, encode_messages, faults, undecodable
 from streamweir.functions.timing import time_bucket
 from streamweir.operators import aggregate, bags, joins, skew
 from streamweir.plans import inputs
@@ -269,6 +269,23 @@ def msg_undecodable(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def msg_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the events as payloads of {"k": integer, "day": date}: what is wrong with how many."""
+    payloads = {
+        "props": F.col("props"),
+        "some props": F.expr("IF(event_type = 'view', NULL, props)"),
+        "type": F.col("event_type"),
+        "user": F.col("user_id").cast("string"),
+        "row": F.to_json(F.struct(F.col("event_type").alias("k"), F.to_date("ts").alias("day"))),
+        "days": F.to_json(F.struct(F.col("user_id").alias("k"), F.col("event_type").alias("day"))),
+        "other": F.to_json(F.struct("user_id")),
+    }
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("origin"), c.cast("binary").alias("data")) for n, c in payloads.items()]))
+    found = inputs.events(spark, sf_dir).select(each.alias("m")).select("m.origin", faults(F.col("m.data"), "k INT, day DATE").alias("fault"))
+    return found.groupBy("origin", "fault.reason", F.array_join("fault.fields", ",").alias("fields")).agg(F.count("*").alias("n_messages"))
+
+
 @query
 def bronze_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown, clicked = _bronze_tables(spark, sf_dir, "bronze_land")

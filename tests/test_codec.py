@@ -3,7 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from streamweir.functions.codec import decode_messages, encode_messages, undecodable
+from streamweir.functions.codec import decode_messages, encode_messages, faults, undecodable
 from streamweir.schemas import CDC, CLICK, ENVELOPE, IMPRESSION, IMPRESSION_LONG, KEYED_MESSAGE
 from streamweir.sources.streams import read_messages
 from streamweir.streaming.run import drain_to_table
@@ -86,3 +86,37 @@ def test_message_stream_by_connector_name(spark):
         assert "data" in str(error)
     else:
         raise AssertionError("the envelope columns were not asked for")
+
+
+def test_faults_have_reasons_and_name_the_fields(spark):
+    cases = {
+        None: ("no payload", []),
+        b"": ("not json", []),
+        b"{bad": ("not json", []),
+        b"\xff\xfe": ("not json", []),
+        b"{}": ("no fields", []),
+        b'{"adId":null,"impressionTime":null}': ("no fields", []),
+        b'{"more":1}': ("no fields", []),
+        b"null": ("not an object", []),
+        b"7": ("not an object", []),
+        b'"adId"': ("not an object", []),
+        b'["adId"]': ("not an object", []),
+        b'{"adId":"x","impressionTime":"2024-01-01T12:00:00.000Z"}': ("bad fields", ["adId"]),
+        b'{"adId":3000000000,"impressionTime":"no time"}': ("bad fields", ["adId", "impressionTime"]),
+        b'{"adId":{"a":1}}': ("bad fields", ["adId"]),
+        b'{"adId":7}': (None, []),
+        b'{"adId":8,"impressionTime":"2024-01-01T12:00:00.123Z","more":1}': (None, []),
+        b"{'adId':9}": (None, []),
+    }
+    rows = spark.createDataFrame([(p,) for p in cases], "data BINARY")
+    got = rows.select("data", faults(F.col("data"), IMPRESSION).alias("f")).select("data", "f.*").collect()
+    assert {None if r.data is None else bytes(r.data): (r.reason, r.fields) for r in got} == cases
+    # what could be read is what the reader gives
+    read = rows.where(faults(F.col("data"), IMPRESSION)["reason"].isin("no payload", "not json", "no fields"))
+    assert read.where(~undecodable(F.col("data"), IMPRESSION)).count() == 0
+
+
+def test_faults_of_fields_with_odd_names(spark):
+    row = spark.createDataFrame([(b'{"a.b":"x","it\\u0027s":"y","c d":1}',)], "data BINARY")
+    fault = row.select(faults(F.col("data"), "`a.b` INT, `it's` INT, `c d` INT").alias("f")).select("f.*").first()
+    assert (fault.reason, fault.fields) == ("bad fields", ["a.b", "it's"])
