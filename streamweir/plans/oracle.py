@@ -264,6 +264,9 @@ UNION ALL SELECT 'click', ad, ts, arrival FROM ({INT_CLICKS})""",
 SELECT count(*) AS n_truth, count(*) AS n_result, CAST(0 AS BIGINT) AS n_missing,
        CAST(0 AS BIGINT) AS n_surplus
 FROM ({AD_LEFT})""",
+    "reconcile_hashed": f"""
+SELECT *, CAST("adId" % 1000 = 7 AS BIGINT) AS n_missing, CAST("adId" % 1000 = 13 AS BIGINT) AS n_surplus
+FROM ({AD_LEFT}) WHERE "adId" % 1000 IN (7, 13)""",
     "bag_difference": """
 WITH views AS (SELECT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'view'),
      clicks AS (SELECT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'click')

@@ -576,6 +576,18 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+@query
+def reconcile_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored left join against a copy that lacks some ads and has others twice: found by sums of hashes."""
+    root = new_run_dir(spark, "reconcile_hashed")
+    joined = _batch_left(spark, sf_dir)
+    append_table(joined, f"{root}/truth")
+    copies = F.when(F.col("adId") % 1000 == 7, 0).when(F.col("adId") % 1000 == 13, 2).otherwise(1)
+    truth = spark.read.schema(joined.schema).parquet(f"{root}/truth")
+    append_table(truth.withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("copy"), f"{root}/result")
+    return bags.reconcile_hashed(truth, spark.read.schema(joined.schema).parquet(f"{root}/result"))
+
+
 @query
 def bag_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views per user and day that clicks do not match one for one, and the reverse."""
