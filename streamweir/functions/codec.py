@@ -74,7 +74,7 @@ def faults(payload: Column, schema: StructType | str) -> Column:
     * ``bad fields``: there are values that do not fit the schema; ``fields`` names them. Others may be readable
     * ``no fields``: an object such as ``{}`` with no value for any field of the schema
 
-    Beside the reading itself the payload is parsed once, as a VARIANT.
+    Costs several parses of a payload, one of them as a VARIANT: meant for what :func:`undecodable` or a sample points to.
     """
     schema = as_schema(schema)
     text = payload.cast("string")
