@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -74,28 +74,46 @@ def faults(payload: Column, schema: StructType | str) -> Column:
     * ``bad fields``: there are values that do not fit the schema; ``fields`` names them. Others may be readable
     * ``no fields``: an object such as ``{}`` with no value for any field of the schema
 
-    Costs several parses of a payload, one of them as a VARIANT: meant for what :func:`undecodable` or a sample points to.
+    A payload is parsed at most twice, once by the schema and once as a VARIANT.
     """
     schema = as_schema(schema)
     text = payload.cast("string")
-    row, whole = parsed(payload, schema), F.try_parse_json(text)
-    read_none = F.lit(True)
-    present, bad = F.lit(False), []
-    for field in schema.fields:
-        read_none = read_none & row[field.name].isNull()
-        # a name is quoted in the path, by the quote that it does not have
-        quote = '"' if "'" in field.name else "'"
-        value = F.try_variant_get(whole, f"$[{quote}{field.name}{quote}]", "variant")
-        given = value.isNotNull() & ~F.is_variant_null(value)
-        present = present | given
-        bad.append(F.when(given & row[field.name].isNull(), F.lit(field.name)))
-    names = F.filter(F.array(*bad), lambda name: name.isNotNull())
-    reason = (
-        F.when(payload.isNull(), NO_PAYLOAD)
-        .when(whole.isNull() & read_none, NOT_JSON)
-        .when(whole.isNull(), F.lit(None))  # the reader takes some spellings that are no strict JSON
-        .when(~F.schema_of_variant(whole).startswith("OBJECT"), NOT_AN_OBJECT)
-        .when(F.size(names) > 0, BAD_FIELDS)
-        .when(~present, NO_FIELDS)
-    )
-    return F.struct(reason.alias("reason"), F.coalesce(names, F.array().cast("array<string>")).alias("fields"))
+
+    def values(read: Column) -> Column:
+        """Per field whether it was read, and whether the payload has a value for it."""
+        found = []
+        for field in schema.fields:
+            # a name is quoted in the path, by the quote that it does not have
+            quote = '"' if "'" in field.name else "'"
+            value = F.try_variant_get(read["whole"], f"$[{quote}{field.name}{quote}]", "variant")
+            given = ~F.is_variant_null(F.coalesce(value, F.parse_json(F.lit("null"))))
+            found.append(F.struct(
+                F.lit(field.name).alias("name"), read["row"][field.name].isNotNull().alias("read"), given.alias("given"),
+            ))
+        return F.struct(
+            read["text"].isNull().alias("nothing"), read["whole"].isNotNull().alias("strict"), read["begun"].alias("is_object"),
+            F.array(*found).alias("found"),
+        )
+
+    def judged(seen: Column) -> Column:
+        found = seen["found"]
+        names = F.transform(F.filter(found, lambda v: v["given"] & ~v["read"]), lambda v: v["name"])
+        reason = (
+            F.when(seen["nothing"], NO_PAYLOAD)
+            .when(~seen["strict"] & ~F.exists(found, lambda v: v["read"]), NOT_JSON)
+            .when(~seen["strict"], F.lit(None))  # the reader takes some spellings that are no strict JSON
+            .when(~seen["is_object"], NOT_AN_OBJECT)
+            .when(F.size(names) > 0, BAD_FIELDS)
+            .when(~F.exists(found, lambda v: v["given"]), NO_FIELDS)
+        )
+        return F.struct(reason.alias("reason"), names.alias("fields"))
+
+    # what does not begin like an object is none, strict or not, and the reader gives nothing of it
+    begun = F.ltrim(text, F.lit(" \t\n\r")).startswith("{")
+    row = F.when(begun, parsed(payload, schema))
+    if SparkSession.active().conf.get("spark.sql.columnNameOfCorruptRecord") in schema.names:
+        # but for the corrupt text, which is not the same beside other fields: each is read by itself
+        row = F.struct(*[parsed(payload, StructType([f]))[f.name].alias(f.name) for f in schema.fields])
+    read = F.struct(text.alias("text"), begun.alias("begun"), row.alias("row"), F.try_parse_json(text).alias("whole"))
+    # the argument of a lambda is evaluated once, a column that stands in two places is evaluated in both
+    return F.transform(F.transform(F.array(read), values), judged)[0]

@@ -120,3 +120,30 @@ def test_faults_of_fields_with_odd_names(spark):
     row = spark.createDataFrame([(b'{"a.b":"x","it\\u0027s":"y","c d":1}',)], "data BINARY")
     fault = row.select(faults(F.col("data"), "`a.b` INT, `it's` INT, `c d` INT").alias("f")).select("f.*").first()
     assert (fault.reason, fault.fields) == ("bad fields", ["a.b", "it's"])
+
+
+def test_faults_parse_a_payload_once_per_reader(spark):
+    """However often reason and fields are used, behind an aggregate too; before, each use parsed anew."""
+    rows = spark.createDataFrame([(p,) for p in PAYLOADS], "data BINARY").select(faults(F.col("data"), IMPRESSION).alias("f"))
+    counted = rows.groupBy("f.reason", F.array_join("f.fields", ",").alias("fields")).count()
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("from_json("), plan.count("parseJson(cast")) == (1, 1)
+    assert {(r.reason, r.fields): r["count"] for r in counted.collect()} == {
+        ("not json", ""): 1, ("bad fields", "adId"): 2, (None, ""): 2,
+    }
+
+
+def test_faults_of_fields_of_any_kind(spark):
+    cases = {
+        b'{"a":{"b":1},"c":[1]}': (None, []),
+        b'{"a":7,"c":[1]}': ("bad fields", ["a"]),
+        b'\n\t {"c":"x"}': ("bad fields", ["c"]),
+        b' [{"c":[1]}]': ("not an object", []),
+        b"'c'": ("not json", []),
+    }
+    rows = spark.createDataFrame([(p,) for p in cases], "data BINARY")
+    got = rows.select("data", faults(F.col("data"), "a STRUCT<b INT>, c ARRAY<INT>").alias("f")).select("data", "f.*").collect()
+    assert {bytes(r.data): (r.reason, r.fields) for r in got} == cases
+    # a schema with the column of corrupt records reads that text where it reads nothing else
+    kept = rows.select("data", faults(F.col("data"), "c ARRAY<INT>, _corrupt_record STRING").alias("f")).select("data", "f.*").collect()
+    assert {bytes(r.data): r.reason for r in kept}[b"'c'"] is None
