@@ -62,6 +62,7 @@ LIVE_APPEND_DELAY = "20 minutes"
 REPLAY_BATCHES = 10
 SHARDS = 8
 FETCH = 1000
+FETCHES = 100
 REFUSED_DIGITS = "3b"
 REFUSALS = 2
 
@@ -245,12 +246,12 @@ def msg_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def msg_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages in shards by key, fetched a thousand at a time from each shard until there are no more."""
+    """Messages in shards by key, fetched a thousand at a time from each shard, up to a hundred times a micro-batch, until there are no more."""
     root = new_run_dir(spark, "msg_fetch")
     rows = inputs.cdc(inputs.events(spark, sf_dir))
     sent = encode_messages(rows, "id", approximateArrivalTimestamp=F.col("ts") + F.expr("interval 1 second"))
     land_shards(sent, f"{root}/topic", F.pmod(F.xxhash64("partitionKey"), F.lit(SHARDS)))
-    decoded = decode_messages(read_shards(spark, f"{root}/topic", FETCH), CDC, processing=None)
+    decoded = decode_messages(read_shards(spark, f"{root}/topic", FETCH, FETCHES), CDC, processing=None)
     ensure_table(spark, f"{root}/data", decoded.schema)
     run_until_idle(decoded, path=f"{root}/data", checkpoint=f"{root}/checkpoint")
     return spark.read.schema(decoded.schema).parquet(f"{root}/data")

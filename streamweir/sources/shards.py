@@ -1,8 +1,12 @@
 """A message source with a cap on the records of a fetch.
 
-A topic is a folder with one folder per shard, ``shard=<name>``, of Parquet files of messages. Every
-micro-batch takes at most so many records of each shard, wherever in a file that ends, so a backlog
-comes in even steps and a hot shard does not make a batch longer. Order within a shard is that of its files, oldest first.
+A topic is a folder with one folder per shard, ``shard=<name>``, of Parquet files of messages. A fetch takes at
+most so many records of a shard, wherever in a file that ends, and a micro-batch so many fetches of each shard, one unless more
+are asked for. So a backlog comes in even steps and a hot shard does not make a batch longer. Order within a shard is that
+of its files, oldest first.
+
+A micro-batch has a cost of its own, several tenths of a second, however small it is: a large backlog wants many fetches in one.
+A task hands them on one by one, so that more of them take no more memory.
 
 The position has one entry per shard, however many files there are. Files do not change, and a file that is added to
 a shard has to be newer than those before it: one job at a time writes to a shard.
@@ -24,6 +28,7 @@ from streamweir.streaming.sinks import append_table
 
 MAX_RECORDS_PER_FETCH = 10_000
 SHARDED = f"shard STRING, {ENVELOPE}"
+_MOST_AT_ONCE = 65_536  # records in memory, whatever the cap
 
 _ARROW = pa.schema([
     ("shard", pa.string()), ("data", pa.binary()), ("approximateArrivalTimestamp", pa.timestamp("us", "UTC")),
@@ -40,9 +45,10 @@ class _Range(InputPartition):
 class _ShardReader(DataSourceStreamReader):
     """A position is, per shard, the file that was read last, its time, and the records taken from it."""
 
-    def __init__(self, uri: str, cap: int):
+    def __init__(self, uri: str, cap: int, fetches: int = 1):
         self.uri = uri
         self.cap = cap
+        self.fetches = fetches
         self.at: dict | None = None  # up to where batches are planned
         self.sizes: dict[str, int] = {}
 
@@ -70,8 +76,8 @@ class _ShardReader(DataSourceStreamReader):
         return self.sizes[path]
 
     def _after(self, folder: str, position: dict) -> dict:
-        """The position at most ``cap`` records on."""
-        room = self.cap
+        """The position at most ``fetches`` times ``cap`` records on."""
+        room = self.cap * self.fetches
         for time, name, path in self._from(folder, position):
             done = position["row"] if (time, name) == (position.get("time"), position.get("file")) else 0
             step = min(room, self._size(path) - done)
@@ -119,7 +125,7 @@ class _ShardReader(DataSourceStreamReader):
                 if low >= high:
                     continue
                 place = 0
-                for batch in file.iter_batches(row_groups=[group], columns=_ARROW.names[1:]):
+                for batch in file.iter_batches(min(self.cap, _MOST_AT_ONCE), row_groups=[group], columns=_ARROW.names[1:]):
                     kept = batch.slice(max(low - place, 0), max(high - max(low, place), 0))
                     place += batch.num_rows
                     if kept.num_rows:
@@ -134,7 +140,7 @@ class _ShardReader(DataSourceStreamReader):
 
 
 class ShardedMessages(DataSource):
-    """``spark.readStream.format("sharded_messages")`` with ``path`` and ``maxRecordsPerFetch``."""
+    """``spark.readStream.format("sharded_messages")`` with ``path``, ``maxRecordsPerFetch`` and ``fetchesPerBatch``."""
 
     @classmethod
     def name(cls) -> str:
@@ -147,18 +153,21 @@ class ShardedMessages(DataSource):
         cap = int(self.options.get("maxRecordsPerFetch", MAX_RECORDS_PER_FETCH))
         if cap < 1:
             raise ValueError("maxRecordsPerFetch is at least 1")
-        return _ShardReader(self.options["path"], cap)
+        fetches = int(self.options.get("fetchesPerBatch", 1))
+        if fetches < 1:
+            raise ValueError("fetchesPerBatch is at least 1")
+        return _ShardReader(self.options["path"], cap, fetches)
 
 
-def read_shards(spark: SparkSession, path: str, max_records: int = MAX_RECORDS_PER_FETCH) -> DataFrame:
-    """The messages of a topic as a stream, at most ``max_records`` of each shard per micro-batch.
+def read_shards(spark: SparkSession, path: str, max_records: int = MAX_RECORDS_PER_FETCH, fetches: int = 1) -> DataFrame:
+    """The messages of a topic as a stream, ``max_records`` of a shard at a time and at most ``fetches`` times that per micro-batch.
 
     Drain it with :func:`streamweir.streaming.run.run_until_idle`: the trigger that takes what there is and
     stops asks a source of this kind for one batch only.
     """
     spark.dataSource.register(ShardedMessages)
     return spark.readStream.format("sharded_messages").load(
-        qualified(spark, path), maxRecordsPerFetch=str(max_records)
+        qualified(spark, path), maxRecordsPerFetch=str(max_records), fetchesPerBatch=str(fetches)
     )
 
 

@@ -99,3 +99,22 @@ def test_ranges_over_row_groups_and_files(folder):
             got += [value for values in taken for value in values]
             at = end
         assert got == expected and list(at) == ["s"]
+
+
+def test_a_batch_of_several_fetches(spark, folder):
+    """Three fetches of a hundred a batch: fewer batches, every record once, and no more than a fetch in memory."""
+    land(spark, 0, 710, f"{folder}/topic", F.when(F.col("data").cast("string").cast("int") < 650, "a").otherwise("b"))
+
+    def keep(batch, number):
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+
+    report = run_until_idle(read_shards(spark, f"{folder}/topic", CAP, 3), checkpoint=f"{folder}/cp", each_batch=keep)
+    rows = spark.read.schema("shard STRING, data BINARY, approximateArrivalTimestamp TIMESTAMP, batch INT").parquet(f"{folder}/out")
+    assert report.input_rows == 710
+    assert Counter(int(bytes(r.data)) for r in rows.collect()) == Counter(range(710))
+    assert per_shard_and_batch(rows) == {("a", 0): 300, ("a", 1): 300, ("a", 2): 50, ("b", 0): 60}
+    reader = _ShardReader(f"file://{folder}/topic", CAP, 3)
+    sizes = [b.num_rows for part in reader.partitions({}, reader.latestOffset()) for b in reader.read(part)]
+    assert sum(sizes) == 360 and max(sizes) <= CAP
+    with pytest.raises(Exception, match="fetchesPerBatch"):
+        run_until_idle(read_shards(spark, f"{folder}/topic", CAP, 0), checkpoint=f"{folder}/cp0", fmt="noop")
