@@ -16,6 +16,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -27,22 +29,41 @@ MATCHED, ALONE, TAKEN_BACK = "matched", "alone", "taken back"
 
 # rows pass Python as text, which keeps whole numbers with nulls among them, and times to the microsecond
 _AS_TEXT = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-_STATE = "key STRING, row STRING"
+_STATE = "rows BINARY"  # Arrow tables of key and row
+_TOGETHER = 10_000  # rows in one of them
 _CHANGES = "kind STRING, left STRING, right STRING"
 
 
 class _Buckets(StatefulProcessor):
-    """One bucket of keys: the rows of both sides so far, in a list each."""
+    """One bucket of keys: the rows of both sides so far, in a list each, thousands to an entry.
+
+    An entry passes between Python and the state store at a cost of its own, so rows are not entries.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.left = handle.getListState("left", _STATE)
         self.right = handle.getListState("right", _STATE)
 
     @staticmethod
-    def _stored(rows, keys: set) -> pd.DataFrame:
+    def _stored(entries, keys: set) -> pd.DataFrame:
         """What a list has of some keys; a list is read through once and never held whole."""
-        found = [r for r in rows.get() if r[0] in keys] if keys and rows.exists() else []
-        return pd.DataFrame(found, columns=["key", "row"])
+        wanted, found = pa.array(keys, pa.string()), [pd.DataFrame({"key": [], "row": []}, dtype=object)]
+        for (entry,) in entries.get() if keys and entries.exists() else ():
+            table = pa.ipc.open_stream(entry).read_all()
+            own = table.filter(pc.is_in(table["key"], wanted))
+            if own.num_rows:
+                found.append(own.to_pandas())
+        return pd.concat(found)
+
+    @staticmethod
+    def _packed(rows: pd.DataFrame) -> Iterator[tuple[bytes]]:
+        for start in range(0, len(rows), _TOGETHER):
+            some = rows.iloc[start : start + _TOGETHER]
+            batch = pa.RecordBatch.from_arrays([pa.array(some[c], pa.string()) for c in ("key", "row")], ["key", "row"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as out:
+                out.write_batch(batch)
+            yield (sink.getvalue().to_pybytes(),)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows))
@@ -63,7 +84,8 @@ class _Buckets(StatefulProcessor):
 
         for stored, added in ((self.left, left), (self.right, right)):
             if len(added):
-                stored.appendList(list(added.itertuples(index=False, name=None)))
+                for entry in self._packed(added):
+                    stored.appendValue(entry)
 
     def close(self) -> None:
         pass
