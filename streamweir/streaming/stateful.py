@@ -65,18 +65,18 @@ def _sides(chunk: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def _packed(kept: pd.DataFrame) -> bytes:
-    batch = pa.RecordBatch.from_pandas(kept.reset_index(), preserve_index=False)
+def _packed(rows: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as out:
-        out.write_batch(batch)
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_batch(rows)
     return sink.getvalue().to_pybytes()
 
 
 class _KeepNewest(StatefulProcessor):
     """The keys of one bucket, in parts by a second hash: a batch reads and writes the parts of its keys only.
 
-    ``due`` has for each part when its first key expires. There is a timer as long as there is a part; it is
+    All parts of a call are worked on as one table; a part costs a read, a write and little else. ``due`` has for each
+    part when its first and its last key expire. There is a timer as long as there is a part; it is
     set to no later than the first of these times, and set anew when it has fired.
     """
 
@@ -86,53 +86,73 @@ class _KeepNewest(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.newest = handle.getMapState("newest", "part INT", "rows BINARY")
-        self.due = handle.getMapState("due", "part INT", "at LONG")
+        self.due = handle.getValueState("due", "parts BINARY")
 
-    def _read(self, part: int) -> pd.DataFrame | None:
-        if not self.newest.containsKey((part,)):
-            return None
-        return pa.ipc.open_stream(self.newest.getValue((part,))[0]).read_pandas().set_index("key")
+    def _due(self) -> dict[int, tuple[int, int]]:
+        stored = self.due.get()
+        times = np.frombuffer(stored[0], np.int64).reshape(-1, 3).tolist() if stored else []
+        return {part: (first, last) for part, first, last in times}
 
-    def _write(self, part: int, kept: pd.DataFrame) -> None:
-        if len(kept):
-            self.newest.updateValue((part,), (_packed(kept),))
-            self.due.updateValue((part,), (int(kept["expires"].min()),))
+    def _set_due(self, due: dict[int, tuple[int, int]]) -> None:
+        if due:
+            self.due.update((np.array([(part, *times) for part, times in due.items()], np.int64).tobytes(),))
         else:
-            self.newest.removeKey((part,))
-            self.due.removeKey((part,))
+            self.due.clear()
+
+    def _read(self, parts: list[int]) -> pd.DataFrame | None:
+        """The rows of some parts that there are, by key."""
+        if not parts:
+            return None
+        tables = [pa.ipc.open_stream(self.newest.getValue((part,))[0]).read_all() for part in parts]
+        rows = pa.concat_tables(tables).to_pandas()
+        rows["part"] = np.repeat(parts, [t.num_rows for t in tables])
+        return rows.set_index("key")
+
+    def _write(self, kept: pd.DataFrame, due: dict[int, tuple[int, int]]) -> None:
+        """Each part that has rows, whole, and when it is due."""
+        kept = kept.sort_values("part", kind="stable")
+        parts, starts = np.unique(kept["part"].to_numpy(), return_index=True)
+        expires = kept["expires"].to_numpy()
+        rows = pa.RecordBatch.from_pandas(kept.drop(columns="part").reset_index(), preserve_index=False).replace_schema_metadata()
+        for part, start, end in zip(parts.tolist(), starts.tolist(), [*starts[1:].tolist(), len(kept)]):
+            self.newest.updateValue((part,), (_packed(rows.slice(start, end - start)),))
+            due[part] = (int(expires[start:end].min()), int(expires[start:end].max()))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark, seen = timerValues.getCurrentWatermarkInMs(), None
         for chunk in rows:
             sides = _sides(chunk)
             seen = _newest(sides if seen is None else pd.concat([seen.reset_index(), sides]))
-        has_timer = self.due.exists()
-        for part, new in seen.groupby("part", sort=False):
-            new, old = new[["shown", "clicked"]].copy(), self._read(int(part))
-            if old is not None:
-                # a side that this batch brought replaces what is known, even by an older time
-                new = new.where(new != _NONE, old[["shown", "clicked"]].reindex(new.index, fill_value=_NONE))
-            new["expires"] = watermark + self.timeout_ms
-            idle = [] if old is None else [old[~old.index.isin(new.index) & (old["expires"] >= watermark)]]
-            self._write(int(part), pd.concat([new, *idle]))
-            both = new[(new["shown"] != _NONE) & (new["clicked"] != _NONE)]
-            if len(both):
-                yield both.reset_index()[["key", "shown", "clicked"]]
+        due = self._due()
+        has_timer = bool(due)
+        new = seen[["shown", "clicked"]].copy()
+        old = self._read([part for part in seen["part"].unique().tolist() if part in due])
+        if old is not None:
+            # a side that this batch brought replaces what is known, even by an older time
+            new = new.where(new != _NONE, old[["shown", "clicked"]].reindex(new.index, fill_value=_NONE))
+        new["expires"], new["part"] = watermark + self.timeout_ms, seen["part"]
+        idle = [] if old is None else [old[~old.index.isin(new.index) & (old["expires"] >= watermark)]]
+        self._write(pd.concat([new, *idle]), due)
+        self._set_due(due)
+        both = new[(new["shown"] != _NONE) & (new["clicked"] != _NONE)]
+        if len(both):
+            yield both.reset_index()[["key", "shown", "clicked"]]
         if not has_timer:
             self.handle.registerTimer(max(watermark + self.timeout_ms, watermark + 1))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark, left = timerValues.getCurrentWatermarkInMs(), []
-        for (part,), (at,) in list(self.due.iterator()):
-            if at < watermark:
-                rows = self._read(part)
-                rows = rows[rows["expires"] >= watermark]
-                self._write(part, rows)
-                left += [int(rows["expires"].min())] if len(rows) else []
-            else:
-                left.append(at)
-        if left:
-            self.handle.registerTimer(max(min(left), watermark + 1))
+        watermark, due = timerValues.getCurrentWatermarkInMs(), self._due()
+        over = [part for part, (first, _) in due.items() if first < watermark]
+        some = self._read([part for part in over if due[part][1] >= watermark])  # a part without a live key is not read
+        for part in over:
+            if due[part][1] < watermark:
+                self.newest.removeKey((part,))
+                del due[part]
+        if some is not None:
+            self._write(some[some["expires"] >= watermark], due)
+        self._set_due(due)
+        if due:
+            self.handle.registerTimer(max(min(first for first, _ in due.values()), watermark + 1))
         yield from ()
 
     def close(self) -> None:
