@@ -2,13 +2,14 @@ import random
 import shutil
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from streamweir.operators.bags import bag_difference, bag_union, reconcile
 from streamweir.plans import inputs
 from streamweir.sources.streams import read_stream
-from streamweir.streaming.incremental import ALONE, MATCHED, TAKEN_BACK, IncrementalLeftJoin
+from streamweir.streaming.incremental import ALONE, MATCHED, TAKEN_BACK, IncrementalLeftJoin, _Buckets
 from streamweir.streaming.run import drain
 from tests.helpers import at, bag, instants
 
@@ -153,3 +154,37 @@ def test_streams_land_side_by_side_with_others(spark, folder):
     ]
     drain(*[j.start(inputs.impressions(stream), inputs.clicks(stream)) for j in joins])
     assert bag(joins[0].result()) == bag(joins[1].result()) == bag(bag_union(shown.join(clicked, F.col("adId") == F.col("clickAdId"), "left")))
+
+
+class FakeList:
+    """A list state that counts what is passed to it."""
+
+    def __init__(self):
+        self.kept = []
+
+    def exists(self):
+        return bool(self.kept)
+
+    def get(self):
+        return iter(self.kept)
+
+    def appendValue(self, value):
+        self.kept.append(value)
+
+    def appendList(self, values):
+        self.kept += values
+
+
+def test_rows_pass_to_the_state_thousands_at_a_time():
+    """25,000 left rows, then 3 right rows: some entries, and the pairs of the keys asked for."""
+    bucket = _Buckets()
+    bucket.left, bucket.right = FakeList(), FakeList()
+    shown = pd.DataFrame({"key": [f"k{n}" for n in range(25_000)], "row": [f"shown {n}" for n in range(25_000)], "is_left": True})
+    (alone,) = bucket.handleInputRows(None, iter([shown[:20_000], shown[20_000:]]), None)
+    assert len(alone) == 25_000 and set(alone["kind"]) == {ALONE}
+    assert 1 <= len(bucket.left.kept) < 10 and not bucket.right.kept
+    clicked = pd.DataFrame({"key": ["k7", "k24999", "none"], "row": ["a", "b", "c"], "is_left": False})
+    matched, back = bucket.handleInputRows(None, iter([clicked]), None)
+    assert sorted(zip(matched["left"], matched["right"])) == [("shown 24999", "b"), ("shown 7", "a")]
+    assert sorted(back["left"]) == ["shown 24999", "shown 7"] and set(back["kind"]) == {TAKEN_BACK}
+    assert len(bucket.right.kept) == 1

@@ -3,9 +3,11 @@ from collections import Counter
 from datetime import datetime
 from pathlib import Path
 
+import pandas as pd
+
 from streamweir.sources.streams import read_stream
 from streamweir.streaming.run import run_stream
-from streamweir.streaming.stateful import stateful_join, tagged_union
+from streamweir.streaming.stateful import _KeepNewest, stateful_join, tagged_union
 from tests.helpers import START, at, bag, instants, land_ordered
 
 SHOWN = "adId INT, impressionTime TIMESTAMP"
@@ -141,3 +143,72 @@ def test_a_batch_writes_the_state_of_its_keys_only(spark, folder):
         written[int(path.name.split(".")[0].split("_")[0])] += path.stat().st_size
     first, second = written[1], written[2]
     assert first > 500_000 and second < first / 20
+
+
+class FakeState:
+    """A map and a value state, timers and a clock; counts the calls."""
+
+    def __init__(self):
+        self.kept, self.value, self.calls, self.timer, self.now = {}, None, Counter(), None, 0
+
+    def getMapState(self, name, *_):
+        return self if name == "newest" else FakeState()
+
+    def getValueState(self, *_):
+        return self
+
+    def containsKey(self, key):
+        self.calls["contains"] += 1
+        return key in self.kept
+
+    def getValue(self, key):
+        self.calls["read"] += 1
+        return self.kept[key]
+
+    def updateValue(self, key, value):
+        self.calls["write"] += 1
+        self.kept[key] = value
+
+    def removeKey(self, key):
+        self.calls["remove"] += 1
+        del self.kept[key]
+
+    def exists(self):
+        return bool(self.value)
+
+    def get(self):
+        self.calls["due"] += 1
+        return self.value
+
+    def update(self, value):
+        self.calls["due"] += 1
+        self.value = value
+
+    def clear(self):
+        self.calls["due"] += 1
+        self.value = None
+
+    def registerTimer(self, at):
+        self.timer = at
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+
+def test_a_part_costs_a_write_and_a_bucket_one_list_of_times():
+    """64 parts of ten keys: written, three keys written again, all but their parts removed unread, then those."""
+    state, bucket = FakeState(), _KeepNewest(20)
+    bucket.init(state)
+    keys = pd.DataFrame({"key": range(640), "part": [k % 64 for k in range(640)], "is_click": False, "at": 1})
+    assert list(bucket.handleInputRows(None, iter([keys]), state)) == []
+    assert state.calls == {"write": 64, "due": 2} and state.timer == 20
+    state.now, state.calls = 10, Counter()
+    (pairs,) = bucket.handleInputRows(None, iter([keys[:3].assign(is_click=True, at=2)]), state)
+    assert pairs.values.tolist() == [[0, 1, 2], [1, 1, 2], [2, 1, 2]]
+    assert state.calls == {"read": 3, "write": 3, "due": 2}
+    state.now, state.calls = 25, Counter()
+    assert list(bucket.handleExpiredTimer(None, state, None)) == []
+    assert state.calls == {"read": 3, "write": 3, "remove": 61, "due": 2} and state.timer == 30
+    state.now, state.calls = 31, Counter()
+    assert list(bucket.handleExpiredTimer(None, state, None)) == []
+    assert state.calls == {"remove": 3, "due": 2} and not state.kept and state.value is None
