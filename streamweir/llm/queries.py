@@ -37,13 +37,13 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    corpus = tokens.written(docs, lambda: tokens.WordEncoder(path, "<u2"), "<u2", end_id=2)
+    corpus = tokens.written(docs, lambda: tokens.word_encoder(path, "<u2"), "<u2", end_id=2)
     copy = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id")) - 1
     keys = docs.select("doc_id", copy.alias("copy")).select("doc_id", tokens.key_hash(F.col("doc_id"), F.col("copy")).alias("key_hash"))
-    rows = corpus.read(corpus.located(keys))
+    rows = corpus.read(corpus.located(keys), "<u4")
     return rows.select(
         "doc_id", (F.col("base") + F.col("at")).alias("start"), F.col("n").alias("n_tokens"),
-        tokens.crc_of_ids("<u2")("ids").alias("ids_crc32"),
+        F.crc32("ids").alias("ids_crc32"),
     )
 
 

@@ -265,6 +265,56 @@ def test_words_at_a_time_are_the_whole_text():
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_runs_of_latin_texts_are_the_whole_text(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "PIECE", 300)  # parts and groups end often
+    monkeypatch.setattr(tokens._Words, "CHUNKS", 50)  # and words are forgotten
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own, pick = Tokenizer.from_file(path), tokens.WordEncoder(path, "<u2"), random.Random(12)
+    parts = [*own.LETTERS, *own.MARKS, *own.DIGITS, " ", "  ", "\n", "\n\n", "The", "WORD", "été", "ÿÞß", "***", "'s", "don't", "<|endoftext|>", "<|EndOfText|>", "×", "µ", "ª", "\t", "\x1c", "\x85", "\xa0", "́"]
+    plain = parts[: parts.index("'s")]
+    texts = ["".join(pick.choice(some) for _ in range(pick.choice([0, 3, 30, 300]))) for some in (plain, plain, parts) for _ in range(300)]
+    texts += ["", " ", "\n", " \n ", "x" * 1000, " ".join(["word"] * 500), "7" * 700, "é" * 700, "<|endoftext|>", "a<|endoftext|>b c"]
+    assert own.table
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert ids.dtype == "<u2" and ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_a_run_of_letters_is_encoded_once():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, asked = tokens.word_encoder(path, "<u2"), []
+    ids_of_runs = tokens.WordEncoder._ids_of_runs
+
+    def spied(runs):
+        asked.extend(runs)
+        return ids_of_runs(own, runs)
+
+    own._ids_of_runs = spied
+    try:
+        for text in ("Zqxylem zqxylem, ZQXYLEM!!", "(zqxylem)", "zqxylem."):
+            tokens.word_encoder(path, "<u2").encode([text])  # what a later task of the worker gets
+    finally:
+        del own._ids_of_runs
+    assert asked.count(b"zqxylem") == 1
+
+
+def test_ids_are_read_in_either_format(spark, documents):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    corpus = tokens.written(documents([(i, "one two three " * i) for i in range(60)]).coalesce(1), lambda: tokens.word_encoder(path, "<u2"), "<u2", 2)
+    keys = spark.range(60).select("id", tokens.key_hash(F.col("id"), F.lit(0)).alias("key_hash"))
+    located, want = corpus.located(keys), {i: [*[637, 1237, 2097] * i, 2] for i in range(60)}
+    for kind in ("<u2", "<u4"):
+        got = {r.id: np.frombuffer(bytes(r.ids), kind).tolist() for r in corpus.read(located, kind, batch_bytes=100).collect()}
+        assert got == want
+    assert {r.id: np.frombuffer(bytes(r.ids), "<u2").tolist() for r in corpus.read(located).collect()} == want
+
+
 def test_perfect_hash():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64))
     found = tokens.PerfectHash(tokens.build_hash(keys))(keys)
