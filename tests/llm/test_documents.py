@@ -275,8 +275,8 @@ def test_runs_of_latin_texts_are_the_whole_text(monkeypatch):
     library, own, pick = Tokenizer.from_file(path), tokens.WordEncoder(path, "<u2"), random.Random(12)
     parts = [*own.LETTERS, *own.MARKS, *own.DIGITS, " ", "  ", "\n", "\n\n", "The", "WORD", "été", "ÿÞß", "***", "'s", "don't", "<|endoftext|>", "<|EndOfText|>", "×", "µ", "ª", "\t", "\x1c", "\x85", "\xa0", "́"]
     plain = parts[: parts.index("'s")]
-    texts = ["".join(pick.choice(some) for _ in range(pick.choice([0, 3, 30, 300]))) for some in (plain, plain, parts) for _ in range(300)]
-    texts += ["", " ", "\n", " \n ", "x" * 1000, " ".join(["word"] * 500), "7" * 700, "é" * 700, "<|endoftext|>", "a<|endoftext|>b c"]
+    texts = ["".join(pick.choice(some) for _ in range(pick.choice([0, 3, 30, 300]))) for some in (plain, [*plain * 30, *parts], parts, [*"абвАБВ .,", "é"]) for _ in range(250)]
+    texts += ["", " ", "\n", " \n ", "x" * 1000, " ".join(["word"] * 500), "7" * 700, "é" * 700, "<|endoftext|>", "a<|endoftext|>b c", "one\ntwo<|endoftext|>\nthree " * 9, "it's\n'tis " + "plain words " * 99]
     assert own.table
     for text, ids in zip(texts, own.encode(texts), strict=True):
         assert ids.dtype == "<u2" and ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
